@@ -1,2 +1,2 @@
-from wattloom.catalog import projections
+from wattloom.catalog import projections, alignment, windows, aggregates, filling, indicators, quality
 from wattloom.catalog.registry import ORACLE, QUERIES

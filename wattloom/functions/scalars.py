@@ -262,15 +262,3 @@ def normalize_unit(c: Column | str, hint: Column | str | float) -> Column:
         .when(size > 2500, per_thousand)
         .otherwise(c)
     )
-
-
-# -- comparison --------------------------------------------------------------
-
-def settle(c: Column | str, places: int = 6) -> Column:
-    """Round for comparing engines.
-
-    The threshold sits a hair below one half, so a value that is a tie up to
-    floating-point noise rounds up everywhere instead of at random.
-    """
-    scale = 10.0 ** places
-    return F.floor(_col(c) * F.lit(scale) + F.lit(0.5003)) / F.lit(scale)

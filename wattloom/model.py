@@ -1,4 +1,4 @@
-"""Shared vocabulary: accounting families and the comparison-safe rounding."""
+"""Shared vocabulary."""
 
 from __future__ import annotations
 

@@ -143,25 +143,30 @@ def dedup_by(df: DataFrame, keys, ts: str, keep: str = "last", tie: Sequence[str
     return picked.select(*source, F.col("__month").alias(month))
 
 
-def with_ids(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), out: str = "id") -> DataFrame:
-    """Sequential ids from 0 in the given order.
-
-    With ``keys`` the ids restart per series.  Without, the table is range
-    partitioned and written once; each partition then numbers its own rows
-    and adds the row count of the partitions before it, so no task ever sees
-    the whole table.  ``order`` must be unique for the ids to be reproducible.
+def with_ids(
+    df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), out: str = "id", large_groups: bool = False
+) -> DataFrame:
+    """Sequential ids from 0 in the given order, restarting per ``keys`` if given.
+
+    A panel series is bounded by the calendar and numbered by one window.
+    Without ``keys``, or with ``large_groups``, the table is range partitioned
+    and written once; each partition numbers its own rows and adds the row
+    count of the partitions before it, so no task sees a whole group.  ``order``
+    must be unique (within ``keys``) for the ids to be reproducible.
     """
-    if keys:
+    if keys and not large_groups:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w) - 1)
+        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    order = [*keys, *order]
     ranged = materialize(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition of the table: bounded by the partition count.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     local = Window.partitionBy("__part").orderBy(*order)
-    return (
-        ranged.join(offsets, "__part")
-        .withColumn(out, F.col("__off") + F.row_number().over(local) - 1)
-        .select(*df.columns, out)
-    )
+    numbered = ranged.join(offsets, "__part").withColumn(out, F.col("__off") + F.row_number().over(local) - 1)
+    if keys:
+        # Rows of a key are consecutive; its first id is the rows of all keys before it.
+        first = numbered.groupBy(*keys).agg(F.min(out).alias("__first"))
+        numbered = numbered.join(first, list(keys)).withColumn(out, F.col(out) - F.col("__first"))
+    return numbered.select(*df.columns, out)

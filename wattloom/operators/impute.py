@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import clip, row_sum, safe_ratio
 from wattloom.model import Family
-from wattloom.operators.windows import interpolate_linear_many, rolling_mean_expr, series
+from wattloom.operators.windows import interpolate_linear_many, over, q, rolling_mean_sql
 from wattloom.session import materialize
 
 # Fixed values of the learned fill.
@@ -65,13 +65,12 @@ def series_features(
 ) -> DataFrame:
     """Lags and shifted rolling means of the temporarily filled columns."""
     filled = temp_fill(df, keys, ts, cols)
-    w = series(keys, ts)
     made = []
     for c in cols:
         temp = f"{c}_temp"
-        made += [F.lag(temp, n).over(w).alias(f"{c}_lag_{n}") for n in lag_steps]
-        made += [rolling_mean_expr(keys, ts, temp, n, shift=1).alias(f"{c}_roll_mean_{n}") for n in spans]
-    return filled.select("*", *made)
+        made += [f"lag({q(temp)}, {n}) {over(keys, ts)} as {q(f'{c}_lag_{n}')}" for n in lag_steps]
+        made += [f"{rolling_mean_sql(keys, ts, temp, n, shift=1)} as {q(f'{c}_roll_mean_{n}')}" for n in spans]
+    return filled.selectExpr("*", *made)
 
 
 def feature_names(col: str, lag_steps: Sequence[int], spans: Sequence[int] = ROLLING_SPANS) -> list[str]:
@@ -147,18 +146,16 @@ def winsorize(
     The quantiles are window aggregates, so they share the exchange of the
     series windows that follow instead of adding an aggregate and a join.
     """
-    w = Window.partitionBy(*keys)
-    probs = F.array(F.lit(lo), F.lit(hi))
-    ranged = df.select("*", *[F.percentile(c, probs).over(w).alias(f"__q_{c}") for c in cols],
-                       *[F.count(c).over(w).alias(f"__n_{c}") for c in cols])
-
-    def bounded(c: str) -> Column:
-        q = F.col(f"__q_{c}")
-        return F.when(F.col(f"__n_{c}") >= min_n, clip(c, q[0], q[1])).otherwise(F.col(c))
-
-    kept = [c for c in df.columns if suffix or c not in cols]
-    return ranged.select(*kept, *[bounded(c).alias(f"{c}{suffix}") for c in cols])
-
-
-def ratio_of(parts: Sequence[str], total: str) -> Column:
-    return safe_ratio(row_sum(parts), total)
+    w = over(keys)
+    ranged = df.selectExpr(
+        "*", *[f"percentile({q(c)}, array({lo}D, {hi}D)) {w} as {q('__q_' + c)}" for c in cols],
+        *[f"count({q(c)}) {w} as {q('__n_' + c)}" for c in cols],
+    )
+
+    def bounded(c: str) -> str:
+        lim = q("__q_" + c)
+        cut = f"least(greatest({q(c)}, {lim}[0]), {lim}[1])"
+        return f"case when {q(c)} is null or {q('__n_' + c)} < {min_n} then {q(c)} else {cut} end as {q(c + suffix)}"
+
+    kept = [q(c) for c in df.columns if suffix or c not in cols]
+    return ranged.selectExpr(*kept, *[bounded(c) for c in cols])

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import (
-    BALANCE_EDGES, BALANCE_LABELS, bin_labels, clip, numeric_columns, row_sum, safe_ratio,
+    BALANCE_EDGES, BALANCE_LABELS, bin_labels, numeric_columns, row_sum, safe_ratio,
 )
 from wattloom.model import Family
 from wattloom.operators.impute import winsorize
-from wattloom.operators.windows import pct_change_many, rolling_mean_expr
+from wattloom.operators.windows import over, pct_change_many, q, rolling_mean_sql
 
 LOSS_FACTOR = 1.1
 CALENDAR = ("year", "month", "quarter", "month_sin", "month_cos")
@@ -33,8 +33,9 @@ def shares(df: DataFrame, fam: Family, of_total: bool = False) -> DataFrame:
     """
     if of_total:
         return df.withColumns({f"{p}_share": safe_ratio(p, fam.total, fill=0.0) for p in fam.parts})
-    base = row_sum([clip(p, lo=0.0) for p in fam.parts])
-    return df.withColumns({f"{p}_share": safe_ratio(clip(p, lo=0.0), base, fill=0.0) for p in fam.parts})
+    cut = lambda p: f"if({q(p)} is null, 0D, greatest({q(p)}, 0D))"
+    base = " + ".join(cut(p) for p in fam.parts)
+    return df.selectExpr("*", *[f"coalesce(try_divide({cut(p)}, {base}), 0D) as {q(f'{p}_share')}" for p in fam.parts])
 
 
 def growth(df: DataFrame, keys, ts, cols: Sequence[str] | None = None, limit_outliers: bool = True) -> DataFrame:
@@ -47,23 +48,25 @@ def growth(df: DataFrame, keys, ts, cols: Sequence[str] | None = None, limit_out
         spec[f"{c}_yoy"] = (f"{c}{src}", 12)
         spec[f"{c}_mom"] = (f"{c}{src}", 1)
     changed = pct_change_many(base, keys, ts, spec)
-    smooth = [rolling_mean_expr(keys, ts, f"{c}_yoy", 3).alias(f"{c}_yoy_ma3") for c in cols]
-    return changed.select(*df.columns, *spec, *smooth)
+    smooth = [f"{rolling_mean_sql(keys, ts, f'{c}_yoy', 3)} as {q(f'{c}_yoy_ma3')}" for c in cols]
+    return changed.selectExpr(*[q(c) for c in (*df.columns, *spec)], *smooth)
+
+
+def _relative_to_mean(df: DataFrame, keys, part: str, names: dict[str, str]) -> DataFrame:
+    by = ", ".join([*[q(k) for k in keys], part])
+    return df.selectExpr("*", *[
+        f"try_divide({q(c)}, avg({q(c)}) over (partition by {by})) as {q(out)}" for c, out in names.items()
+    ])
 
 
 def seasonal_index(df: DataFrame, keys, ts, cols: Sequence[str]) -> DataFrame:
     """Value relative to the mean of its calendar year."""
-    year = Window.partitionBy(*keys, F.year(ts))
-    return df.select("*", *[safe_ratio(c, F.avg(c).over(year)).alias(f"{c}_seasonal") for c in cols])
+    return _relative_to_mean(df, keys, f"year({q(ts)})", {c: f"{c}_seasonal" for c in cols})
 
 
 def seasonal_strength(df: DataFrame, keys, ts, cols: Sequence[str]) -> DataFrame:
     """Seasonal index relative to its mean for that calendar month."""
-    month = Window.partitionBy(*keys, F.month(ts))
-    index = lambda c: f"{c}_seasonal"
-    return df.select(
-        "*", *[safe_ratio(index(c), F.avg(index(c)).over(month)).alias(f"{c}_seasonal_strength") for c in cols]
-    )
+    return _relative_to_mean(df, keys, f"month({q(ts)})", {f"{c}_seasonal": f"{c}_seasonal_strength" for c in cols})
 
 
 def efficiency(df: DataFrame, supply: str, demand: str, loss: float = LOSS_FACTOR) -> DataFrame:

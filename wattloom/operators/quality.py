@@ -1,122 +1,191 @@
 """Data-quality checks as rows ``(keys…, check, metric, value, status)``.
 
-Each check is one aggregation per group of series (or over everything when
-``keys`` is empty), turned into rows afterwards.  A check whose columns are
-absent yields a single ``SKIPPED`` row.
+Checks are described first and evaluated together: one aggregation per group
+of series (or over everything when ``keys`` is empty) serves any number of
+them.  A check whose columns are absent yields a single ``SKIPPED`` row.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.scalars import row_sum, safe_ratio, to_month
+from wattloom.functions.scalars import to_month
 from wattloom.model import Family
 from wattloom.operators.align import ratio_is_outlier
 from wattloom.operators.stats import count_where, volatility_top
-from wattloom.operators.windows import day_gap
+from wattloom.operators.windows import day_gap, q
 
 PASS, WARN, SKIPPED = "PASS", "WARN", "SKIPPED"
 
 
-def _status(ok: Column) -> Column:
-    return F.when(F.coalesce(ok, F.lit(False)), PASS).otherwise(WARN)
+@dataclass(frozen=True)
+class Check:
+    """Aggregates (SQL text over the panel), and the rows read off them.
 
+    Aggregates are named ``<check>__<name>`` so that any number of checks can
+    share one aggregation.  ``gaps`` asks for the day gap to the previous row.
+    """
 
-def _rows(agg: DataFrame, keys, check: str, metrics: Mapping[str, Column], status: Column) -> DataFrame:
-    items = [
-        F.struct(F.lit(check).alias("check"), F.lit(m).alias("metric"), v.cast("double").alias("value"), status.alias("status"))
-        for m, v in metrics.items()
-    ]
-    return agg.select(*keys, F.inline(F.array(*items)))
+    name: str
+    aggs: Mapping[str, str]
+    metrics: Mapping[str, str]
+    ok: str
+    gaps: bool = False
 
 
-def _skipped(df: DataFrame, keys, check: str) -> DataFrame:
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return row.select(
-        *keys, F.lit(check).alias("check"), F.lit("columns").alias("metric"),
-        F.lit(None).cast("double").alias("value"), F.lit(SKIPPED).alias("status"),
-    )
+def _skip(name: str) -> Check:
+    return Check(name, {}, {}, "")
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check], keys=(), ts: str | None = None) -> DataFrame:
+    """Evaluate checks together: one pass over ``df``, one row per metric."""
+    if any(c.gaps for c in checks):
+        df = day_gap(df, keys, ts)
+    aggs = [F.expr(e).alias(f"{c.name}__{a}") for c in checks for a, e in c.aggs.items()]
+    row = df.groupBy(*keys).agg(*(aggs or [F.count(F.lit(1)).alias("__n")]))
+    items = []
+    for c in checks:
+        local = lambda text: re.sub(r"\{(\w+)\}", lambda m: q(f"{c.name}__{m.group(1)}"), text)
+        status = f"if(coalesce({local(c.ok)}, false), '{PASS}', '{WARN}')" if c.metrics else f"'{SKIPPED}'"
+        for metric, value in (c.metrics or {"columns": "null"}).items():
+            items.append(f"struct('{c.name}' as check, '{metric}' as metric, cast({local(value)} as double) as value, {status} as status)")
+    return row.selectExpr(*[q(k) for k in keys], f"inline(array({', '.join(items)}))")
 
 
 def _has(df: DataFrame, cols: Sequence[str]) -> bool:
     return all(c in df.columns for c in cols)
 
 
-def check_identity(df: DataFrame, fam: Family, check: str, tol: float, max_rate: float = 0.0, keys=()) -> DataFrame:
-    """Deviation of the total from its parts; passes while few rows exceed ``tol``."""
-    if not _has(df, fam.columns):
-        return _skipped(df, keys, check)
-    dev = F.abs(F.col(fam.total) - row_sum(fam.parts))
-    rel = safe_ratio(dev, fam.total)
-    agg = df.groupBy(*keys).agg(
-        F.max(dev).alias("max_dev"), F.avg(dev).alias("mean_dev"), F.avg(rel).alias("mean_rel"),
-        F.count_if(rel > tol).alias("abnormal"), F.count(F.lit(1)).alias("rows"),
-    )
-    return _rows(agg, keys, check, {
-        "max_deviation": F.col("max_dev"), "mean_deviation": F.col("mean_dev"),
-        "mean_deviation_pct": F.col("mean_rel") * 100, "abnormal_count": F.col("abnormal"),
-    }, _status(F.col("abnormal") <= F.col("rows") * max_rate))
+def _sum_sql(cols: Sequence[str]) -> str:
+    return "(" + " + ".join(f"coalesce({q(c)}, 0D)" for c in cols) + ")"
 
 
-def check_range(
-    df: DataFrame, col: str, normal=(0.10, 0.45), severe=(0.05, 0.65), max_rate: float = 0.15, keys=(), check: str = "balance"
-) -> DataFrame:
+def identity_check(df: DataFrame, fam: Family, name: str, tol: float, max_rate: float = 0.0) -> Check:
+    """Deviation of the total from its parts; passes while few rows exceed ``tol``."""
+    if not _has(df, fam.columns):
+        return _skip(name)
+    dev = f"abs({q(fam.total)} - {_sum_sql(fam.parts)})"
+    rel = f"try_divide({dev}, {q(fam.total)})"
+    return Check(name, {
+        "max": f"max({dev})", "mean": f"avg({dev})", "rel": f"avg({rel})",
+        "abnormal": f"count_if({rel} > {tol}D)", "rows": "count(1)",
+    }, {
+        "max_deviation": "{max}", "mean_deviation": "{mean}", "mean_deviation_pct": "{rel} * 100",
+        "abnormal_count": "{abnormal}",
+    }, f"{{abnormal}} <= {{rows}} * {max_rate}D")
+
+
+def range_check(
+    df: DataFrame, col: str, normal=(0.10, 0.45), severe=(0.05, 0.65), max_rate: float = 0.15, name: str = "balance"
+) -> Check:
     """Share of rows in the normal band and count of severe ones; NULL rows count in the denominator."""
     if not _has(df, [col]):
-        return _skipped(df, keys, check)
-    c = F.col(col)
-    agg = df.groupBy(*keys).agg(
-        F.avg(c).alias("mean"), F.min(c).alias("lo"), F.max(c).alias("hi"),
-        F.count_if((c >= normal[0]) & (c <= normal[1])).alias("normal"),
-        F.count_if((c < severe[0]) | (c > severe[1])).alias("severe"), F.count(F.lit(1)).alias("rows"),
-    )
-    return _rows(agg, keys, check, {
-        "mean": F.col("mean"), "min": F.col("lo"), "max": F.col("hi"),
-        "normal_range_pct": safe_ratio(F.col("normal") * 100.0, "rows"), "severe_imbalance_count": F.col("severe"),
-    }, _status(F.col("severe") <= F.col("rows") * max_rate))
-
-
-def check_temporal(df: DataFrame, keys, ts) -> DataFrame:
+        return _skip(name)
+    c = q(col)
+    return Check(name, {
+        "mean": f"avg({c})", "min": f"min({c})", "max": f"max({c})", "rows": "count(1)",
+        "normal": f"count_if({c} between {normal[0]}D and {normal[1]}D)",
+        "severe": f"count_if({c} < {severe[0]}D or {c} > {severe[1]}D)",
+    }, {
+        "mean": "{mean}", "min": "{min}", "max": "{max}",
+        "normal_range_pct": "try_divide({normal} * 100D, {rows})", "severe_imbalance_count": "{severe}",
+    }, f"{{severe}} <= {{rows}} * {max_rate}D")
+
+
+def temporal_check(ts: str, name: str = "temporal") -> Check:
     """Date gaps and completeness per series, a month counting 30 days in the expectation."""
-    agg = day_gap(df.select(*keys, ts), keys, ts).groupBy(*keys).agg(
-        F.max("gap_days").alias("max_gap"), F.count_if(F.col("gap_days") > 31).alias("gaps"),
-        F.count(F.lit(1)).alias("rows"),
-        (F.floor(F.datediff(F.max(ts), F.min(ts)) / 30) + 1).alias("expected"),
-    )
-    return _rows(agg, keys, "temporal", {
-        "max_time_gap": F.col("max_gap"), "gaps_over_month": F.col("gaps"),
-        "completeness_pct": safe_ratio(F.col("rows") * 100.0, "expected"),
-        "expected_months": F.col("expected"), "actual_months": F.col("rows"),
-    }, _status(F.col("gaps") == 0))
+    return Check(name, {
+        "gap": "max(gap_days)", "gaps": "count_if(gap_days > 31)", "rows": "count(1)",
+        "expected": f"floor(datediff(max({q(ts)}), min({q(ts)})) / 30) + 1",
+    }, {
+        "max_time_gap": "{gap}", "gaps_over_month": "{gaps}",
+        "completeness_pct": "try_divide({rows} * 100D, {expected})",
+        "expected_months": "{expected}", "actual_months": "{rows}",
+    }, "{gaps} = 0", gaps=True)
 
 
-def check_shares(df: DataFrame, sides: Mapping[str, Sequence[str]], tol: float = 0.05, keys=()) -> DataFrame:
+def shares_check(df: DataFrame, sides: Mapping[str, Sequence[str]], tol: float = 0.05, name: str = "shares") -> Check:
     """Largest distance of a share sum from 1 per side, over rows with a positive sum."""
     present = {s: [c for c in cols if c in df.columns] for s, cols in sides.items()}
-    present = {s: cols for s, cols in present.items() if cols}
+    present = {s: _sum_sql(cols) for s, cols in present.items() if cols}
     if not present:
-        return _skipped(df, keys, "shares")
-    sums = {s: row_sum(cols) for s, cols in present.items()}
-    agg = df.groupBy(*keys).agg(*[
-        F.coalesce(F.max(F.when(v > 0, F.abs(v - 1))), F.lit(0.0)).alias(s) for s, v in sums.items()
-    ])
-    ok = reduce(lambda a, b: a & b, [F.col(s) < tol for s in present])
-    return _rows(agg, keys, "shares", {f"{s}_max_deviation": F.col(s) for s in present}, _status(ok))
+        return _skip(name)
+    return Check(
+        name, {s: f"coalesce(max(if({v} > 0, abs({v} - 1), null)), 0D)" for s, v in present.items()},
+        {f"{s}_max_deviation": f"{{{s}}}" for s in present}, " and ".join(f"{{{s}}} < {tol}D" for s in present),
+    )
 
 
-def check_growth(df: DataFrame, cols: Sequence[str], limit: float = 3.0, max_rate: float = 0.20, keys=()) -> DataFrame:
+def growth_check(df: DataFrame, cols: Sequence[str], limit: float = 3.0, max_rate: float = 0.20, name: str = "growth") -> Check:
     """Columns holding changes beyond ``limit``; passes while few columns do."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
-        return _skipped(df, keys, "growth")
-    agg = df.groupBy(*keys).agg(*[F.count_if(F.abs(c) > limit).alias(c) for c in cols])
-    bad = reduce(lambda a, b: a + b, [(F.col(c) > 0).cast("int") for c in cols])
-    return _rows(agg, keys, "growth", {"extreme_growth_column_count": bad, **{c: F.col(c) for c in cols}},
-                 _status(bad <= len(cols) * max_rate))
+        return _skip(name)
+    bad = "(" + " + ".join(f"cast({{{c}}} > 0 as int)" for c in cols) + ")"
+    return Check(
+        name, {c: f"count_if(abs({q(c)}) > {limit}D)" for c in cols},
+        {"extreme_growth_column_count": bad, **{c: f"{{{c}}}" for c in cols}}, f"{bad} <= {len(cols)} * {max_rate}D",
+    )
+
+
+def merge_check(ts: str, cols: Sequence[str], name: str = "merge") -> Check:
+    """Rows, range, gaps and per-column NULL share, mean and extremes of a merged panel."""
+    aggs = {"rows": "count(1)", "gap": "max(gap_days)", "span": f"datediff(max({q(ts)}), min({q(ts)}))"}
+    metrics = {"rows": "{rows}", "span_days": "{span}", "max_gap_days": "{gap}"}
+    for c in cols:
+        aggs |= {f"{c}_null": f"count_if({q(c)} is null)", **{f"{c}_{m}": f"{f}({q(c)})" for m, f in
+                 (("mean", "avg"), ("min", "min"), ("max", "max"))}}
+        metrics |= {f"{c}_null_pct": f"try_divide({{{c}_null}} * 100D, {{rows}})",
+                    **{f"{c}_{m}": f"{{{c}_{m}}}" for m in ("mean", "min", "max")}}
+    return Check(name, aggs, metrics, "not (coalesce({gap}, 0) > 31)", gaps=True)
+
+
+def sanity_check(
+    ratio: str, sides: Mapping[str, Sequence[str]], yoy: Sequence[str], band=(0.5, 2.0), limit: float = 1.0, name: str = "sanity"
+) -> Check:
+    """Ratios out of band, share-sum distance from 1 and large yearly changes."""
+    r = q(ratio)
+    aggs = {
+        "ratio_mean": f"avg({r})", "ratio_min": f"min({r})", "ratio_max": f"max({r})",
+        "ratio_outliers": f"count_if({r} < {band[0]}D or {r} > {band[1]}D)",
+        **{f"{s}_share_deviation": f"max(abs({_sum_sql(cols)} - 1))" for s, cols in sides.items()},
+        **{f"{c}_extreme": f"count_if(abs({q(c)}) > {limit}D)" for c in yoy},
+    }
+    quiet = ["{ratio_outliers} = 0", *[f"{{{c}_extreme}} = 0" for c in yoy]]
+    return Check(name, aggs, {a: f"{{{a}}}" for a in aggs}, " and ".join(quiet))
+
+
+def check_identity(df: DataFrame, fam: Family, check: str, tol: float, max_rate: float = 0.0, keys=()) -> DataFrame:
+    return run_checks(df, [identity_check(df, fam, check, tol, max_rate)], keys)
+
+
+def check_range(df: DataFrame, col: str, normal=(0.10, 0.45), severe=(0.05, 0.65), max_rate: float = 0.15, keys=()) -> DataFrame:
+    return run_checks(df, [range_check(df, col, normal, severe, max_rate)], keys)
+
+
+def check_temporal(df: DataFrame, keys, ts) -> DataFrame:
+    return run_checks(df.select(*keys, ts), [temporal_check(ts)], keys, ts)
+
+
+def check_shares(df: DataFrame, sides: Mapping[str, Sequence[str]], tol: float = 0.05, keys=()) -> DataFrame:
+    return run_checks(df, [shares_check(df, sides, tol)], keys)
+
+
+def check_growth(df: DataFrame, cols: Sequence[str], limit: float = 3.0, max_rate: float = 0.20, keys=()) -> DataFrame:
+    return run_checks(df, [growth_check(df, cols, limit, max_rate)], keys)
+
+
+def profile_merge(df: DataFrame, keys, ts, cols: Sequence[str]) -> DataFrame:
+    return run_checks(df, [merge_check(ts, cols)], keys, ts)
+
+
+def sanity_indicators(df: DataFrame, ratio: str, sides, yoy, band=(0.5, 2.0), limit: float = 1.0, keys=()) -> DataFrame:
+    return run_checks(df, [sanity_check(ratio, sides, yoy, band, limit)], keys)
 
 
 def summarize_checks(checks: DataFrame, keys=()) -> DataFrame:
@@ -128,49 +197,21 @@ def summarize_checks(checks: DataFrame, keys=()) -> DataFrame:
     )
 
 
-def profile_merge(df: DataFrame, keys, ts, cols: Sequence[str]) -> DataFrame:
-    """Rows, range, gaps and per-column NULL share, mean and extremes of a merged panel."""
-    aggs = [
-        F.count(F.lit(1)).alias("rows"), F.max("gap_days").alias("max_gap"),
-        F.datediff(F.max(ts), F.min(ts)).alias("span"),
-    ]
-    for c in cols:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__null"), F.avg(c).alias(f"{c}__mean"),
-                 F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
-    agg = day_gap(df, keys, ts).groupBy(*keys).agg(*aggs)
-    metrics = {"rows": F.col("rows"), "span_days": F.col("span"), "max_gap_days": F.col("max_gap")}
-    for c in cols:
-        metrics[f"{c}_null_pct"] = safe_ratio(F.col(f"{c}__null") * 100.0, "rows")
-        metrics |= {f"{c}_{m}": F.col(f"{c}__{m}") for m in ("mean", "min", "max")}
-    return _rows(agg, keys, "merge", metrics, _status(~(F.coalesce(F.col("max_gap"), F.lit(0)) > 31)))
-
-
-def sanity_indicators(
-    df: DataFrame, ratio: str, sides: Mapping[str, Sequence[str]], yoy: Sequence[str], band=(0.5, 2.0), limit: float = 1.0, keys=()
+def alignment_stats(
+    a: DataFrame, b: DataFrame, keys, ts, num: str, den: str, lo: float = 0.2, hi: float = 5.0, weight: str | None = None
 ) -> DataFrame:
-    """Ratios out of band, share-sum distance from 1 and large yearly changes."""
-    sums = {s: row_sum(cols) for s, cols in sides.items()}
-    agg = df.groupBy(*keys).agg(
-        F.avg(ratio).alias("ratio_mean"), F.min(ratio).alias("ratio_min"), F.max(ratio).alias("ratio_max"),
-        F.count_if((F.col(ratio) < band[0]) | (F.col(ratio) > band[1])).alias("ratio_outliers"),
-        *[F.max(F.abs(v - 1)).alias(f"{s}_share_deviation") for s, v in sums.items()],
-        *[F.count_if(F.abs(c) > limit).alias(f"{c}_extreme") for c in yoy],
-    )
-    names = [c for c in agg.columns if c not in keys]
-    flagged = [F.col("ratio_outliers") == 0] + [F.col(f"{c}_extreme") == 0 for c in yoy]
-    return _rows(agg, keys, "sanity", {n: F.col(n) for n in names}, _status(reduce(lambda a, b: a & b, flagged)))
-
-
-def alignment_stats(a: DataFrame, b: DataFrame, keys, ts, num: str, den: str, lo: float = 0.2, hi: float = 5.0) -> DataFrame:
     """How two raw tables align on months, per series.
 
     Each side is reduced to one row per month first (the last by date), so
     the join and the list of dropped months are bounded by the calendar.
+    ``weight`` names a row count where the tables are already condensed.
     """
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+
     def monthly(d: DataFrame, col: str, tag: str) -> DataFrame:
         # Bad dates count as raw rows but form no month.
         return d.groupBy(*keys, to_month(ts).alias("__m")).agg(
-            F.count(F.lit(1)).alias(f"rows_{tag}"), F.max_by(F.struct(col), F.col(ts))[col].alias(col)
+            rows.alias(f"rows_{tag}"), F.max_by(col, ts).alias(col)
         )
 
     left, right = monthly(a, num, "a"), monthly(b, den, "b")

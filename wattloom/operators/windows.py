@@ -19,8 +19,23 @@ def series(keys: Sequence[str], ts: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(ts)
 
 
-def upto_now(keys: Sequence[str], ts: str) -> WindowSpec:
-    return series(keys, ts).rowsBetween(Window.unboundedPreceding, 0)
+def q(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def over(keys: Sequence[str], ts: str | None = None, lo: str = "", hi: str = "current row") -> str:
+    """SQL text of a window clause.
+
+    Operators over many columns are written as SQL expressions: one call per
+    column instead of one per node keeps plan building fast on wide panels.
+    """
+    order = f" order by {q(ts)}" if ts else ""
+    frame = f" rows between {lo} and {hi}" if lo else ""
+    return f"over (partition by {', '.join(q(k) for k in keys)}{order}{frame})"
+
+
+PAST = "unbounded preceding"
 
 
 def lags(df: DataFrame, keys, ts, col, ns: Sequence[int], prefix: str | None = None) -> DataFrame:
@@ -28,15 +43,15 @@ def lags(df: DataFrame, keys, ts, col, ns: Sequence[int], prefix: str | None = N
     return df.withColumns({f"{prefix or col}_lag_{n}": F.lag(col, n).over(w) for n in ns})
 
 
-def rolling_mean_expr(keys, ts, col: str | Column, n: int, shift: int = 0) -> Column:
+def rolling_mean_sql(keys, ts, col: str, n: int, shift: int = 0) -> str:
     """Mean of ``n`` rows ending ``shift`` rows back; NULL unless all are known."""
-    c = F.col(col) if isinstance(col, str) else col
-    w = series(keys, ts).rowsBetween(1 - n - shift, -shift)
-    return F.when(F.count(c).over(w) == n, F.avg(c).over(w))
+    hi = f"{shift} preceding" if shift else "current row"
+    frame = over(keys, ts, f"{n - 1 + shift} preceding", hi)
+    return f"case when count({q(col)}) {frame} = {n} then avg({q(col)}) {frame} end"
 
 
 def rolling_mean(df: DataFrame, keys, ts, col, n: int, shift: int = 0, out: str | None = None) -> DataFrame:
-    return df.withColumn(out or f"{col}_roll_mean_{n}", rolling_mean_expr(keys, ts, col, n, shift))
+    return df.withColumn(out or f"{col}_roll_mean_{n}", F.expr(rolling_mean_sql(keys, ts, col, n, shift)))
 
 
 def pct_change_many(df: DataFrame, keys, ts, spec: dict[str, tuple[str, int]], pad: bool = True) -> DataFrame:
@@ -45,15 +60,12 @@ def pct_change_many(df: DataFrame, keys, ts, spec: dict[str, tuple[str, int]], p
     Two projections whatever the number of columns: forward fill, then lag.
     """
     sources = list(dict.fromkeys(c for c, _ in spec.values()))
-    w, past = series(keys, ts), upto_now(keys, ts)
-    filled = {c: f"__fill_{c}" for c in sources}
-    base = df.select(
-        "*", *[(F.last(c, ignorenulls=True).over(past) if pad else F.col(c)).alias(f) for c, f in filled.items()]
-    )
-    change = [
-        (safe_ratio(filled[c], F.lag(filled[c], n).over(w)) - 1).alias(out) for out, (c, n) in spec.items()
-    ]
-    return base.select(*df.columns, *change)
+    fill = (lambda c: f"last({q(c)}) ignore nulls {over(keys, ts, PAST)}") if pad else q
+    base = df.selectExpr("*", *[f"{fill(c)} as {q('__fill_' + c)}" for c in sources])
+    return base.selectExpr(*[q(c) for c in df.columns], *[
+        f"try_divide({q('__fill_' + c)}, lag({q('__fill_' + c)}, {n}) {over(keys, ts)}) - 1 as {q(out)}"
+        for out, (c, n) in spec.items()
+    ])
 
 
 def pct_change(df: DataFrame, keys, ts, col, n: int, pad: bool = True, out: str | None = None) -> DataFrame:
@@ -86,19 +98,19 @@ def interpolate_linear_many(df: DataFrame, keys, ts, cols: Sequence[str], suffix
     runs over the reversed order, where it is a running frame; a frame reaching
     to the end of the partition would be re-read for every row.
     """
-    w, past = series(keys, ts), upto_now(keys, ts)
-    ahead = Window.partitionBy(*keys).orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
-    known = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col("__pos").alias("p"), F.col(c).alias("v")))
-    base = df.select("*", F.row_number().over(w).alias("__pos"))
-    base = base.select("*", *[F.last(known(c), ignorenulls=True).over(past).alias(f"__prev_{c}") for c in cols])
-    base = base.select("*", *[F.last(known(c), ignorenulls=True).over(ahead).alias(f"__next_{c}") for c in cols])
-
-    def blend(c: str) -> Column:
-        prev, nxt = F.col(f"__prev_{c}"), F.col(f"__next_{c}")
-        slope = safe_ratio(nxt["v"] - prev["v"], (nxt["p"] - prev["p"]).cast("double"))
-        return F.coalesce(F.col(c), prev["v"] + slope * (F.col("__pos") - prev["p"]), prev["v"])
-
-    return base.select(*df.columns, *[blend(c).alias(f"{c}{suffix}") for c in cols])
+    past = over(keys, ts, PAST)
+    ahead = past.replace(f"order by {q(ts)}", f"order by {q(ts)} desc")
+    known = lambda c: f"if({q(c)} is not null, struct(__pos as p, {q(c)} as v), null)"
+    side = lambda name, w: [f"last({known(c)}) ignore nulls {w} as {q(name + c)}" for c in cols]
+    base = df.selectExpr("*", f"row_number() {over(keys, ts)} as __pos")
+    base = base.selectExpr("*", *side("__prev_", past)).selectExpr("*", *side("__next_", ahead))
+
+    def blend(c: str) -> str:
+        prev, nxt = q("__prev_" + c), q("__next_" + c)
+        slope = f"try_divide({nxt}.v - {prev}.v, cast({nxt}.p - {prev}.p as double))"
+        return f"coalesce({q(c)}, {prev}.v + {slope} * (__pos - {prev}.p), {prev}.v) as {q(c + suffix)}"
+
+    return base.selectExpr(*[q(c) for c in df.columns], *[blend(c) for c in cols])
 
 
 def interpolate_linear(df: DataFrame, keys, ts, col: str, suffix: str = "_interp") -> DataFrame:

@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.scalars import calendar_features, drop_header_rows, filter_years, flag, parse_ts, row_sum, to_double
+from wattloom.functions.scalars import (
+    calendar_features, drop_header_rows, filter_years, flag, map_codes, parse_ts, row_sum, to_double,
+)
 from wattloom.model import Family
-from wattloom.operators.align import map_codes, outer_on_month, union_by_name
+from wattloom.operators.align import outer_on_month, union_by_name
 from wattloom.operators.forecast import (
     CLIMATOLOGY_YEARS, HISTORICAL, PROJECTED, SHARE_BOUNDS, SHARE_HISTORY_FROM, climatology, disaggregate,
     forecast_entity_shares, forecast_share_targets, monthly_targets, splice,
