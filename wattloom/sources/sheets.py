@@ -22,7 +22,9 @@ VALUE_LABEL = "当期值"
 MIN_MONTH_TOKENS = 3
 LAYOUT_LINES, MONTH_ROW_LINES, VERTICAL_HEADER_ROW = 10, 12, 2
 
-_ORDER = F.struct("block", "line_id")
+
+def _order() -> Column:
+    return F.struct("block", "line_id")
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -53,7 +55,7 @@ def _has_words(line: Column, marker: str | Sequence[str]) -> Column:
 
 def _numbered(lines: DataFrame) -> DataFrame:
     """Add ``line_no`` from 0 within the first block of a file, NULL beyond it."""
-    first = lines.groupBy("file").agg(F.min(_ORDER).alias("__first"))
+    first = lines.groupBy("file").agg(F.min(_order()).alias("__first"))
     number = F.when(F.col("block") == F.col("__first.block"), F.col("line_id") - F.col("__first.line_id"))
     return lines.join(first, "file").select(*lines.columns, number.alias("line_no"))
 
@@ -71,16 +73,16 @@ def with_header_marker(lines: DataFrame, marker: str | Sequence[str] | int, stop
     else:
         is_header = _has_words(F.col("line"), marker)
     heads = lines.groupBy("file").agg(
-        F.min(F.when(is_header, _ORDER)).alias("__at"), F.min_by("line", F.when(is_header, _ORDER)).alias("__header")
+        F.min(F.when(is_header, _order())).alias("__at"), F.min_by("line", F.when(is_header, _order())).alias("__header")
     )
-    body = lines.join(heads, "file").filter(_ORDER > F.col("__at")).select(
+    body = lines.join(heads, "file").filter(_order() > F.col("__at")).select(
         "file", "block", "line_id", split_cells("__header").alias("header"), split_cells("line").alias("cells")
     )
     if stop_marker is None:
         return body
-    ends = body.filter(F.contains(F.col("cells")[0], F.lit(stop_marker))).groupBy("file").agg(F.min(_ORDER).alias("__end"))
+    ends = body.filter(F.contains(F.col("cells")[0], F.lit(stop_marker))).groupBy("file").agg(F.min(_order()).alias("__end"))
     return body.join(ends, "file", "left").filter(
-        F.col("__end").isNull() | (_ORDER < F.col("__end"))
+        F.col("__end").isNull() | (_order() < F.col("__end"))
     ).drop("__end")
 
 
@@ -133,7 +135,7 @@ def detect_layout(lines: DataFrame) -> DataFrame:
 
 def melt_months(lines: DataFrame, label: str = VALUE_LABEL) -> DataFrame:
     """Months across, values in the first row whose label contains ``label``."""
-    cells = _numbered(lines).select("file", "line_no", _ORDER.alias("at"), split_cells("line").alias("cells"))
+    cells = _numbered(lines).select("file", "line_no", _order().alias("at"), split_cells("line").alias("cells"))
     months = (F.col("line_no") < MONTH_ROW_LINES) & (_month_tokens(F.col("cells")) >= MIN_MONTH_TOKENS)
     labelled = F.contains(F.col("cells")[0], F.lit(label))
     sheet = cells.groupBy("file").agg(
