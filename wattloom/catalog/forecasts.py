@@ -9,6 +9,7 @@ from wattloom.operators import forecast as FC
 from wattloom.operators import stats as A
 from wattloom.plans import flows, shapes
 from wattloom.plans.shapes import DEMAND, KEYS, TS
+from wattloom.session import materialize
 
 STEPS = 48
 HIST_LAST, CUT, LAST = 1999, 2000, 2004
@@ -72,7 +73,8 @@ FUTURE = {
 
 
 def _observed(spark, d):
-    return shapes.parent_monthly(spark, d).filter(F.col(TS) < F.lit(f"{CUT + 1}-01-01").cast("date"))
+    # Read several times below: the orders are aggregated once and the panel written.
+    return materialize(shapes.parent_monthly(spark, d).filter(F.col(TS) < F.lit(f"{CUT + 1}-01-01").cast("date")))
 
 
 def _path(observed):

@@ -10,6 +10,7 @@ from wattloom.operators.align import scenario_grid
 from wattloom.operators.forecast import forecast_seasonal_naive
 from wattloom.plans import flows, shapes
 from wattloom.plans.shapes import DEMAND, KEYS, TS
+from wattloom.session import materialize
 
 TECHS = M.TECHS
 SECTORS = list(DEMAND.parts)
@@ -184,7 +185,7 @@ def observed_prices(months):
     union all select region, 'annual', {sq("coalesce(sum(pow(price - observed, 2)), 0)", 2)}, count(observed)
         from (select region, year(ts) as year, avg({price_sql()}) as price from market group by 1, 2) left join obs_year using (region, year) group by 1""")
 def m12(spark, d):
-    months = shapes.market_months(spark, d)
+    months = materialize(shapes.market_months(spark, d))
     obs = observed_prices(months)
     yearly = obs.groupBy("region", F.year(TS).alias("year")).agg(F.avg("observed").alias("observed"))
     cleared = M.clear_market(months)
@@ -197,7 +198,7 @@ def m12(spark, d):
         left join obs using (region, ts) group by 1, 2, 3, 4""") + f"""
     select region, tax, subsidy, scale, {sq("sse", 2, "sse")}, pairs from errs qualify row_number() over (partition by region order by round(sse, 6), tax, subsidy, scale) = 1""")
 def m13(spark, d):
-    months = shapes.market_months(spark, d)
+    months = materialize(shapes.market_months(spark, d))
     return settled(M.calibrate_grid(months, observed_prices(months), KEYS, TS, AXES), 2, ["sse"])
 
 

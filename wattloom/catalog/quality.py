@@ -8,9 +8,9 @@ from wattloom.catalog.indicators import INDICATOR_CTES, SHARES, indicator_table
 from wattloom.catalog.registry import query, settled, sq, sqs, with_
 from wattloom.operators import quality as Q
 from wattloom.operators import stats as A
-from wattloom.operators.forecast import forecast_seasonal_naive
 from wattloom.plans import shapes
 from wattloom.plans.shapes import DEMAND, KEYS, SUPPLY, TS
+from wattloom.session import materialize
 from wattloom.sources.tables import read_table
 
 
@@ -209,6 +209,6 @@ _VOL = " union all ".join(
     .replace("from r group", """from (select *, row_number() over (partition by region order by ts) as up,
         row_number() over (partition by region order by ts desc) as down from demand_wide) group"""))
 def q12(spark, d):
-    edges = A.edge_means(shapes.demand_wide(spark, d), KEYS, TS, DEMAND.total)
-    table = indicator_table(spark, d)
+    table = materialize(indicator_table(spark, d))
+    edges = A.edge_means(table.filter(F.col(DEMAND.total).isNotNull()), KEYS, TS, DEMAND.total)
     return _checks(Q.report_table(_five_checks(table), table, _GROUPS, edges, KEYS))

@@ -1,7 +1,7 @@
 """Sources and sinks (S).
 
 Ragged sheets are written line by line from the panels and read back, so the
-SQL counterpart is the panel itself.
+SQL counterpart is the panel itself.  The lines are materialized, as files are.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from wattloom.operators.forecast import forecast_seasonal_naive
 from wattloom.catalog.forecasts import _naive
 from wattloom.plans import shapes
 from wattloom.plans.shapes import DEMAND, KEYS, SUPPLY, TS
+from wattloom.session import materialize
 from wattloom.sources import sheets, sinks
 from wattloom.sources.tables import read_table
 
@@ -44,7 +45,7 @@ def annual_sheets(spark, d):
     frame = shapes.regions(spark, d).select("region").distinct().select(
         F.col("region").alias("file"), F.lit(0).cast("long").alias("block"),
         F.inline(F.array(*[F.struct(F.lit(i).cast("long").alias("line_id"), F.lit(t).alias("line")) for i, t in fixed.items()])))
-    return data.unionByName(frame)
+    return materialize(data.unionByName(frame))
 
 
 _ALL_YEARS = f"""grid as (select region, nation, cast(y as int) as year from (select distinct region, nation from panel_annual),
@@ -103,17 +104,17 @@ _TALL = "select region || '-tall' as file, ts + 14 as ts, total_supply as value
 
 @query("s6_melt_months", with_("demand_wide") + _WIDE)
 def s6(spark, d):
-    return sheets.melt_months(month_sheets(spark, d))
+    return sheets.melt_months(materialize(month_sheets(spark, d)))
 
 
 @query("s7_melt_vertical", with_("supply_wide") + _TALL)
 def s7(spark, d):
-    return sheets.melt_vertical(vertical_sheets(spark, d))
+    return sheets.melt_vertical(materialize(vertical_sheets(spark, d)))
 
 
 @query("s8_melt_sheets", with_("demand_wide", "supply_wide") + f"{_WIDE} union all {_TALL}")
 def s8(spark, d):
-    return sheets.melt_sheets(month_sheets(spark, d).unionByName(vertical_sheets(spark, d)))
+    return sheets.melt_sheets(materialize(month_sheets(spark, d).unionByName(vertical_sheets(spark, d))))
 
 
 @query("s9_combine_metrics", with_("demand_wide", "supply_wide") + """select coalesce(d.region, s.region) as region, coalesce(d.ts, s.ts) as ts,

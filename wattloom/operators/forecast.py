@@ -112,8 +112,16 @@ def _extend(y: np.ndarray, steps: int) -> np.ndarray | None:
     return path if np.isfinite(path).all() else None
 
 
+def _naive_path(y: np.ndarray, steps: int) -> np.ndarray:
+    """``forecast_seasonal_naive`` for one series already in memory."""
+    m = min(SEASON, len(y))
+    drift = (y[SEASON:] - y[:-SEASON]).mean() if len(y) > SEASON else 0.0
+    h = np.arange(steps)
+    return y[len(y) - m + h % m] + (h // m + 1) * drift
+
+
 def forecast_sarima(df: DataFrame, keys, ts, value, steps: int = 120) -> DataFrame:
-    """Seasonal ARIMA point forecast per series.
+    """Seasonal ARIMA point forecast per series, from the month after its last value.
 
     One group is the months of one series; the work spreads over the series.
     Series the model cannot be fitted to take the seasonal naive path.
@@ -122,24 +130,17 @@ def forecast_sarima(df: DataFrame, keys, ts, value, steps: int = 120) -> DataFra
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts)
-        path = _extend(pdf["y"].to_numpy(), steps)
-        if path is None:
-            return pd.DataFrame({c: pdf[c].iloc[:0] for c in keys} | {"__h": [], "__fit": []})
+        y = pdf["y"].to_numpy()
+        path = _extend(y, steps)
+        method = "seasonal_naive" if path is None else "sarima"
+        last = np.datetime64(pdf[ts].iloc[-1], "M")
+        months = (last + np.arange(1, steps + 1)).astype("datetime64[D]").astype(object)
         head = {c: [pdf[c].iloc[0]] * steps for c in keys}
-        return pd.DataFrame({**head, "__h": np.arange(1, steps + 1), "__fit": path})
+        return pd.DataFrame({**head, ts: months, "forecast": _naive_path(y, steps) if path is None else path, "method": method})
 
     kinds = dict(known.dtypes)
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keys], "`__h` int", "`__fit` double"])
-    fits = known.groupBy(*keys).applyInPandas(one, schema)
-    last = known.groupBy(*keys).agg(F.max(ts).alias("__last"))
-    fits = fits.join(last, list(keys)).select(
-        *keys, F.trunc(F.add_months("__last", F.col("__h")), "MM").alias(ts), "__fit"
-    )
-    naive = forecast_seasonal_naive(df, keys, ts, value, steps)
-    return naive.join(fits, [*keys, ts], "left").select(
-        *keys, ts, F.coalesce("__fit", "forecast").alias("forecast"),
-        F.when(F.col("__fit").isNotNull(), "sarima").otherwise("seasonal_naive").alias("method"),
-    )
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keys], f"`{ts}` date", "forecast double", "method string"])
+    return known.groupBy(*keys).applyInPandas(one, schema)
 
 
 # -- trends ------------------------------------------------------------------

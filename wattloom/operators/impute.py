@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +20,8 @@ from wattloom.session import materialize
 # Fixed values of the learned fill.
 FOREST = {"numTrees": 500, "maxDepth": 8, "minInstancesPerNode": 2, "seed": 42}
 MIN_TRAINING_ROWS = 12
+# Room for split statistics per pass over the data: more nodes per pass, fewer passes.
+FIT_MEMORY_MB = 1024
 ROLLING_SPANS = (3, 6, 12)
 CALENDAR_COLUMNS = ("year", "month", "quarter", "month_sin", "month_cos")
 
@@ -86,45 +90,50 @@ def fill_month_mean(df: DataFrame, keys, ts, col: str, below: int = MIN_TRAINING
     return df.withColumn(col, F.coalesce(F.col(col), fill))
 
 
+def _fit_forest(rows: DataFrame, target: str, names: Sequence[str], trees: int | None) -> PipelineModel | None:
+    """Median filling, assembly and forest for one target; None when nothing is to be filled or learned."""
+    learnable = rows.filter(F.col(f"{target}__known") >= MIN_TRAINING_ROWS).select(*names, target)
+    train = learnable.filter(F.col(target).isNotNull())
+    if not learnable.filter(F.col(target).isNull()).take(1) or not train.take(1):
+        return None
+    filled = [f"__f_{i}" for i in range(len(names))]
+    return Pipeline(stages=[
+        Imputer(strategy="median", inputCols=list(names), outputCols=filled),
+        VectorAssembler(inputCols=filled, outputCol="__x", handleInvalid="keep"),
+        RandomForestRegressor(
+            **{**FOREST, **({"numTrees": trees} if trees else {})}, featuresCol="__x", labelCol=target, predictionCol="__p",
+            featureSubsetStrategy="all", maxBins=256, maxMemoryInMB=FIT_MEMORY_MB,
+        ),
+    ]).fit(train)
+
+
 def ml_fill(df: DataFrame, keys, ts, targets: Sequence[str], lag_steps: Sequence[int], trees: int | None = None) -> DataFrame:
     """Random-forest fill of the gaps left in ``targets``.
 
     ``df`` carries the calendar and series features.  One forest per target
     learns from all series together, the mean of the series standing for its
     level, so the number of fits does not grow with the number of series.
-    The features are written once and every fit reads them back.
+    The features are written once; the fits read them back side by side.
     """
-    level = {f"{t}__level": F.avg(t).over(Window.partitionBy(*keys)) for t in targets}
-    known = {f"{t}__known": F.count(t).over(Window.partitionBy(*keys)) for t in targets}
-    rows = materialize(df.withColumns({**known, **level}))
-    plain = rows.columns
-    out = rows
-    for target in targets:
-        learnable = rows.filter(F.col(f"{target}__known") >= MIN_TRAINING_ROWS)
-        train = learnable.filter(F.col(target).isNotNull())
-        if not learnable.filter(F.col(target).isNull()).take(1) or not train.take(1):
-            continue
-        names = [*feature_names(target, lag_steps), f"{target}__level"]
-        train = train.withColumns({n: F.col(n).cast("double") for n in names}).select(*names, target)
-        filled = [f"__f_{i}" for i in range(len(names))]
-        medians = Imputer(strategy="median", inputCols=names, outputCols=filled).fit(train)
-        vector = VectorAssembler(inputCols=filled, outputCol="__x", handleInvalid="keep")
-        forest = RandomForestRegressor(
-            **{**FOREST, **({"numTrees": trees} if trees else {})},
-            featuresCol="__x", labelCol=target, predictionCol="__p", featureSubsetStrategy="all", maxBins=256,
-        )
-        model = forest.fit(vector.transform(medians.transform(train)))
-        scored = model.transform(vector.transform(medians.transform(
-            out.withColumns({n: F.col(n).cast("double") for n in names})
-        )))
-        fill = F.when(F.col(f"{target}__known") >= MIN_TRAINING_ROWS, F.col("__p"))
-        out = scored.withColumn(target, F.coalesce(F.col(target), fill)).select(*plain)
-    few = {}
+    extra = {}
     for t in targets:
-        few[t] = F.coalesce(
-            F.col(t), F.when(F.col(f"{t}__known") < MIN_TRAINING_ROWS, _month_mean_or_median(t, keys, ts))
-        )
-    return out.withColumns(few).drop(*level, *known)
+        extra[f"{t}__level"] = F.expr(f"avg({q(t)}) {over(keys)}")
+        extra[f"{t}__known"] = F.expr(f"count({q(t)}) {over(keys)}")
+    names = {t: [*feature_names(t, lag_steps), f"{t}__level"] for t in targets}
+    numeric = {n: F.col(n).cast("double") for n in dict.fromkeys(n for t in targets for n in names[t])}
+    rows = materialize(df.withColumns(extra).withColumns(numeric))
+    with ThreadPoolExecutor(len(targets)) as pool:
+        models = dict(zip(targets, pool.map(lambda t: _fit_forest(rows, t, names[t], trees), targets)))
+    out = rows
+    for target, model in models.items():
+        if model is not None:
+            fill = F.when(F.col(f"{target}__known") >= MIN_TRAINING_ROWS, F.col("__p"))
+            out = model.transform(out).withColumn(target, F.coalesce(F.col(target), fill)).select(*rows.columns)
+    few = {
+        t: F.coalesce(F.col(t), F.when(F.col(f"{t}__known") < MIN_TRAINING_ROWS, _month_mean_or_median(t, keys, ts)))
+        for t in targets
+    }
+    return out.withColumns(few).drop(*extra)
 
 
 def scale_parts(df: DataFrame, fam: Family) -> DataFrame:

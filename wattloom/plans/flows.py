@@ -21,6 +21,7 @@ from wattloom.operators.impute import (
 )
 from wattloom.operators.market import anchor_supply, clear_market, forecast_mix, policy_reallocate
 from wattloom.operators.stats import annual_sum
+from wattloom.session import materialize
 
 DEMAND_LAGS = (1, 2, 3, 6, 12)
 SUPPLY_LAGS = (1, 2, 3, 12)
@@ -65,7 +66,8 @@ def build_panel(
 
     ``annual_hist`` has ``(keys, entity, year, <metric>_annual)`` up to
     ``hist_last``; ``monthly_hist`` the parent's months up to ``cut_year``;
-    ``total_forecast`` its total ``(keys, ts, forecast)`` afterwards.
+    ``total_forecast`` its total ``(keys, ts, forecast)`` afterwards.  All
+    three are panels: as long as the calendar, not as the raw tables.
     """
     metrics = [total, *parts]
     annual_names = [f"{m}_annual" for m in metrics]
@@ -73,20 +75,24 @@ def build_panel(
     hist = annual_hist.filter(F.col("year") <= hist_last).fillna(0.0, annual_names)
     if codes is not None:
         hist = map_codes(hist, codes, entity)
+    # The panels below are read many times; writing the small ones once keeps
+    # the source tables to a single pass.
+    hist = materialize(hist)
     extra = [c for c in hist.columns if c not in (*keys, entity, "year", *annual_names)]
     names = hist.select(*keys, entity, *extra).distinct() if extra else None
 
     observed = monthly_hist.filter(F.col(ts) < F.lit(f"{cut_year + 1:04d}-01-01").cast("date"))
+    observed = materialize(observed)
     path = splice(observed.select(*keys, ts, total), total_forecast.withColumnRenamed("forecast", total), ts, cut_year, last_year)
-    parent_future = forecast_share_targets(
+    parent_future = materialize(forecast_share_targets(
         observed, annual_sum(path, keys, ts, [total]), keys, ts, total, parts, targets, bounds
-    )
+    ))
     parent_past = annual_sum(observed, keys, ts, metrics).filter(F.col("year") <= hist_last)
     parent_annual = union_by_name(parent_past, parent_future)
     future = forecast_entity_shares(hist, parent_annual, keys, entity, annual_names, targets, since)
     if names is not None:
         future = future.join(names, [*keys, entity])
-    everything = union_by_name(hist, future).withColumn("data_flag", flag(F.col("year") <= hist_last, HISTORICAL, PROJECTED))
+    everything = union_by_name(hist, materialize(future)).withColumn("data_flag", flag(F.col("year") <= hist_last, HISTORICAL, PROJECTED))
     months = monthly_targets(
         observed, path, parent_future, climatology(observed, keys, ts, parts, clim_years), keys, ts, total, parts, cut_year
     )

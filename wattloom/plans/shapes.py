@@ -1,7 +1,7 @@
 """Canonical panels built from a star schema of orders and line items.
 
 Demand is the order value of a month by market segment, supply the shipped
-value by part type, both per region.  Sums run over decimals, so they do not
+value by part type, both per region.  Sums run over whole cents, so they do not
 depend on the order of summation.  Each panel is one aggregation after the
 joins: parts and total come from conditional sums, not from a pivot.
 """
@@ -32,8 +32,13 @@ def money(col: str) -> Column:
     return F.col(col).cast("decimal(18,2)")
 
 
-def _sum(value: Column) -> Column:
-    return F.sum(value).cast("double")
+def cents(col: str) -> Column:
+    """Money as whole cents: integer sums are exact in any order and stay in generated code."""
+    return F.floor(F.col(col) * 100 + 0.5)
+
+
+def sum_money(value: Column) -> Column:
+    return F.sum(value) / 100.0
 
 
 def regions(spark: SparkSession, d: str) -> DataFrame:
@@ -59,18 +64,18 @@ def shipped_by_place(spark: SparkSession, d: str) -> DataFrame:
 
 
 def demand_wide(spark: SparkSession, d: str) -> DataFrame:
-    value = money("o_totalprice")
-    parts = [_sum(F.when(F.col("c_mktsegment") == s, value)).alias(c) for s, c in zip(SEGMENTS, DEMAND.parts)]
+    value = cents("o_totalprice")
+    parts = [sum_money(F.when(F.col("c_mktsegment") == s, value)).alias(c) for s, c in zip(SEGMENTS, DEMAND.parts)]
     return orders_by_place(spark, d).groupBy("region", to_month("o_orderdate").alias(TS)).agg(
-        _sum(value).alias(DEMAND.total), *parts
+        sum_money(value).alias(DEMAND.total), *parts
     )
 
 
 def supply_wide(spark: SparkSession, d: str) -> DataFrame:
-    value = money("l_extendedprice")
-    parts = [_sum(F.when(F.col("p_type") == t, value)).alias(c) for t, c in zip(PART_TYPES, SUPPLY.parts)]
+    value = cents("l_extendedprice")
+    parts = [sum_money(F.when(F.col("p_type") == t, value)).alias(c) for t, c in zip(PART_TYPES, SUPPLY.parts)]
     return shipped_by_place(spark, d).groupBy("region", to_month("l_shipdate").alias(TS)).agg(
-        _sum(value).alias(SUPPLY.total), *parts
+        sum_money(value).alias(SUPPLY.total), *parts
     )
 
 
@@ -99,26 +104,26 @@ def merged(spark: SparkSession, d: str) -> DataFrame:
 
 def panel_annual(spark: SparkSession, d: str) -> DataFrame:
     """(region, nation, year, m1, m2, m3): order value in total and for two priorities."""
-    value = money("o_totalprice")
+    value = cents("o_totalprice")
     return orders_by_place(spark, d).groupBy("region", "nation", F.year("o_orderdate").alias("year")).agg(
-        _sum(value).alias("m1"), *[_sum(F.when(F.col("o_orderpriority") == p, value)).alias(m) for m, p in PRIORITIES.items()]
+        sum_money(value).alias("m1"), *[sum_money(F.when(F.col("o_orderpriority") == p, value)).alias(m) for m, p in PRIORITIES.items()]
     )
 
 
 def parent_monthly(spark: SparkSession, d: str) -> DataFrame:
     """(region, ts, m1, m2, m3): the monthly counterpart of ``panel_annual``."""
-    value = money("o_totalprice")
+    value = cents("o_totalprice")
     return orders_by_place(spark, d).groupBy("region", to_month("o_orderdate").alias(TS)).agg(
-        _sum(value).alias("m1"), *[_sum(F.when(F.col("o_orderpriority") == p, value)).alias(m) for m, p in PRIORITIES.items()]
+        sum_money(value).alias("m1"), *[sum_money(F.when(F.col("o_orderpriority") == p, value)).alias(m) for m, p in PRIORITIES.items()]
     )
 
 
 def market_months(spark: SparkSession, d: str) -> DataFrame:
     """(region, ts, demand, seg_1..5, five technologies, supply) for shared months."""
-    value = money("l_extendedprice")
-    techs = [_sum(F.when(F.col("p_type").isin(types), value)).alias(t) for t, types in TECH_TYPES.items()]
+    value = cents("l_extendedprice")
+    techs = [sum_money(F.when(F.col("p_type").isin(types), value)).alias(t) for t, types in TECH_TYPES.items()]
     made = shipped_by_place(spark, d).groupBy("region", to_month("l_shipdate").alias(TS)).agg(
-        *techs, _sum(value).alias("supply")
+        *techs, sum_money(value).alias("supply")
     )
     used = demand_wide(spark, d).withColumnRenamed(DEMAND.total, "demand")
     return used.join(made, [*KEYS, TS])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,19 +29,25 @@ def build_session(app: str = "wattloom", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the session's ``spark.checkpoint.dir``; fall back only if unset."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wattloom-ckpt-"))
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="wattloom-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back, cutting lineage.
+    """Write ``df`` to the shared folder and read it back, cutting lineage.
 
-    Used where one frame feeds several jobs (model fits): the written copy
-    survives the loss of any executor, unlike a cached one.
+    For frames read by several jobs or branches.  The written table survives
+    the loss of any executor, and its known size lets the optimizer decide
+    which joins to broadcast.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/wattloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

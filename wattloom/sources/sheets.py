@@ -124,40 +124,55 @@ def _month_tokens(cells: Column) -> Column:
     return F.size(F.filter(cells, lambda x: x.rlike(MONTH_TOKEN)))
 
 
+def _heads(numbered: DataFrame, label: str = VALUE_LABEL) -> DataFrame:
+    """What the first lines say about each sheet: layout, month row, value row."""
+    cells = numbered.select("file", "line_no", _order().alias("at"), split_cells("line").alias("cells"))
+    cells = cells.select("*", _month_tokens(F.col("cells")).alias("months"))
+    enough = F.col("months") >= MIN_MONTH_TOKENS
+    is_month_row = enough & (F.col("line_no") < MONTH_ROW_LINES)
+    labelled = F.contains(F.col("cells")[0], F.lit(label))
+    return cells.groupBy("file").agg(
+        F.coalesce(F.bool_or(enough & (F.col("line_no") < LAYOUT_LINES)), F.lit(False)).alias("wide"),
+        F.min_by("cells", F.when(is_month_row, F.col("at"))).alias("header"),
+        F.min_by("cells", F.when(labelled, F.col("at"))).alias("cells"),
+    )
+
+
+def _known(rows: DataFrame, month: Column, value: Column) -> DataFrame:
+    out = rows.select("file", parse_cn_month(month).alias("ts"), to_double(value).alias("value"))
+    return out.filter(F.col("ts").isNotNull() & F.col("value").isNotNull())
+
+
+def _across(heads: DataFrame) -> DataFrame:
+    pairs = _cells_by_header(heads, ["file"]).filter(F.col("head").rlike(MONTH_TOKEN))
+    return _known(pairs, F.col("head"), F.col("cell"))
+
+
+def _down(numbered: DataFrame, header_row: int) -> DataFrame:
+    # Lines beyond the first block carry no number and lie below any header.
+    below = numbered.filter(F.coalesce(F.col("line_no") > header_row, F.lit(True)))
+    cells = below.select("file", split_cells("line").alias("cells"))
+    return _known(cells, F.get("cells", F.lit(0)), F.get("cells", F.lit(1)))
+
+
 def detect_layout(lines: DataFrame) -> DataFrame:
     """``(file, layout)``: horizontal when one of the first lines holds several months."""
-    head = _numbered(lines)
-    hits = F.max(F.when(F.col("line_no") < LAYOUT_LINES, _month_tokens(split_cells("line"))))
-    return head.groupBy("file").agg(
-        F.when(hits >= MIN_MONTH_TOKENS, "horizontal").otherwise("vertical").alias("layout")
-    )
+    return _heads(_numbered(lines)).select("file", F.when(F.col("wide"), "horizontal").otherwise("vertical").alias("layout"))
 
 
 def melt_months(lines: DataFrame, label: str = VALUE_LABEL) -> DataFrame:
     """Months across, values in the first row whose label contains ``label``."""
-    cells = _numbered(lines).select("file", "line_no", _order().alias("at"), split_cells("line").alias("cells"))
-    months = (F.col("line_no") < MONTH_ROW_LINES) & (_month_tokens(F.col("cells")) >= MIN_MONTH_TOKENS)
-    labelled = F.contains(F.col("cells")[0], F.lit(label))
-    sheet = cells.groupBy("file").agg(
-        F.min_by("cells", F.when(months, F.col("at"))).alias("header"),
-        F.min_by("cells", F.when(labelled, F.col("at"))).alias("cells"),
-    )
-    pairs = _cells_by_header(sheet, ["file"]).filter(F.col("head").rlike(MONTH_TOKEN))
-    out = pairs.select("file", parse_cn_month("head").alias("ts"), to_double("cell").alias("value"))
-    return out.filter(F.col("ts").isNotNull() & F.col("value").isNotNull())
+    return _across(_heads(_numbered(lines), label))
 
 
 def melt_vertical(lines: DataFrame, header_row: int = VERTICAL_HEADER_ROW) -> DataFrame:
     """Dates in the first column, values in the second, below the header line."""
-    rows = with_header_marker(lines, header_row)
-    out = rows.select(
-        "file", parse_cn_month(F.get("cells", F.lit(0))).alias("ts"), to_double(F.get("cells", F.lit(1))).alias("value")
-    )
-    return out.filter(F.col("ts").isNotNull() & F.col("value").isNotNull())
+    return _down(_numbered(lines), header_row)
 
 
-def melt_sheets(lines: DataFrame) -> DataFrame:
+def melt_sheets(lines: DataFrame, label: str = VALUE_LABEL, header_row: int = VERTICAL_HEADER_ROW) -> DataFrame:
     """``(file, ts, value)`` of single-metric sheets in either layout."""
-    layouts = detect_layout(lines)
-    of = lambda kind: lines.join(layouts.filter(F.col("layout") == kind).select("file"), "file", "left_semi")
-    return melt_months(of("horizontal")).unionByName(melt_vertical(of("vertical")))
+    numbered = _numbered(lines)
+    heads = _heads(numbered, label)
+    tall = numbered.join(heads.filter(~F.col("wide")).select("file"), "file", "left_semi")
+    return _across(heads.filter("wide")).unionByName(_down(tall, header_row))
