@@ -109,3 +109,20 @@ def i10(spark, d):
 @query("i11_clean_supply")
 def i11(spark, d):
     return flows.clean_supply(shapes.with_gaps(shapes.supply_wide(spark, d), SUPPLY), KEYS, TS, SUPPLY, TREES)
+
+
+# What the clean flows promise whatever the model predicts: known figures
+# stay, nothing is missing, parts add up.
+_KNOWN = f"case when gaps = 1 and total_demand is null then {_REST} else total_demand end"
+
+
+@query("i10_clean_demand_promises", with_("gappy") + f""", n as (select *, {_NULLS} as gaps from gappy)
+    select region, ts, {sq(_KNOWN, 2, "known_total")}, true as complete, true as parts_match from n""")
+def i10_promises(spark, d):
+    gappy = shapes.demand_gappy(spark, d)
+    cleaned = flows.clean_demand(gappy, KEYS, TS, DEMAND, TREES)
+    known = I.fill_by_accounting(gappy, DEMAND).select(*KEYS, TS, F.col(DEMAND.total).isNotNull().alias("was_known"))
+    total, parts = F.col(DEMAND.total), sum(F.col(p) for p in DEMAND.parts)
+    return settled(cleaned.join(known, [*KEYS, TS]).select(
+        *KEYS, TS, F.when(F.col("was_known"), total).alias("known_total"),
+        (total.isNotNull() & parts.isNotNull()).alias("complete"), (F.abs(total - parts) <= total * 1e-9).alias("parts_match")), 2)

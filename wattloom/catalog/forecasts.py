@@ -43,6 +43,13 @@ def f1(spark, d):
     return FC.forecast_sarima(shapes.demand_wide(spark, d), KEYS, TS, DEMAND.total, 120)
 
 
+@query("f1_forecast_calendar", with_("demand_wide") + """select region, cast(last + to_months(cast(h as int)) as date) as ts, true as known
+    from (select region, max(ts) as last from demand_wide group by 1), (select unnest(generate_series(1, 120)) as h)""")
+def f1_calendar(spark, d):
+    path = FC.forecast_sarima(shapes.demand_wide(spark, d), KEYS, TS, DEMAND.total, 120)
+    return path.select(*KEYS, TS, (F.col("forecast").isNotNull() & ~F.isnan("forecast")).alias("known"))
+
+
 @query("f2_seasonal_naive", with_("gappy", fc=_naive("gappy", "total_demand", 120)) + f"select region, ts, {sq('forecast', 2, 'forecast')} from fc")
 def f2(spark, d):
     return settled(FC.forecast_seasonal_naive(shapes.demand_gappy(spark, d), KEYS, TS, DEMAND.total, 120), 2)

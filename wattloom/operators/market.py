@@ -203,6 +203,13 @@ def scarcity_proxy(
     return df.withColumn(observed, F.when(matched == 0, proxy).otherwise(F.col(observed)))
 
 
+def squared_error(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
+    error = F.col("price") - F.col("observed")
+    return pairs.groupBy(*by).agg(
+        F.coalesce(F.sum(error * error), F.lit(0.0)).alias("sse"), F.count(error).alias("pairs")
+    )
+
+
 def calibration_error(pred: DataFrame, obs: DataFrame, keys, ts, mode: str = "monthly", by=()) -> DataFrame:
     """Squared error and pair count of predicted against observed prices.
 
@@ -216,10 +223,7 @@ def calibration_error(pred: DataFrame, obs: DataFrame, keys, ts, mode: str = "mo
         pairs = match_observed(yearly, obs, [*keys, "year"])
     else:
         pairs = match_observed(pred, obs, [*keys, ts])
-    error = F.col("price") - F.col("observed")
-    return pairs.groupBy(*keys, *by).agg(
-        F.coalesce(F.sum(error * error), F.lit(0.0)).alias("sse"), F.count(error).alias("pairs")
-    )
+    return squared_error(pairs, [*keys, *by])
 
 
 def calibrate_grid(
@@ -239,13 +243,19 @@ def calibrate_grid(
     step = (scales[-1] - scales[0]) / max(1, len(scales) - 1)
 
     def best(panel: DataFrame) -> DataFrame:
-        errors = calibration_error(clear_market(panel), obs, keys, ts, mode, by=["scale"])
+        errors = score(clear_market(panel))
         order = F.struct("sse", "scale")
         return errors.groupBy(*keys).agg(
             F.min_by("scale", order).alias("scale"), F.min_by("sse", order).alias("sse"),
             F.min_by("pairs", order).alias("pairs"),
         )
 
+    if mode == "monthly":
+        # Observations are matched once, before months multiply by scales.
+        df = match_observed(df, obs, [*keys, ts])
+        score = lambda cleared: squared_error(cleared, [*keys, "scale"])
+    else:
+        score = lambda cleared: calibration_error(cleared, obs, keys, ts, mode, by=["scale"])
     found = best(scenario_grid(df, {"scale": scales}).drop("scenario_id"))
     for _ in range(rounds):
         step /= 4
@@ -273,12 +283,13 @@ def compare_scenarios(df: DataFrame, axes: Mapping[str, Sequence[float]], target
 
 def class_breaks(df: DataFrame, metric: str, n: int = COLOUR_CLASSES) -> DataFrame:
     """Equal-width class of a metric on the scale of the whole table, 0 to n-1."""
-    scale = df.agg(F.min(metric).alias("lo"), F.max(metric).alias("hi"))
-    ranged = df.withColumns({"__lo": scale.select("lo").scalar(), "__hi": scale.select("hi").scalar()})
-    spread = F.col("__hi") - F.col("__lo")
-    t = clip(safe_ratio(F.col(metric) - F.col("__lo"), spread), 0.0, 1.0)
+    scale = df.agg(F.struct(F.min(metric).alias("lo"), F.max(metric).alias("hi")).alias("scale"))
+    ranged = df.withColumn("__scale", scale.scalar())
+    lo, hi = F.col("__scale.lo"), F.col("__scale.hi")
+    spread = hi - lo
+    t = clip(safe_ratio(F.col(metric) - lo, spread), 0.0, 1.0)
     cls = F.least(F.floor(t * n), F.lit(n - 1)).cast("int")
     return ranged.withColumn(
         "class", F.when(F.col(metric).isNull(), F.lit(None).cast("int"))
         .when(spread <= 0, F.lit(min(DEGENERATE_CLASS, n - 1))).otherwise(cls)
-    ).drop("__lo", "__hi")
+    ).drop("__scale")
