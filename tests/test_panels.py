@@ -191,3 +191,21 @@ def test_indicator_flow_uses_one_exchange_on_the_series(spark):
     assert plan.count("Exchange hashpartitioning(k") == 1 and "SinglePartition" not in plan
     assert out.count() == 36 and "s2_share_yoy_ma3" in out.columns and "d_seasonal_strength" in out.columns
     assert "d_seasonal_yoy" not in out.columns
+
+
+def test_large_quantiles_equal_numpy_on_a_skewed_key(spark):
+    # One key holds two thirds of the rows, with many ties.
+    df = spark.range(0, 9000, numPartitions=12).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5)).alias("k"), (F.col("id") * 7919 % 211).cast("double").alias("v"))
+    got = {(r.k, r.prob): r.value for r in A.large_quantiles(df, "v", [0.01, 0.5, 0.99], ["k"]).collect()}
+    for k, g in df.toPandas().groupby("k"):
+        near([got[k, p] for p in (0.01, 0.5, 0.99)], [float(g["v"].quantile(p)) for p in (0.01, 0.5, 0.99)])
+    whole = A.large_quantiles(df, "v", [0.5]).collect()[0]
+    near([whole.value], [float(df.toPandas()["v"].median())])
+
+
+def test_windows_insist_on_a_series_key(spark):
+    df = series(spark, [1.0])
+    for call in (lambda: W.lags(df, [], "ts", "v", [1]), lambda: W.pct_change(df, [], "ts", "v", 1), lambda: I.winsorize(df, [], ["v"])):
+        with pytest.raises(ValueError):
+            call()

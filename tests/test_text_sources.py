@@ -116,3 +116,28 @@ def test_sinks(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "t")).select("n", "id"), "n") == [(1, 0), (2, 1)]
     both = sinks.export_combined({"a": df, "b": df.select("n")})
     assert both.count() == 4 and {r.kind for r in both.collect()} == {"a", "b"}
+
+
+def test_price_table(spark):
+    import pytest
+    from wattloom.plans import national as N
+
+    raw = spark.createDataFrame([
+        ("2010", "0.38456", "610.82", "43220"), ("2011,0", "384.5", None, "0.4"), ("n/a", "1", "1", "1"), ("2012", "x", "y", "300"),
+    ], "Date string, National_Avg_Yuan_Per_MWh string, coal_benchmark_yuan_per_mwh string, nuclear_yuan_per_mwh string")
+    out = N.clean_prices(raw).orderBy("year")
+    assert out.columns == ["year", *N.PRICE_COLUMNS]
+    got = [tuple(r)[:4] for r in out.collect()]
+    near(got, [(2010, 384.56, 610.82, 43.22), (2011, 384.5, None, 400.0), (2012, None, None, 300.0)])
+    with pytest.raises(ValueError):
+        N.clean_prices(raw.withColumnRenamed("Date", "when"))
+
+
+def test_province_sheet(spark, tmp_path):
+    from wattloom.functions.scalars import map_codes
+    from wattloom.plans import national as N
+
+    (tmp_path / "p.csv").write_text("a\n地区,2009年,2024年\n北京市,1,\"2,000\"\n某地,3,4\n数据来源\n", encoding="utf-8")
+    sheet = N.read_province_sheet(sheets.read_lines(spark, str(tmp_path / "p.csv")), "total_gen_annual")
+    assert rows(map_codes(sheet, N.province_codes(spark), "province")) == [("北京市", 2024, 2000.0, "CN-11")]
+    assert len(N.PROVINCES) == len(set(N.PROVINCES.values())) == 31

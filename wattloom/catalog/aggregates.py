@@ -51,6 +51,14 @@ def a5(spark, d):
     return settled(A.quantiles(shapes.demand_gappy(spark, d), _COLS, [0.01, 0.5, 0.99], KEYS), 2, ["value"])
 
 
+@query("a5_quantiles_large_groups", _long(["0.01", "0.25", "0.5", "0.99"], lambda p: f"""
+    select l_returnflag, 'l_extendedprice' as "column", cast({p} as double) as prob, {sq(f"quantile_cont(l_extendedprice, {p})", 2, "value")}
+    from lineitem group by 1"""))
+def a5_large(spark, d):
+    rows = read_table(spark, d, "lineitem")
+    return settled(A.large_quantiles(rows, "l_extendedprice", [0.01, 0.25, 0.5, 0.99], ["l_returnflag"]), 2, ["value"])
+
+
 @query("a6_null_profile", with_("gappy") + _long(_COLS, lambda c: f"""select region, '{c}' as "column",
     count(*) - count({c}) as nulls, {sq(f"(count(*) - count({c})) * 100.0 / count(*)", 6, "pct")} from gappy group by 1"""))
 def a6(spark, d):
@@ -87,22 +95,19 @@ def a9(spark, d):
     return settled(A.metric_scale(monthly, "v", TS), 2, ["mean"])
 
 
-_MOM = "abs({c} / nullif(lag({c}) over (partition by region order by ts), 0) - 1)"
-_VOL = with_("demand_wide", "supply_wide", chg=f"""select region, 'demand' as "group", c as "column", stddev_samp(v) as std from (
-        select region, ts, 'seg_1_mom' as c, {_MOM.format(c='seg_1')} as v from demand_wide
-        union all select region, ts, 'seg_2_mom', {_MOM.format(c='seg_2')} from demand_wide
-        union all select region, ts, 'total_demand_mom', {_MOM.format(c='total_demand')} from demand_wide) group by 1, 2, 3
-    union all select region, 'supply', 'total_supply_mom', stddev_samp({{}}) from (select region, {_MOM.format(c='total_supply')} as v from supply_wide) group by 1""".replace("{}", "v"))
+_MOM = "abs({0} / nullif(lag({0}) over (partition by region order by ts), 0) - 1)"
+_VOLATILE = {"demand": ["total_demand", "seg_1", "seg_2"], "supply": ["total_supply"]}
+_CHANGES = " union all ".join(
+    f"select region, '{g}' as \"group\", '{c}_mom' as \"column\", stddev_samp(v) as std from (select region, {_MOM.format(c)} as v from merged) group by 1"
+    for g, cols in _VOLATILE.items() for c in cols)
 
 
-@query("a10_volatility_top", _VOL + f"""select region, "group", arg_max("column", std) as "column", {sq("max(std)", 6, "std")}
+@query("a10_volatility_top", with_("merged", chg=_CHANGES) + f"""select region, "group", arg_max("column", std) as "column", {sq("max(std)", 6, "std")}
     from chg group by 1, 2""")
 def a10(spark, d):
-    merged = shapes.merged(spark, d)
-    cols = ["seg_1", "seg_2", "total_demand", "total_supply"]
-    changed = W.pct_change_many(merged, KEYS, TS, {f"{c}_mom": (c, 1) for c in cols}, pad=False)
-    return settled(A.volatility_top(changed, {
-        "demand": ["total_demand_mom", "seg_1_mom", "seg_2_mom"], "supply": ["total_supply_mom"]}, KEYS), 6)
+    cols = [c for cs in _VOLATILE.values() for c in cs]
+    changed = W.pct_change_many(shapes.merged(spark, d), KEYS, TS, {f"{c}_mom": (c, 1) for c in cols}, pad=False)
+    return settled(A.volatility_top(changed, {g: [f"{c}_mom" for c in cs] for g, cs in _VOLATILE.items()}, KEYS), 6)
 
 
 @query("a11_edge_means", with_("demand_wide") + f"""select region, {sq("avg(total_demand) filter (up <= 12)", 2, "first_mean")},

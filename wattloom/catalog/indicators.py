@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattloom.catalog.registry import query, settled, sq, sqs, with_
+from wattloom.functions.scalars import select_by_pattern
 from wattloom.operators import indicators as K
-from wattloom.plans import shapes
+from wattloom.plans import flows, shapes
 from wattloom.plans.shapes import DEMAND, KEYS, SUPPLY, TS
 
 CLEAN = ["src_2", "src_3", "src_4", "src_5"]
@@ -137,3 +138,28 @@ def indicator_table(spark, d):
 @query("k8_indicators", with_("merged", **INDICATOR_CTES) + f"select region, ts, balance_status, {sqs(MONEY, 2)}, {sqs(DERIVED, 6)} from ind")
 def k8(spark, d):
     return settled(settled(indicator_table(spark, d), 2, MONEY), 6, DERIVED)
+
+
+_SIMPLE = "p / nullif(lag(p, 12) over (partition by region order by ts), 0) - 1"
+
+
+@query("k9_simple_indicators", with_("merged") + f"""select region, ts, {", ".join(
+    sq(f"coalesce({p} / nullif(total_supply, 0), 0)", 6, f"{p}_share") for p in SUPPLY.parts)}, {sq(_SIMPLE, 6, "total_supply_yoy")}
+    from (select *, last_value(total_supply ignore nulls) over (partition by region order by ts
+        rows between unbounded preceding and current row) as p from merged)""")
+def k9(spark, d):
+    out = K.shares(shapes.merged(spark, d), SUPPLY, of_total=True)
+    out = K.growth(out, KEYS, TS, [SUPPLY.total], limit_outliers=False)
+    return settled(out.select(*KEYS, TS, *[f"{p}_share" for p in SUPPLY.parts], f"{SUPPLY.total}_yoy"), 6)
+
+
+@query("p21_balance_extract", with_("merged", **INDICATOR_CTES) + f"""select region, ts, {", ".join(MONEY)},
+    {sq("supply_demand_ratio", 6, "supply_demand_ratio")}, balance_status from ind""")
+def p21(spark, d):
+    return settled(flows.extracts(indicator_table(spark, d), KEYS, TS, DEMAND, SUPPLY)["balance"], 6, ["supply_demand_ratio"])
+
+
+@query("p20_indicator_columns", with_("merged", **INDICATOR_CTES) + f"select region, ts, {sqs(DERIVED, 6)} from ind")
+def p20(spark, d):
+    patterns = ["_ratio", "_share", "_yoy", "_mom", "_seasonal", "_efficiency"]
+    return settled(select_by_pattern(indicator_table(spark, d), [*KEYS, TS], patterns), 6)

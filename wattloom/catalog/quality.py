@@ -35,7 +35,7 @@ def identity_sql(name, source, total, parts, tol, rate):
     }, pass_if(f"bad <= n * {rate}"))
 
 
-def _checks(df):
+def checks_for_comparison(df):
     """Checks carry money and rates in one column: money is cut to cents first."""
     money = F.col("metric").isin("max_deviation", "mean_deviation", "first_mean", "last_mean")
     return settled(df.withColumn("value", F.when(money, F.round("value", 2)).otherwise(F.col("value"))), 6)
@@ -47,12 +47,12 @@ _Q2 = identity_sql("demand", "gappy", "total_demand", DEMAND.parts, 0.10, 0.02)
 
 @query("q1_generation_identity", with_("supply_wide") + _Q1)
 def q1(spark, d):
-    return _checks(Q.check_identity(shapes.supply_wide(spark, d), SUPPLY, "generation", 0.02, keys=KEYS))
+    return checks_for_comparison(Q.check_identity(shapes.supply_wide(spark, d), SUPPLY, "generation", 0.02, keys=KEYS))
 
 
 @query("q2_demand_identity", with_("gappy") + _Q2)
 def q2(spark, d):
-    return _checks(Q.check_identity(shapes.demand_gappy(spark, d), DEMAND, "demand", 0.10, 0.02, KEYS))
+    return checks_for_comparison(Q.check_identity(shapes.demand_gappy(spark, d), DEMAND, "demand", 0.10, 0.02, KEYS))
 
 
 _Q3 = rows_sql("""(select region, avg(r) as mean, min(r) as lo, max(r) as hi, count(*) filter (r >= 0.8 and r <= 1.2) as ok,
@@ -68,7 +68,7 @@ def _balance(spark, d):
 
 @query("q3_balance_range", with_("merged") + _Q3)
 def q3(spark, d):
-    return _checks(_balance(spark, d))
+    return checks_for_comparison(_balance(spark, d))
 
 
 _Q4 = rows_sql("""(select region, max(g) as mx, count(*) filter (g > 31) as gaps, count(*) as n,
@@ -80,7 +80,7 @@ _Q4 = rows_sql("""(select region, max(g) as mx, count(*) filter (g > 31) as gaps
 
 @query("q4_temporal", with_("merged") + _Q4)
 def q4(spark, d):
-    return _checks(Q.check_temporal(shapes.merged(spark, d), KEYS, TS))
+    return checks_for_comparison(Q.check_temporal(shapes.merged(spark, d), KEYS, TS))
 
 
 _SIDES = {"supply": [f"{p}_share" for p in SUPPLY.parts], "demand": [f"{p}_share" for p in DEMAND.parts]}
@@ -102,7 +102,7 @@ _Q5 = rows_sql(f"""(select region, {_dev('s')} as s, {_dev('d')} as d from (
 
 @query("q5_shares", _IND + _Q5)
 def q5(spark, d):
-    return _checks(Q.check_shares(indicator_table(spark, d), _SIDES, keys=KEYS))
+    return checks_for_comparison(Q.check_shares(indicator_table(spark, d), _SIDES, keys=KEYS))
 
 
 _YOY = [f"{c}_yoy" for c in (*DEMAND.columns, *SUPPLY.columns)]
@@ -113,7 +113,7 @@ _Q6 = rows_sql("(select region, " + ", ".join(f"count(*) filter (abs({c}) > 0.5)
 
 @query("q6_growth", _IND + _Q6)
 def q6(spark, d):
-    return _checks(Q.check_growth(indicator_table(spark, d), _YOY, 0.5, keys=KEYS))
+    return checks_for_comparison(Q.check_growth(indicator_table(spark, d), _YOY, 0.5, keys=KEYS))
 
 
 def _five_checks(table):
@@ -162,7 +162,7 @@ _Q9 = rows_sql(f"""(select region, avg(supply_demand_ratio) as ratio_mean, min(s
 
 @query("q9_indicator_sanity", _IND + _Q9)
 def q9(spark, d):
-    return _checks(Q.sanity_indicators(indicator_table(spark, d), "supply_demand_ratio", _SIDES, _SANITY_YOY, keys=KEYS))
+    return checks_for_comparison(Q.sanity_indicators(indicator_table(spark, d), "supply_demand_ratio", _SIDES, _SANITY_YOY, keys=KEYS))
 
 
 @query("q10_alignment_stats", """
@@ -211,4 +211,4 @@ _VOL = " union all ".join(
 def q12(spark, d):
     table = materialize(indicator_table(spark, d))
     edges = A.edge_means(table.filter(F.col(DEMAND.total).isNotNull()), KEYS, TS, DEMAND.total)
-    return _checks(Q.report_table(_five_checks(table), table, _GROUPS, edges, KEYS))
+    return checks_for_comparison(Q.report_table(_five_checks(table), table, _GROUPS, edges, KEYS))

@@ -9,19 +9,31 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattloom.catalog.registry import query, settled, sq, sqs, with_
+from wattloom.operators import quality as Q
 from wattloom.operators.align import combine_metrics
 from wattloom.operators.forecast import forecast_seasonal_naive
 from wattloom.catalog.forecasts import _naive
+from wattloom.catalog.quality import _Q1, checks_for_comparison
 from wattloom.plans import shapes
 from wattloom.plans.shapes import DEMAND, KEYS, SUPPLY, TS
-from wattloom.session import materialize
+from wattloom.session import materialize, scratch_path
 from wattloom.sources import sheets, sinks
-from wattloom.sources.tables import read_table
+from wattloom.sources.tables import first_available, read_csv, read_table
 
 YEARS = list(range(1995, 2002))
 ANY_YEAR = r"((?:19|20)\d{2})"
 
 
+@query("s1_csv_scan", """select o_orderkey, cast(o_orderdate as date) as day, o_totalprice from orders""")
+def s1(spark, d):
+    path = scratch_path(spark)
+    orders = read_table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+    sinks.write_csv(orders, path, decimals=2)
+    # The first source is absent; the written one is the fallback.
+    schema = "o_orderkey bigint, day date, o_totalprice double"
+    return first_available(lambda: read_csv(spark, f"{path}-absent", schema), lambda: read_csv(spark, path, schema))
+
+
 @query("s2_parquet_scan", """select c_mktsegment, count(*) as n, cast(sum(cast(c_acctbal as decimal(18,2))) as double) as balance from customer group by 1""")
 def s2(spark, d):
     return read_table(spark, d, "customer").groupBy("c_mktsegment").agg(
@@ -131,6 +143,13 @@ def s10(spark, d):
     return sinks.fixed_decimals(read_table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") / 8).alias("balance")), 6)
 
 
+@query("s12_report_sink", with_("supply_wide") + _Q1)
+def s12(spark, d):
+    path = scratch_path(spark)
+    sinks.write_report(Q.check_identity(shapes.supply_wide(spark, d), SUPPLY, "generation", 0.02, keys=KEYS), path)
+    return checks_for_comparison(spark.read.parquet(path))
+
+
 @query("s13_export_combined", with_("demand_wide", "supply_wide", fd=_naive("demand_wide", "total_demand", 24)) + f"""
     select 'demand_forecast' as kind, region, ts, {sq("forecast", 2, "value")} from fd
     union all select 'historical_demand', region, ts, {sq("total_demand", 2)} from demand_wide

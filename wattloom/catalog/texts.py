@@ -97,7 +97,7 @@ _B = with_("demand_wide", **BULLETIN_CTES)
 
 
 @query("t2_extract_quantity", with_("demand_wide", **BULLETIN_CTES) + f"""select region, ts, {sq("case when kind in (0, 2) then n0 / 10 else c0 / 10 end", 3, "total")},
-    {sq("case when kind in (0, 2) then n1 / 10 else c1 / 10 end", 3, "first")} from prior where kind <> 3""")
+    {sq("case kind when 0 then n1 / 10 when 2 then coalesce(n1, c1) / 10 else c1 / 10 end", 3, "first")} from prior where kind <> 3""")
 def t2(spark, d):
     pages = bulletins(spark, d).filter(F.col("html").isNotNull())
     text = T.html_to_text("html")

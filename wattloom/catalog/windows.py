@@ -110,3 +110,17 @@ def x1(spark, d):
     monthly = read_table(spark, d, "orders").groupBy("o_custkey", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias(TS)).agg(
         F.count(F.lit(1)).alias("n"))
     return W.densify_months(monthly, ["o_custkey"], TS)
+
+
+_HOURLY = "hourly as materialized (select user_id, date_trunc('hour', ts) as hour, avg(value) as value from events group by 1, 2)"
+_USER = "over (partition by user_id order by hour rows between 2 preceding and current row)"
+
+
+@query("w4_hourly_change_per_user", f"""with {_HOURLY} select user_id, hour, {sq("value", 6, "value")},
+    {sq("value / nullif(lag(value) over (partition by user_id order by hour), 0) - 1", 6, "change")},
+    {sq(f"case when count(value) {_USER} = 3 then avg(value) {_USER} end", 6, "smooth")} from hourly""")
+def w4_hourly(spark, d):
+    hourly = read_table(spark, d, "events").groupBy("user_id", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")).agg(
+        F.avg("value").alias("value"))
+    changed = W.pct_change(hourly, ["user_id"], "hour", "value", 1, out="change")
+    return settled(W.rolling_mean(changed, ["user_id"], "hour", "value", 3, out="smooth"), 6)

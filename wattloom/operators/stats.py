@@ -1,19 +1,22 @@
 """Aggregations: grouped sums, profiles, quantiles and scales.
 
 ``keys`` may be empty for a whole-table figure.  Sums, counts, extremes and
-moments combine on the map side.  Exact quantiles are meant for one series of
-months per group (bounded by the calendar); ``approx`` swaps in the
-mergeable sketch for groups without such a bound.
+moments combine on the map side.  The exact ``percentile`` aggregate holds the
+values of a group in one task, which suits one series of months per group
+(bounded by the calendar).  For groups without such a bound ``large_quantiles``
+is exact by distributed ranks, and ``approx`` uses a mergeable sketch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import to_month
+from wattloom.operators.align import with_ids
 
 QUARTILES = [0.25, 0.5, 0.75]
 SKETCH_ACCURACY = 10_000
@@ -74,6 +77,33 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys=(
     ], "column")
 
 
+def large_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys=()) -> DataFrame:
+    """Exact interpolated quantiles of groups of any size.
+
+    Ranks come from a range-partitioned sort, so a group holding most of the
+    table is spread over many tasks; only the rows at the wanted ranks are kept.
+    """
+    known = df.filter(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__v"))
+    ranked = with_ids(known, ["__v"], keys, out="__rank", large_groups=True)
+    if keys:
+        counted = ranked.join(ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), list(keys))
+    else:
+        counted = ranked.withColumn("__n", ranked.agg(F.count(F.lit(1))).scalar())
+    at = {p: F.lit(float(p)) * (F.col("__n") - 1) for p in probs}
+    wanted = reduce(lambda a, b: a | b, [(F.col("__rank") >= F.floor(x)) & (F.col("__rank") <= F.ceil(x)) for x in at.values()])
+    picked = counted.filter(wanted)
+    aggs = []
+    for i, x in enumerate(at.values()):
+        aggs += [F.max(F.when(F.col("__rank") == F.floor(x), F.col("__v"))).alias(f"__lo_{i}"),
+                 F.max(F.when(F.col("__rank") == F.ceil(x), F.col("__v"))).alias(f"__hi_{i}")]
+    row = picked.groupBy(*keys).agg(F.max("__n").alias("__n"), *aggs)
+    part = lambda p: at[p] - F.floor(at[p])
+    return _stack(row, keys, [
+        (col, {"prob": F.lit(float(p)), "value": F.col(f"__lo_{i}") + (F.col(f"__hi_{i}") - F.col(f"__lo_{i}")) * part(p)})
+        for i, p in enumerate(probs)
+    ], "column")
+
+
 def null_profile(df: DataFrame, cols: Sequence[str], keys=()) -> DataFrame:
     """NULL count and percentage of rows, one row per column."""
     row = df.groupBy(*keys).agg(

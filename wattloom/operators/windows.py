@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from wattloom.functions.scalars import safe_ratio
 
 
+def require_keys(keys: Sequence[str]) -> None:
+    """Positional windows without a series key would gather the table in one task."""
+    if not keys:
+        raise ValueError("at least one series key is required; give a single series a constant key column")
+
+
 def series(keys: Sequence[str], ts: str) -> WindowSpec:
+    require_keys(keys)
     return Window.partitionBy(*keys).orderBy(ts)
 
 
@@ -30,6 +37,7 @@ def over(keys: Sequence[str], ts: str | None = None, lo: str = "", hi: str = "cu
     Operators over many columns are written as SQL expressions: one call per
     column instead of one per node keeps plan building fast on wide panels.
     """
+    require_keys(keys)
     order = f" order by {q(ts)}" if ts else ""
     frame = f" rows between {lo} and {hi}" if lo else ""
     return f"over (partition by {', '.join(q(k) for k in keys)}{order}{frame})"

@@ -40,6 +40,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark)}/wattloom-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting lineage.
 
@@ -48,6 +53,6 @@ def materialize(df: DataFrame) -> DataFrame:
     which joins to broadcast.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/wattloom-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
