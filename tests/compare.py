@@ -46,7 +46,7 @@ def _canonical(pdf: pd.DataFrame) -> list[tuple]:
 
 def _kind(t: str) -> str:
     t = t.lower()
-    return {"integer": "int", "varchar": "string", "bigint": "bigint", "double": "double", "date": "date"}.get(t, t)
+    return {"integer": "int", "varchar": "string", "bigint": "bigint", "double": "double", "date": "date", "timestamp_ntz": "timestamp"}.get(t, t)
 
 
 def compare(df, con, sql: str) -> list[str]:
@@ -75,7 +75,8 @@ def main(prefixes: list[str]) -> int:
     from wattloom.session import build_session
 
     sf_dir = f"{DATA}/sf{os.environ.get('SF', '0.01')}"
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    tuned = {} if os.environ.get("PLAIN") else {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+    spark = build_session(master="local[8]", **{"spark.ui.enabled": "false", **tuned})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     failed = 0

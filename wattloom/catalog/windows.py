@@ -120,7 +120,6 @@ _USER = "over (partition by user_id order by hour rows between 2 preceding and c
     {sq("value / nullif(lag(value) over (partition by user_id order by hour), 0) - 1", 6, "change")},
     {sq(f"case when count(value) {_USER} = 3 then avg(value) {_USER} end", 6, "smooth")} from hourly""")
 def w4_hourly(spark, d):
-    hourly = read_table(spark, d, "events").groupBy("user_id", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")).agg(
-        F.avg("value").alias("value"))
+    hourly = shapes.hourly_events(spark, d, ["user_id"])
     changed = W.pct_change(hourly, ["user_id"], "hour", "value", 1, out="change")
     return settled(W.rolling_mean(changed, ["user_id"], "hour", "value", 3, out="smooth"), 6)

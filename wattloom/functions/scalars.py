@@ -32,11 +32,8 @@ def to_date_or_null(c: Column | str) -> Column:
     """Generic date parse; anything unreadable is NULL."""
     text = F.trim(_col(c).cast("string"))
     return F.coalesce(
-        text.try_cast("timestamp"),
-        F.try_to_timestamp(text, F.lit("yyyy/M/d")),
-        F.try_to_timestamp(text, F.lit("yyyy-M-d")),
-        F.try_to_timestamp(text, F.lit("yyyyMMdd")),
-    ).cast("date")
+        text.try_cast("date"), F.try_to_date(text, "yyyy/M/d"), F.try_to_date(text, "yyyy-M-d"), F.try_to_date(text, "yyyyMMdd"),
+    )
 
 
 def parse_ts(df: DataFrame, col: str) -> DataFrame:
@@ -48,8 +45,8 @@ def parse_cn_month(c: Column | str) -> Column:
     """``YYYY年M月`` becomes the 15th of that month; other text parses generically."""
     text = F.trim(_col(c).cast("string"))
     return F.coalesce(
-        F.try_to_timestamp(F.concat(text, F.lit("15日")), F.lit("yyyy年M月d日")).cast("date"),
-        F.try_to_timestamp(text, F.lit("yyyy年M月d日")).cast("date"),
+        F.try_to_date(F.concat(text, F.lit("15日")), "yyyy年M月d日"),
+        F.try_to_date(text, "yyyy年M月d日"),
         to_date_or_null(text),
     )
 

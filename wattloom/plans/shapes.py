@@ -131,7 +131,7 @@ def market_months(spark: SparkSession, d: str) -> DataFrame:
     return used.join(made, [*KEYS, TS])
 
 
-def hourly_events(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "events").groupBy(
-        "event_type", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")
-    ).agg(F.avg("value").alias("value"))
+def hourly_events(spark: SparkSession, d: str, keys=("event_type",)) -> DataFrame:
+    """(keys, hour, value): mean event value per series and hour, without a time zone."""
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
+    return read_table(spark, d, "events").groupBy(*keys, hour.alias("hour")).agg(F.avg("value").alias("value"))
