@@ -141,3 +141,10 @@ def test_province_sheet(spark, tmp_path):
     sheet = N.read_province_sheet(sheets.read_lines(spark, str(tmp_path / "p.csv")), "total_gen_annual")
     assert rows(map_codes(sheet, N.province_codes(spark), "province")) == [("北京市", 2024, 2000.0, "CN-11")]
     assert len(N.PROVINCES) == len(set(N.PROVINCES.values())) == 31
+
+
+def test_cells(spark):
+    cases = {'a,b': ["a", "b"], '"1,2"\t,,x ,': ["1,2", "", "x", ""], '': [""], '5" pipe,3': ["5 pipe", "3"],
+             ",".join(f'"{i},{i}"' for i in range(3000)): [f"{i},{i}" for i in range(3000)]}
+    for line, want in cases.items():
+        assert spark.createDataFrame([(line,)], "l string").select(sheets.split_cells("l")).first()[0] == want

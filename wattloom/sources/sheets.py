@@ -41,8 +41,14 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def split_cells(c: Column | str) -> Column:
-    """Comma-separated cells, quotes respected, tabs and outer blanks removed."""
-    cells = F.split(c, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    """Comma-separated cells, quotes respected, tabs and outer blanks removed.
+
+    A line whose quotes do not pair up is split at every comma.
+    """
+    line = F.col(c) if isinstance(c, str) else c
+    paired = F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 0
+    quoted = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'((?:"[^"]*+"|[^,"]++)*+),'), F.lit(1))
+    cells = F.when(paired, quoted).otherwise(F.split(line, ","))
     return F.transform(cells, lambda x: F.trim(F.regexp_replace(x, '[\t"]', "")))
 
 
