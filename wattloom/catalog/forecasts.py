@@ -32,9 +32,9 @@ def _naive(source, value, steps):
 
 def _trend(x, y, source, keys, targets):
     """CTE body of the line through ``y`` over ``x`` at the target years."""
-    return f"""select {keys}, cast(t as int) as {x}, case when n = 0 then 0.0 when n < 4 then last_y else coalesce(a + b * t, last_y) end as prediction
+    return f"""select {keys}, cast(t as int) as {x}, case when n = 0 then 0.0 when n < 4 then last_y else coalesce(my + b * (t - mx), last_y) end as prediction
         from (select {keys}, count({y}) as n, arg_max({y}, {x}) filter ({y} is not null) as last_y,
-            regr_slope({y}, {x}) as b, regr_intercept({y}, {x}) as a from {source} group by {keys}) f,
+            regr_slope({y}, {x}) as b, regr_avgx({y}, {x}) as mx, regr_avgy({y}, {x}) as my from {source} group by {keys}) f,
         (select unnest({list(targets)}) as t)"""
 
 

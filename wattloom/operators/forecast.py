@@ -153,10 +153,12 @@ def trend_predict(df: DataFrame, keys, x: str, y: str, targets: Sequence[int], o
     known_x = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
     fit = df.groupBy(*keys).agg(
         F.count(y).alias("__n"), F.max_by(y, known_x).alias("__last"),
-        F.regr_slope(F.col(y), known_x).alias("__b"), F.regr_intercept(F.col(y), known_x).alias("__a"),
+        F.regr_slope(F.col(y), known_x).alias("__b"), F.regr_avgx(F.col(y), known_x).alias("__x"),
+        F.regr_avgy(F.col(y), known_x).alias("__y"),
     )
     years = fit.select("*", F.explode(F.array(*[F.lit(int(t)) for t in targets])).alias(x))
-    line = F.coalesce(F.col("__a") + F.col("__b") * F.col(x), F.col("__last"))
+    # Through the centre of the points: an intercept at year 0 would cost digits.
+    line = F.coalesce(F.col("__y") + F.col("__b") * (F.col(x) - F.col("__x")), F.col("__last"))
     return years.select(
         *keys, x,
         F.when(F.col("__n") == 0, F.lit(0.0)).when(F.col("__n") < 4, F.col("__last")).otherwise(line).alias(out),
