@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,20 +29,40 @@ def build_session(app: str = "wattloom", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="wattloom-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a single-machine session (master ``local``) uses its
+    warehouse folder; any other master raises, as no folder of our choosing
+    would be visible to all executors.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return folder.rstrip("/")
 
 
+_written: dict[str, object] = {}
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Delete what ``scratch_path`` has handed out; runs at the end of the session's process."""
+    for path, context in _written.items():
+        with contextlib.suppress(Exception):
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    _written.clear()
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{shared_folder(spark)}/wattloom-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/wattloom-{uuid.uuid4().hex}"
+    _written[path] = spark.sparkContext
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -50,7 +70,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
     For frames read by several jobs or branches.  The written table survives
     the loss of any executor, and its known size lets the optimizer decide
-    which joins to broadcast.
+    which joins to broadcast.  The files go when the process ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark)
