@@ -53,11 +53,15 @@ def remove_scratch() -> None:
     """Delete what ``scratch_path`` has handed out; runs at the end of the session's process."""
     for path, context in _written.items():
         with contextlib.suppress(Exception):
-            where = context._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(context, path)
     _written.clear()
 
 
+def _delete(context, path: str) -> None:
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A path in the shared folder that nothing uses yet."""
     path = f"{shared_folder(spark)}/wattloom-{uuid.uuid4().hex}"
@@ -65,14 +69,33 @@ def scratch_path(spark: SparkSession) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting lineage.
 
     For frames read by several jobs or branches.  The written table survives
     the loss of any executor, and its known size lets the optimizer decide
-    which joins to broadcast.  The files go when the process ends.
+    which joins to broadcast.  The write's shuffle files go once it is done,
+    the table itself with ``discard`` or when the process ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of ``materialize`` that nothing reads any more."""
+    for df in frames:
+        path = df.scratch_path
+        if context := _written.pop(path, None):
+            _delete(context, path)
