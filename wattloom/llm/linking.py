@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.session import materialize
+from wattloom.session import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
             chained = parent.join(up, "parent")
             if chained.where("above <> parent").isEmpty():
                 break
-            parent = materialize(chained.select("node", F.col("above").alias("parent")))
+            parent, old = materialize(chained.select("node", F.col("above").alias("parent"))), parent
+            discard(old)
         labels = materialize(labels.join(parent, labels.component == parent.node, "left")
                              .select("id", F.coalesce("parent", "component").alias("component")))
         a, b = parent.toDF("a", "pa"), parent.toDF("b", "pb")
@@ -59,13 +60,16 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     own = F.struct("id", *[c for c in keys.columns if c not in ("key", "id")])
     shared = keys.groupBy("key").agg(F.min(own).alias("center"), F.max("id").alias("last"))
     shared = materialize(keys.join(shared.where("center.id <> last").drop("last"), "key"))
+    discard(keys)
     pairs = shared.withColumn("own", own).where("id <> center.id")
     if admit is not None:
         pairs = pairs.where(admit("center", "own"))
     pairs = pairs.select(F.col("center.id").alias("a"), F.col("id").alias("b"))
     if members is not None:
         pairs = pairs.union(members.where("id <> member").select(F.col("id").alias("a"), F.col("member").alias("b")))
-    first = materialize(verify(materialize(_ordered(pairs))))
+    pairs = materialize(_ordered(pairs))
+    first = materialize(verify(pairs))
+    discard(pairs)
     labels = components(first)
 
     rows = shared.drop("center")

@@ -123,8 +123,8 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     Nulls and texts without words have an empty set, which links with nothing:
     their component is their own doc_id.  Texts shorter than a shingle have one
     token, the whole sequence.  A row without doc_id takes the component of the
-    others with its set, or null.  Rows that repeat a doc_id are alike in their
-    component only if their sets are.  Other columns are not read; an empty
+    others with its set, or null.  Documents are known by doc_id: rows that give
+    one doc_id several texts share the links of all.  Other columns are not read; an empty
     table gives an empty result.
     """
     spark = docs.sparkSession

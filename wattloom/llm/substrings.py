@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import as_bytes, mixed, window_hashes, word_hashes
+from wattloom.session import materialize
 
 #: Lengths in words that a group's prefix may have, before the whole window.
 DEPTHS = (1, 2, 4)
 #: Words under one edge of a tree.
-EDGE = 4
+EDGE = 5
 
 
 def _cells(hashes: np.ndarray, size: int, bits: int) -> np.ndarray:
@@ -78,7 +79,7 @@ class _Slab:
         return (depth << bits) + cells[depth, np.arange(cells.shape[1])]
 
     def edges(self, chosen: np.ndarray) -> np.ndarray:
-        """Labels of the chosen windows, hashed four words to an edge."""
+        """Labels of the chosen windows, hashed ``EDGE`` words to an edge."""
         parts = []
         for h in self.hashes:
             n = len(h) - self.size + 1
@@ -96,6 +97,20 @@ def _prints(windows: np.ndarray) -> np.ndarray:
     return mixed(windows ^ np.uint64(0x5851F42D4C957F2D)).astype(np.uint32)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Ascending 32-bit values as their steps, in as few bytes each as the widest needs; the first byte says how many."""
+    steps = np.diff(values, prepend=values[:1] * 0).astype("<u4")
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + steps.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    steps = np.zeros(((len(raw) - 1) // width, 4), np.uint8)
+    steps[:, :width] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(steps.view("<u4").ravel(), dtype=np.uint64).astype(np.uint32)
+
+
 def _parts(group: np.ndarray):
     """Index arrays of the equal values of ``group``."""
     order = np.argsort(group, kind="stable")
@@ -107,7 +122,7 @@ def _emit_prints(size, bits, hot):
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slab = _slab(pa.Table.from_batches(list(batches)), size)
         prints = _prints(slab.windows[slab.distinct])
-        rows = [(g, np.unique(prints[i]).tobytes()) for g, i in _parts(slab.group(hot.value, bits))]
+        rows = [(g, _packed(np.unique(prints[i]))) for g, i in _parts(slab.group(hot.value, bits))]
         for at in range(0, len(rows), 512):
             some = rows[at:at + 512]
             yield pa.record_batch([pa.array([g for g, _ in some], pa.int64()), pa.array([key[0].as_py()] * len(some), pa.int64()),
@@ -120,10 +135,10 @@ def _shared_prints(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     slabs, prints = [], []
     for batch in batches:
         slabs += batch.column("slab").to_pylist()
-        prints += [np.frombuffer(p, np.uint32) for p in batch.column("prints").to_pylist()]
+        prints += [_unpacked(p) for p in batch.column("prints").to_pylist()]
     values, count = np.unique(np.concatenate(prints), return_counts=True)
     shared = values[count > 1]
-    rows = [(s, got.tobytes()) for s, p in zip(slabs, prints) if len(got := p[np.isin(p, shared, assume_unique=True)])]
+    rows = [(s, _packed(got)) for s, p in zip(slabs, prints) if len(got := p[np.isin(p, shared, assume_unique=True)])]
     yield pa.record_batch([pa.array([s for s, _ in rows], pa.int64()), pa.array([key[0].as_py()] * len(rows), pa.int64()),
                            pa.array([p for _, p in rows], pa.binary())], ["slab", "prefix", "prints"])
 
@@ -132,24 +147,34 @@ def _emit_suffixes(size, bits, hot):
     def run(key, left, right):
         if not left.num_rows or not right.num_rows:
             return pa.table({"prefix": pa.array([], pa.int64()), "slab": pa.array([], pa.int64()), "first": pa.array([], pa.binary()),
-                             "windows": pa.array([], pa.binary()), "edges": pa.array([], pa.binary())})
+                             "places": pa.array([], pa.binary()), "edges": pa.array([], pa.binary())})
         slab = _slab(left, size)
         shared = dict(zip(right.column("prefix").to_pylist(), right.column("prints").to_pylist()))
         prints = _prints(slab.windows[slab.distinct])
         rows = []
         for g, i in _parts(slab.group(hot.value, bits)):
-            if g in shared and len(i := i[np.isin(prints[i], np.frombuffer(shared[g], np.uint32))]):
+            if g in shared and len(i := i[np.isin(prints[i], _unpacked(shared[g]))]):
                 at = slab.distinct[i]
-                rows.append((g, slab.owner[at].tobytes(), slab.windows[at].tobytes(), at))
+                rows.append((g, _ids(slab.owner[at]), _packed(i.astype(np.uint32)), at))
         edges = slab.edges(np.concatenate([r[3] for r in rows]) if rows else np.empty(0, np.int64))
         bounds = np.cumsum([len(r[3]) for r in rows])[:-1]
         labels = [e.tobytes() for e in np.split(edges, bounds)] if rows else []
         return pa.table({"prefix": pa.array([r[0] for r in rows], pa.int64()), "slab": pa.array([key[0].as_py()] * len(rows), pa.int64()),
-                         "first": pa.array([r[1] for r in rows], pa.binary()), "windows": pa.array([r[2] for r in rows], pa.binary()),
+                         "first": pa.array([r[1] for r in rows], pa.binary()), "places": pa.array([r[2] for r in rows], pa.binary()),
                          "edges": pa.array(labels, pa.binary())})
     return run
 
 
+def _ids(values: np.ndarray) -> bytes:
+    """Document ids in 4 bytes each where all of them fit, else in 8; the first byte says which."""
+    kind = np.int32 if not len(values) or (values.min() >= -2 ** 31 and values.max() < 2 ** 31) else np.int64
+    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+
+
+def _read_ids(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<i{raw[0]}", offset=1).astype(np.int64)
+
+
 def deep_nodes(edges: np.ndarray) -> np.ndarray:
     """Number of the full-depth node that each suffix of a subtree hangs from.
 
@@ -165,13 +190,13 @@ def deep_nodes(edges: np.ndarray) -> np.ndarray:
 
 
 def _repeats(edge_count: int):
-    """Build a prefix group's subtree and tell slabs of earlier documents with their windows."""
+    """Build a prefix group's subtree and tell slabs of earlier documents that have their windows."""
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slabs, firsts, windows, edges = [], [], [], []
+        slabs, firsts, places, edges = [], [], [], []
         for batch in batches:
             slabs += batch.column("slab").to_pylist()
-            firsts += [np.frombuffer(x, np.int64) for x in batch.column("first").to_pylist()]
-            windows += [np.frombuffer(x, np.uint64) for x in batch.column("windows").to_pylist()]
+            firsts += [_read_ids(x) for x in batch.column("first").to_pylist()]
+            places += [_unpacked(x) for x in batch.column("places").to_pylist()]
             edges += [np.frombuffer(x, np.uint64).reshape(-1, edge_count) for x in batch.column("edges").to_pylist()]
         owner = np.concatenate(firsts)
         node = deep_nodes(np.concatenate(edges))
@@ -179,14 +204,14 @@ def _repeats(edge_count: int):
         np.minimum.at(least, node, owner)
         least = least[node]
         rows, at = [], 0
-        for s, first, w in zip(slabs, firsts, windows):
-            low = least[at:at + len(w)]
+        for s, first, place in zip(slabs, firsts, places):
+            low = least[at:at + len(place)]
             earlier = low < first
             if earlier.any():
-                rows.append((s, w[earlier].tobytes(), low[earlier].tobytes()))
-            at += len(w)
+                rows.append((s, _packed(place[earlier]), _ids(low[earlier])))
+            at += len(place)
         yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-                               pa.array([r[2] for r in rows], pa.binary())], ["slab", "windows", "least"])
+                               pa.array([r[2] for r in rows], pa.binary())], ["slab", "places", "least"])
     return run
 
 
@@ -199,11 +224,8 @@ def _cut(size: int, with_text: bool):
         texts = [t for c in left.column("text").chunks for t in as_bytes(c)]
         slab = _Slab(left.column("doc_id").to_pylist(), texts, size)
         least = slab.owner[slab.distinct].copy()
-        if right.num_rows:
-            w = np.frombuffer(b"".join(right.column("windows").to_pylist()), np.uint64)
-            low = np.frombuffer(b"".join(right.column("least").to_pylist()), np.int64)
-            at = np.searchsorted(slab.windows[slab.distinct], w)
-            np.minimum.at(least, at, low)
+        for place, low in zip(right.column("places").to_pylist(), right.column("least").to_pylist()):
+            least[_unpacked(place)] = _read_ids(low)
         covered = least[slab.rank] < slab.owner
         rows, start = [], 0
         for i, text in enumerate(texts):
@@ -269,9 +291,9 @@ def substring_dedup(docs: DataFrame, *, size: int = 13, slab_chars: int = 8_000_
     parts = docs.withColumn("slab", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(slabs)))
     by_slab = parts.groupBy("slab")
     prints = by_slab.applyInArrow(_emit_prints(size, bits, hot), "prefix long, slab long, prints binary")
-    shared = prints.groupBy("prefix").applyInArrow(_shared_prints, "slab long, prefix long, prints binary")
+    shared = materialize(prints.groupBy("prefix").applyInArrow(_shared_prints, "slab long, prefix long, prints binary"))
     suffixes = by_slab.cogroup(shared.groupBy("slab")).applyInArrow(
-        _emit_suffixes(size, bits, hot), "prefix long, slab long, first binary, windows binary, edges binary")
-    repeats = suffixes.groupBy("prefix").applyInArrow(_repeats(-(-size // EDGE)), "slab long, windows binary, least binary")
+        _emit_suffixes(size, bits, hot), "prefix long, slab long, first binary, places binary, edges binary")
+    repeats = materialize(suffixes.groupBy("prefix").applyInArrow(_repeats(-(-size // EDGE)), "slab long, places binary, least binary"))
     return by_slab.cogroup(repeats.groupBy("slab")).applyInArrow(
         _cut(size, with_text), _DIGEST + ", kept string" * with_text)
