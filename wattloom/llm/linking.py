@@ -47,7 +47,8 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     ``keys``: ``(key, id)`` and any attributes that ``admit(left, right)``
     compares to rule a pair out cheaply.  ``members (id, member)``: what an id
     stands for, if ids are groups; pairs are then formed between members.
-    ``verify`` takes distinct pairs ``(a, b)``, ``a < b``, and keeps the links.
+    ``verify`` takes distinct pairs ``(a, b)``, ``a < b``, and returns those that
+    are links, as a written table.
 
     Every link is found or lies inside a component that other links hold
     together: first each key's ids are compared with the smallest of them
@@ -68,7 +69,7 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     if members is not None:
         pairs = pairs.union(members.where("id <> member").select(F.col("id").alias("a"), F.col("member").alias("b")))
     pairs = materialize(_ordered(pairs))
-    first = materialize(verify(pairs))
+    first = verify(pairs)
     discard(pairs)
     labels = components(first)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wattloom.llm.common import as_bytes, mixed, window_hashes, word_hashes
 from wattloom.llm.linking import linked
-from wattloom.session import materialize
+from wattloom.session import discard, materialize
 
 #: Counters of the frequency sketch; fixed, so its size does not follow the input.
 SLOTS = 1 << 20
@@ -80,12 +80,18 @@ def _levels(sketch: DataFrame) -> np.ndarray:
     return levels
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the tokens that fall on it: two sets differ in at least as many tokens as bits."""
+    counts = np.bincount((tokens & np.uint64(511)).astype(np.int64), minlength=512)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(size: int, percent: int, levels):
     """Each set's rarest tokens, as many as any partner must share one of."""
     def run(batches):
         frequency = levels.value
         for batch in batches:
-            n, tokens, keys = [], [], []
+            n, tokens, keys, bits = [], [], [], []
             for raw in as_bytes(batch.column("text")):
                 s = shingle_set(raw, size)
                 take = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
@@ -93,9 +99,10 @@ def _prefixes(size: int, percent: int, levels):
                 n.append(len(s))
                 tokens.append(first.view(np.int64))
                 keys.append(xxhash.xxh3_128_digest(first.tobytes()))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()),
-                                   pa.array(tokens, pa.list_(pa.int64())), pa.array(keys, pa.binary())],
-                                  ["doc_id", "n", "prefix", "prefix_key"])
+                bits.append(parities(s))
+            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(tokens, pa.list_(pa.int64())),
+                                   pa.array(keys, pa.binary()), pa.array(bits, pa.list_(pa.int64()))],
+                                  ["doc_id", "n", "prefix", "prefix_key", "bits"])
     return run
 
 
@@ -118,7 +125,8 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     by hash; only its first ``n - ceil(t n) + 1`` tokens are joined, as alike
     sets must share one of them.  Sets of one size and one prefix form a group
     that is joined once; group pairs pass a length and a positional bound, are
-    expanded to members, and verified on their whole sets.
+    expanded to members, pass a bound from 512 parity bits, and are verified on
+    their whole sets.
 
     Nulls and texts without words have an empty set, which links with nothing:
     their component is their own doc_id.  Texts shorter than a shingle have one
@@ -137,7 +145,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     first = described.where("n > 0").groupBy("n", "set_key").agg(F.min("doc_id").alias("doc_id"))
     first = materialize(first.where("doc_id is not null"))
     prefixes = docs.where("doc_id is not null and text is not null").mapInArrow(
-        _prefixes(size, percent, levels), "doc_id long, n long, prefix array<bigint>, prefix_key binary")
+        _prefixes(size, percent, levels), "doc_id long, n long, prefix array<bigint>, prefix_key binary, bits array<bigint>")
     # a doc_id may come twice with different sets: the set's size tells most apart, verification the rest
     prefixes = materialize(prefixes.join(first.select("doc_id", "n"), ["doc_id", "n"], "left_semi"))
     groups = prefixes.groupBy("n", "prefix_key").agg(F.min("doc_id").alias("id"))
@@ -154,14 +162,20 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
         reach = reach + F.least(f"{left}.pos", f"{right}.pos")
         return (least * 100 >= most * percent) & (reach * (100 + percent) >= (least + most) * percent)
 
+    bits = prefixes.select("doc_id", "n", "bits")
+
     def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(bits.toDF("a", "na", "ba"), "a").join(bits.toDF("b", "nb", "bb"), "b")
+        apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        pairs = materialize(both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b").distinct())
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        wanted = docs.join(ids, "doc_id", "left_semi")
-        sets = materialize(wanted.mapInArrow(_sets(size), "doc_id long, tokens array<bigint>"))
+        sets = materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, tokens array<bigint>"))
         both = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
         both = both.withColumn("common", F.size(F.array_intersect("ta", "tb")))
-        return both.where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent) \
-            .select("a", "b").distinct()
+        links = materialize(both.where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent)
+                            .select("a", "b").distinct())
+        discard(pairs, sets)
+        return links
 
     found = linked(keys, verify, members=members, admit=admit)
     classes = first.join(found.toDF("doc_id", "component"), "doc_id", "left").select(
