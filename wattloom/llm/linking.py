@@ -41,18 +41,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members: DataFrame | None = None,
-           admit: Callable[[str, str], Column] | None = None) -> DataFrame:
+           admit: Callable[[str, str], Column] | None = None, prune: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components of the graph that links two ids sharing a key if ``verify`` accepts them.
 
     ``keys``: ``(key, id)`` and any attributes that ``admit(left, right)``
     compares to rule a pair out cheaply.  ``members (id, member)``: what an id
     stands for, if ids are groups; pairs are then formed between members.
     ``verify`` takes distinct pairs ``(a, b)``, ``a < b``, and returns those that
-    are links, as a written table.
+    are links, as a written table.  ``prune`` takes such pairs too and drops
+    those that a cheap bound on the ids alone rules out.
 
     Every link is found or lies inside a component that other links hold
-    together: first each key's ids are compared with the smallest of them
-    alone; then, within keys whose members are not yet in one component, every
+    together: first each key's ids are paired with the smallest of them, and
+    an id is compared with the smallest partner that it gets so; then, within keys whose members are not yet in one component, every
     member outside the most common component is compared with all members of
     other components.  A group of copies thus costs a comparison each.
     Returns ``(id, component)`` for members that have a link.
@@ -68,7 +69,8 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     pairs = pairs.select(F.col("center.id").alias("a"), F.col("id").alias("b"))
     if members is not None:
         pairs = pairs.union(members.where("id <> member").select(F.col("id").alias("a"), F.col("member").alias("b")))
-    pairs = materialize(_ordered(pairs))
+    prune = prune or (lambda found: found)
+    pairs = materialize(prune(_ordered(pairs)).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     first = verify(pairs)
     discard(pairs)
     labels = components(first)
@@ -93,7 +95,7 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     if admit is not None:
         rest = rest.where(admit("l", "r"))
     rest = _ordered(rest.select(F.col("l.member").alias("a"), F.col("r.member").alias("b")))
-    second = verify(materialize(rest))
+    second = verify(materialize(prune(rest)))
     return components(first.union(second))
 
 

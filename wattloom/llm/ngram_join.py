@@ -164,20 +164,22 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
 
     bits = prefixes.select("doc_id", "n", "bits")
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def prune(pairs: DataFrame) -> DataFrame:
         both = pairs.join(bits.toDF("a", "na", "ba"), "a").join(bits.toDF("b", "nb", "bb"), "b")
         apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        pairs = materialize(both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b").distinct())
+        return both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b").distinct()
+
+    def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         sets = materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, tokens array<bigint>"))
         both = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
         both = both.withColumn("common", F.size(F.array_intersect("ta", "tb")))
         links = materialize(both.where(F.col("common") * 100 >= (F.size("ta") + F.size("tb") - F.col("common")) * percent)
                             .select("a", "b").distinct())
-        discard(pairs, sets)
+        discard(sets)
         return links
 
-    found = linked(keys, verify, members=members, admit=admit)
+    found = linked(keys, verify, members=members, admit=admit, prune=prune)
     classes = first.join(found.toDF("doc_id", "component"), "doc_id", "left").select(
         "n", "set_key", F.coalesce("component", "doc_id").alias("component_id"))
     return described.join(classes, ["n", "set_key"], "left").select(

@@ -19,7 +19,7 @@ _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
 #: Segments that are looked up at a time, and those kept from one time to the next.
-_TOKENS, _KEPT = 100_000, 30_000
+_TOKENS, _KEPT = 60_000, 30_000
 
 
 class Vocabulary:
