@@ -80,18 +80,26 @@ def _levels(sketch: DataFrame) -> np.ndarray:
     return levels
 
 
-def parities(tokens: np.ndarray) -> np.ndarray:
-    """512 bits, each the parity of the tokens that fall on it: two sets differ in at least as many tokens as bits."""
-    counts = np.bincount((tokens & np.uint64(511)).astype(np.int64), minlength=512)
+#: Sets over this size also have the wider parity bits.
+_LARGE, _NARROW, _WIDE = 1000, 512, 8192
+
+
+def parities(tokens: np.ndarray, width: int) -> np.ndarray:
+    """Bits, each the parity of the tokens that fall on it: two sets differ in at least as many tokens as bits."""
+    counts = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
+def _apart(a: str, b: str):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def _prefixes(size: int, percent: int, levels):
     """Each set's rarest tokens, as many as any partner must share one of."""
     def run(batches):
         frequency = levels.value
         for batch in batches:
-            n, tokens, keys, bits = [], [], [], []
+            n, tokens, keys, bits, wide = [], [], [], [], []
             for raw in as_bytes(batch.column("text")):
                 s = shingle_set(raw, size)
                 take = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
@@ -99,10 +107,11 @@ def _prefixes(size: int, percent: int, levels):
                 n.append(len(s))
                 tokens.append(first.view(np.int64))
                 keys.append(xxhash.xxh3_128_digest(first.tobytes()))
-                bits.append(parities(s))
+                bits.append(parities(s, _NARROW))
+                wide.append(parities(s, _WIDE) if len(s) > _LARGE else None)
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(tokens, pa.list_(pa.int64())),
-                                   pa.array(keys, pa.binary()), pa.array(bits, pa.list_(pa.int64()))],
-                                  ["doc_id", "n", "prefix", "prefix_key", "bits"])
+                                   pa.array(keys, pa.binary()), pa.array(bits, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))],
+                                  ["doc_id", "n", "prefix", "prefix_key", "bits", "wide"])
     return run
 
 
@@ -125,7 +134,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     by hash; only its first ``n - ceil(t n) + 1`` tokens are joined, as alike
     sets must share one of them.  Sets of one size and one prefix form a group
     that is joined once; group pairs pass a length and a positional bound, are
-    expanded to members, pass a bound from 512 parity bits, and are verified on
+    expanded to members, pass a bound from parity bits, and are verified on
     their whole sets.
 
     Nulls and texts without words have an empty set, which links with nothing:
@@ -145,7 +154,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     first = described.where("n > 0").groupBy("n", "set_key").agg(F.min("doc_id").alias("doc_id"))
     first = materialize(first.where("doc_id is not null"))
     prefixes = docs.where("doc_id is not null and text is not null").mapInArrow(
-        _prefixes(size, percent, levels), "doc_id long, n long, prefix array<bigint>, prefix_key binary, bits array<bigint>")
+        _prefixes(size, percent, levels), "doc_id long, n long, prefix array<bigint>, prefix_key binary, bits array<bigint>, wide array<bigint>")
     # a doc_id may come twice with different sets: the set's size tells most apart, verification the rest
     prefixes = materialize(prefixes.join(first.select("doc_id", "n"), ["doc_id", "n"], "left_semi"))
     groups = prefixes.groupBy("n", "prefix_key").agg(F.min("doc_id").alias("id"))
@@ -162,12 +171,14 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
         reach = reach + F.least(f"{left}.pos", f"{right}.pos")
         return (least * 100 >= most * percent) & (reach * (100 + percent) >= (least + most) * percent)
 
-    bits = prefixes.select("doc_id", "n", "bits")
+    bits, wide = prefixes.select("doc_id", "n", "bits"), prefixes.where("wide is not null").select("doc_id", "wide")
 
     def prune(pairs: DataFrame) -> DataFrame:
+        near = lambda apart: apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
         both = pairs.join(bits.toDF("a", "na", "ba"), "a").join(bits.toDF("b", "nb", "bb"), "b")
-        apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        return both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b").distinct()
+        both = materialize(both.where(near(_apart("ba", "bb"))).select("a", "b", "na", "nb"))
+        both = both.join(wide.toDF("a", "wa"), "a", "left").join(wide.toDF("b", "wb"), "b", "left")
+        return both.where(F.col("wa").isNull() | F.col("wb").isNull() | near(_apart("wa", "wb"))).select("a", "b").distinct()
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
