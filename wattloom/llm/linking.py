@@ -53,7 +53,7 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
 
     Every link is found or lies inside a component that other links hold
     together: first each key's ids are paired with the smallest of them, and
-    an id is compared with the smallest partner that it gets so; then, within keys whose members are not yet in one component, every
+    an id is compared with the partner that it gets so most often; then, within keys whose members are not yet in one component, every
     member outside the most common component is compared with all members of
     other components.  A group of copies thus costs a comparison each.
     Returns ``(id, component)`` for members that have a link.
@@ -70,7 +70,9 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     if members is not None:
         pairs = pairs.union(members.where("id <> member").select(F.col("id").alias("a"), F.col("member").alias("b")))
     prune = prune or (lambda found: found)
-    pairs = materialize(prune(_ordered(pairs)).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    often = pairs.groupBy("a", "b").agg((-F.count(F.lit(1))).alias("n"))
+    often = often.groupBy("b").agg(F.min(F.struct("n", "a")).alias("best")).select("best.a", "b")
+    pairs = materialize(prune(_ordered(often)))
     first = verify(pairs)
     discard(pairs)
     labels = components(first)
