@@ -135,3 +135,12 @@ def test_proxy_only_where_nothing_matched(spark):
     df = spark.createDataFrame([("a", 300.0, 100.0, None), ("b", 300.0, 100.0, None), ("b", 1.0, 1.0, 7.0)], "k string, demand double, supply double, observed double")
     assert sorted((r.k, r.observed or -1) for r in M.scarcity_proxy(df, ["k"]).collect()) == [("a", 300.0), ("b", -1), ("b", 7.0)]
     assert M.scarcity_proxy(df, ["k"], annual_anchor=True) is df
+
+
+def test_unknown_demand_gives_no_share_and_no_price(spark):
+    from wattloom.operators import market
+
+    df = spark.createDataFrame([("a", 1, None, None, None, *[10.0] * 5)], "k string, ts int, demand double, supply double, observed double, "
+                               + ", ".join(f"{t} double" for t in market.TECHS))
+    assert all(r.market_share is None for r in market.market_share(df, ["k", "ts"]).collect())
+    assert market.scarcity_proxy(df, ["k"]).collect()[0].observed is None

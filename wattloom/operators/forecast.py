@@ -71,7 +71,7 @@ def _residuals(p: np.ndarray, w: np.ndarray) -> np.ndarray:
     return e[SEASON + 1:]
 
 
-def _fit(w: np.ndarray, iterations: int = 60) -> np.ndarray:
+def _fit(w: np.ndarray, iterations: int = 200) -> np.ndarray:
     """Damped Gauss-Newton on the conditional sum of squares."""
     p, damping = np.array([0.1, 0.1, -0.1, -0.1]), 1e-2
     e = _residuals(p, w)

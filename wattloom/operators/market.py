@@ -118,7 +118,7 @@ def policy_reallocate(df: DataFrame, techs: Sequence[str] = TECHS) -> DataFrame:
 
 def market_share(df: DataFrame, ids: Sequence[str], demand: str = "demand", techs: Sequence[str] = TECHS) -> DataFrame:
     """Generation of each technology relative to demand, one row per technology."""
-    base = F.greatest(F.col(demand), F.lit(TINY_SUPPLY))
+    base = clip(demand, TINY_SUPPLY)
     return by_technology(df, [*ids, demand], techs).select(
         *ids, "tech", (F.col("generation") / base).alias("market_share")
     )
@@ -141,7 +141,7 @@ def forecast_mix(df: DataFrame, limit: int, step: str = "step", policy: bool = T
 
 def anchor_supply(df: DataFrame, anchor: str = "anchor", pull: float = PULL) -> DataFrame:
     """Generation from shares and availability, pulled part of the way back to the anchor."""
-    target = F.greatest(F.col(anchor), F.lit(0.0))
+    target = clip(anchor, 0.0)
     factor = _param(df, "supply_factor", 1.0)
     available = {t: factor for t in TECHS}
     available["thermal"] = factor * _param(df, "thermal_availability", 1.0)
@@ -167,7 +167,7 @@ def sector_weights(hist: DataFrame, keys, ts, sectors: Sequence[str], defaults:
 
 def split_sectors(df: DataFrame, weights: DataFrame, keys, sectors: Sequence[str], demand: str = "demand") -> DataFrame:
     """Split baseline demand by the weights of its series (one row per series)."""
-    base = F.greatest(F.col(demand), F.lit(0.0)) * _param(df, "demand_factor", 1.0)
+    base = clip(demand, 0.0) * _param(df, "demand_factor", 1.0)
     joined = df.join(weights, list(keys))
     return joined.select(*df.columns, *[(base * F.col(f"weight_{s}")).alias(s) for s in sectors])
 
@@ -197,7 +197,7 @@ def scarcity_proxy(
     """Stand-in price for series in which nothing observed matched any month."""
     if not enabled or annual_anchor:
         return df
-    floor = lambda c: F.greatest(F.col(c), F.lit(1e-6))
+    floor = lambda c: clip(c, 1e-6)  # unknown stays unknown: no price is invented from it
     proxy = clip(BASE_PRICE * (floor(demand) / floor(supply)), PRICE_FLOOR, PROXY_CEILING)
     matched = F.count(observed).over(Window.partitionBy(*keys))
     return df.withColumn(observed, F.when(matched == 0, proxy).otherwise(F.col(observed)))

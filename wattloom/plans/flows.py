@@ -48,8 +48,9 @@ def clean_demand(df: DataFrame, keys, ts, fam: Family, trees: int | None = None,
 def clean_supply(df: DataFrame, keys, ts, fam: Family, trees: int | None = None, lag_steps=SUPPLY_LAGS) -> DataFrame:
     """As for demand, after total fallback and de-duplication, negatives cut last."""
     whole = total_from_parts(df, fam)
-    # Duplicates of a date keep the smallest row, a choice that does not depend on input order.
-    single = whole.groupBy(*keys, ts).agg(F.min(F.struct(*fam.columns)).alias("__row")).select(*keys, ts, "__row.*")
+    # Of a date's duplicates the one with the fewest unknown values stays, then the smallest, whatever the input order.
+    unknown = sum((F.col(c).isNull().cast("int") for c in fam.columns), F.lit(0)).alias("__unknown")
+    single = whole.groupBy(*keys, ts).agg(F.min(F.struct(unknown, *fam.columns)).alias("__row")).select(*keys, ts, "__row.*").drop("__unknown")
     return non_negative(clean_demand(single, keys, ts, fam, trees, lag_steps), fam.columns)
 
 
