@@ -44,7 +44,7 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
            admit: Callable[[str, str], Column] | None = None, prune: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components of the graph that links two ids sharing a key if ``verify`` accepts them.
 
-    ``keys``: ``(key, id)`` and any attributes that ``admit(left, right)``
+    ``keys``: ``(key, id)``, each once, and any attributes that ``admit(left, right)``
     compares to rule a pair out cheaply.  ``members (id, member)``: what an id
     stands for, if ids are groups; pairs are then formed between members.
     ``verify`` takes distinct pairs ``(a, b)``, ``a < b``, and returns those that
@@ -60,10 +60,11 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     """
     keys = materialize(keys)
     own = F.struct("id", *[c for c in keys.columns if c not in ("key", "id")])
-    shared = keys.groupBy("key").agg(F.min(own).alias("center"), F.max("id").alias("last"))
-    shared = materialize(keys.join(shared.where("center.id <> last").drop("last"), "key"))
+    several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = materialize(keys.join(several, "key", "left_semi"))
     discard(keys)
-    pairs = shared.withColumn("own", own).where("id <> center.id")
+    centers = shared.groupBy("key").agg(F.min(own).alias("center"))
+    pairs = shared.join(centers, "key").withColumn("own", own).where("id <> center.id")
     if admit is not None:
         pairs = pairs.where(admit("center", "own"))
     pairs = pairs.select(F.col("center.id").alias("a"), F.col("id").alias("b"))
@@ -77,7 +78,7 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     discard(pairs)
     labels = components(first)
 
-    rows = shared.drop("center")
+    rows = shared
     if members is None:
         rows = rows.withColumn("member", F.col("id"))
     else:
