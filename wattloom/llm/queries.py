@@ -11,6 +11,7 @@ from wattloom.llm.decontaminate import decontaminate
 from wattloom.llm.licenses import scan_licenses
 from wattloom.llm.lines import line_dedup
 from wattloom.llm.ngram_join import ngram_join
+from wattloom.llm.oracle import ORACLE
 from wattloom.llm.pieces import encode_samples
 from wattloom.llm.pii import KINDS, find_pii
 from wattloom.llm.quality import quality_rules
@@ -117,4 +118,5 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_sampled_pieces": op10_sampled_pieces,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
