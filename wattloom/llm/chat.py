@@ -52,10 +52,10 @@ def problems(name: Column, arguments: Column, schemas: dict = SCHEMAS) -> Column
 def depths(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """Longest chain of ``needs (conv_id, call_id, needed)`` below each call: ``(conv_id, call_id, depth)``.
 
-    Calls without an open need get their depth round by round, all
-    conversations at once; what never gets one lies on or behind a cycle and
-    has a null depth.  Chains as long as a whole conversation take as many
-    rounds, so single chains are first contracted by doubling.
+    Each call knows its farthest reached calls and the longest way to them; a
+    round replaces those by what they reach, so ways double in length and a
+    chain takes logarithmically many rounds, all conversations at once.  A way
+    longer than the number of calls lies on or leads to a cycle: null depth.
     """
     key = ["conv_id", "call_id"]
     needs = needs.join(calls.select("conv_id", F.col("call_id").alias("needed")).distinct(), ["conv_id", "needed"]) \
