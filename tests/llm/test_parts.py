@@ -97,3 +97,35 @@ def test_licenses(spark):
     got = {r.doc_id: (r.stated, r.license, r.inherited_from) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
     assert got[1] == got[6] == (None, "MIT", "a") and got[2][:2] == ("MIT", "MIT") and got[3][0] == "CC-BY-NC-4.0"
     assert got[4] == got[5] == got[10] == (None, None, None)
+
+
+def test_shared_grams_never_rule_out_a_near_line():
+    import random
+
+    from wattloom.llm.lines import edit_distance, may_be_alike
+
+    rng = random.Random(7)
+    for _ in range(400):
+        x = "".join(rng.choice("abc dé😀") for _ in range(rng.choice([0, 1, 2, 3, 30, 300])))
+        y = list(x)
+        for _ in range(rng.randint(0, max(1, len(x) // 5))):
+            at = rng.randrange(len(y) + 1)
+            y[at:at + rng.randint(0, 1)] = rng.choice(["", "z", "ü"])
+        y = "".join(y)
+        longest = max(len(x), len(y))
+        if edit_distance(x.encode(), y.encode(), longest // 5) is not None:
+            assert may_be_alike(x.encode(), y.encode(), longest, longest // 5, {})
+    assert not may_be_alike(b"a" * 100, b"b" * 100, 100, 20, {})
+
+
+def test_simhash_is_the_majority_of_word_bits():
+    import numpy as np
+
+    from wattloom.llm.common import word_hashes
+    from wattloom.llm.lines import simhash
+
+    lines = [b"", b"one", b"one two two", b"x y " * 300 + b"z", b" ".join(b"%d" % i for i in range(600))]
+    for line, got in zip(lines, simhash(lines)):
+        words = [int(h) for h in word_hashes(line.split())]
+        assert int(got) == sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in words) > len(words))
+    assert len(simhash([])) == 0 and simhash([b""]) == np.zeros(1)
