@@ -58,7 +58,7 @@ def _panel(spark):
 def test_entity_values_add_up_to_the_parent(spark):
     annual, months = _panel(spark)
     fc = FC.forecast_seasonal_naive(months, ["g"], "ts", "t", 48)
-    out = flows.build_panel(annual, months, fc, ["g"], "e", "ts", "t", ["p", "q"], 2019, 2020, 2024, clim_years=(2012, 2018)).toPandas()
+    out = flows.build_panel(annual, months, fc, ["g"], "e", "ts", "t", ["p", "q"], 2019, 2024, clim_years=(2012, 2018)).toPandas()
     assert len(out) == 3 * 15 * 12 and out["ts"].min() == month(0)
     assert set(out["data_flag"]) == {FC.HISTORICAL, FC.PROJECTED}
     parent = months.toPandas().set_index("ts")
@@ -68,10 +68,19 @@ def test_entity_values_add_up_to_the_parent(spark):
     # No entity ever had a share of q: history splits to 0, the future evenly.
     assert (out[out.year <= 2019]["q"] == 0).all() and (out[out.year > 2020].groupby("ts")["q"].nunique() == 1).all()
     codes = spark.createDataFrame([("e0", "CN-10"), ("e1", "CN-11")], "e string, code string")
-    coded = flows.build_panel(annual, months, fc, ["g"], "e", "ts", "t", ["p", "q"], 2019, 2020, 2024, clim_years=(2012, 2018), codes=codes)
+    coded = flows.build_panel(annual, months, fc, ["g"], "e", "ts", "t", ["p", "q"], 2019, 2024, clim_years=(2012, 2018), codes=codes)
     assert {(r.e, r.code) for r in coded.select("e", "code").distinct().collect()} == {("e0", "CN-10"), ("e1", "CN-11")}
 
 
+def test_known_months_of_a_part_year_stay(spark):
+    df = lambda rows: spark.createDataFrame(rows, "g string, ts date, t double")
+    hist = df([("a", month(i), float(i)) for i in range(15)] + [("b", month(i), float(i)) for i in range(12)])
+    fc = df([(g, month(i), -1.0) for g in "ab" for i in range(36)])
+    out = FC.splice(hist, fc, ["g"], "ts", 2011).toPandas()
+    assert out.groupby("g").size().to_dict() == {"a": 24, "b": 24}
+    assert out[out["t"] >= 0].groupby("g").size().to_dict() == {"a": 15, "b": 12}
+
+
 def test_climatology_sums_to_one(spark):
     _, months = _panel(spark)
     clim = FC.climatology(months, ["g"], "ts", ["p"], (2010, 2019)).toPandas()

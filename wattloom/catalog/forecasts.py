@@ -12,7 +12,8 @@ from wattloom.plans.shapes import DEMAND, KEYS, TS
 from wattloom.session import materialize
 
 STEPS = 48
-HIST_LAST, CUT, LAST = 1999, 2000, 2004
+#: The last complete year of orders, and the last to forecast.
+HIST_LAST, LAST = 2000, 2004
 TARGETS = list(range(HIST_LAST + 1, LAST + 1))
 BOUNDS = ((0.10, 0.95), (0.01, 0.80))
 SINCE = 1996
@@ -61,9 +62,9 @@ def f3(spark, d):
     return settled(FC.trend_predict(shapes.panel_annual(spark, d), ["region", "nation"], "year", "m1", range(2001, 2006)), 2)
 
 
-_OBS = f"select * from parent_monthly where ts < date '{CUT + 1}-01-01'"
-_PATH = f"""select region, ts, m1 from obs union all select region, ts, forecast from fc where ts < date '{LAST + 1}-01-01'
-    and ts >= date '{CUT + 1}-01-01'"""
+_OBS = "select * from parent_monthly"
+_PATH = f"""select region, ts, m1 from obs union all select region, ts, forecast from fc
+    join (select region, max(ts) as seen from obs group by 1) using (region) where ts > seen and ts < date '{LAST + 1}-01-01'"""
 _TOTALS = "select region, cast(year(ts) as int) as year, coalesce(sum(m1), 0) as m1_annual from path group by 1, 2"
 _SHARES = """select region, part, year, share from (select region, cast(year(ts) as int) as year,
         coalesce(sum(m2), 0) / nullif(coalesce(sum(m1), 0), 0) as m2, coalesce(sum(m3), 0) / nullif(coalesce(sum(m1), 0), 0) as m3
@@ -81,12 +82,12 @@ FUTURE = {
 
 def _observed(spark, d):
     # Read several times below: the orders are aggregated once and the panel written.
-    return materialize(shapes.parent_monthly(spark, d).filter(F.col(TS) < F.lit(f"{CUT + 1}-01-01").cast("date")))
+    return materialize(shapes.parent_monthly(spark, d))
 
 
 def _path(observed):
     fc = FC.forecast_seasonal_naive(observed, KEYS, TS, "m1", STEPS).withColumnRenamed("forecast", "m1")
-    return FC.splice(observed.select(*KEYS, TS, "m1"), fc, TS, CUT, LAST)
+    return FC.splice(observed.select(*KEYS, TS, "m1"), fc, KEYS, TS, LAST)
 
 
 def _future(observed, path):
@@ -157,7 +158,7 @@ MONTHS = {
     **CLIM_CTES,
     "months": f"""select region, ts, m1, m2, m3 from obs union all
         select p.region, p.ts, p.m1, w_m2 * m2_annual, w_m3 * m3_annual from path p join future f on p.region = f.region and year(p.ts) = f.year
-        left join clim c on p.region = c.region and month(p.ts) = c.month where p.ts >= date '{CUT + 1}-01-01'""",
+        left join clim c on p.region = c.region and month(p.ts) = c.month anti join obs o on p.region = o.region and p.ts = o.ts""",
 }
 
 
@@ -166,7 +167,7 @@ def f8(spark, d):
     observed = _observed(spark, d)
     path = _path(observed)
     clim = FC.climatology(observed, KEYS, TS, ["m2", "m3"], CLIM)
-    return settled(FC.monthly_targets(observed, path, _future(observed, path), clim, KEYS, TS, "m1", ["m2", "m3"], CUT), 1)
+    return settled(FC.monthly_targets(observed, path, _future(observed, path), clim, KEYS, TS, "m1", ["m2", "m3"]), 1)
 
 
 def _split(annual, months, extra=""):
@@ -193,5 +194,5 @@ def f10(spark, d):
     annual = shapes.panel_annual(spark, d).select("region", "nation", "year", *[F.col(m).alias(f"{m}_annual") for m in ("m1", "m2", "m3")])
     out = flows.build_panel(
         annual, observed, FC.forecast_seasonal_naive(observed, KEYS, TS, "m1", STEPS), KEYS, "nation", TS, "m1", ["m2", "m3"],
-        HIST_LAST, CUT, LAST, SINCE, CLIM, BOUNDS)
+        HIST_LAST, LAST, SINCE, CLIM, BOUNDS)
     return settled(out, 1)

@@ -79,17 +79,16 @@ def m5(spark, d):
     return settled(M.market_share(shapes.market_months(spark, d), ["region", TS]), 6)
 
 
-LIMIT = 48
-_STEPS = f"""select region, ts, demand, supply, cast(row_number() over (partition by region order by ts) as int) as step from market
-    qualify step <= {LIMIT}"""
+_STEPS = f"""select region, ts, demand, supply, cast(row_number() over (partition by region order by ts) as int) as step,
+    count(*) over (partition by region) as horizon from market"""
 
 
 def _mix(source):
     return f"""select * exclude (w, s, h, n, t), w / (w + s + h + n + t) as share_wind, s / (w + s + h + n + t) as share_solar,
         h / (w + s + h + n + t) as share_hydro, n / (w + s + h + n + t) as share_nuclear, t / (w + s + h + n + t) as share_thermal
         from (select *, greatest(0.03, greatest(0.05, 1 - w - s - h - n) * (1 - {_PENALTY})) as t from (
-            select *, least(0.35, 0.2 + step / {LIMIT}.0 * 0.08 * priority) as w, least(0.30, 0.15 + step / {LIMIT}.0 * 0.10 * priority) as s,
-            cast(0.2 as double) as h, least(0.25, 0.2 + step / {LIMIT}.0 * 0.02 * priority) as n from {source}))"""
+            select *, least(0.35, 0.2 + cast(step as double) / horizon * 0.08 * priority) as w, least(0.30, 0.15 + cast(step as double) / horizon * 0.10 * priority) as s,
+            cast(0.2 as double) as h, least(0.25, 0.2 + cast(step as double) / horizon * 0.02 * priority) as n from {source}))"""
 
 
 _STEP_GRID = f"select s.*, tax, cast(1 + subsidy as double) as raw_priority, least(greatest(1 + subsidy, 0.5), 1.5) as priority, subsidy from steps s, ({_TAX}), ({_SUB})"
@@ -98,15 +97,16 @@ _MIXED = [f"share_{t}" for t in TECHS]
 
 def _step_rows(spark, d):
     from pyspark.sql import Window
-    w = Window.partitionBy("region").orderBy(TS)
-    rows = shapes.market_months(spark, d).select("region", TS, "demand", "supply").withColumn("step", F.row_number().over(w))
-    grid = scenario_grid(rows.filter(F.col("step") <= LIMIT), {k: AXES[k] for k in ("tax", "subsidy")})
+    series = Window.partitionBy("region")
+    rows = shapes.market_months(spark, d).select("region", TS, "demand", "supply").withColumns({
+        "step": F.row_number().over(series.orderBy(TS)), "horizon": F.count(F.lit(1)).over(series)})
+    grid = scenario_grid(rows, {k: AXES[k] for k in ("tax", "subsidy")})
     return grid.withColumn("priority", 1 + F.col("subsidy"))
 
 
 @query("m6_forecast_mix", with_("market", steps=_STEPS, grid=_STEP_GRID, mix=_mix("grid")) + f"select region, ts, step, tax, subsidy, {sqs(_MIXED, 6)} from mix")
 def m6(spark, d):
-    return settled(M.forecast_mix(_step_rows(spark, d), LIMIT).select("region", TS, "step", "tax", "subsidy", *_MIXED), 6, _MIXED)
+    return settled(M.forecast_mix(_step_rows(spark, d), "horizon").select("region", TS, "step", "tax", "subsidy", *_MIXED), 6, _MIXED)
 
 
 def _anchored(source, anchor):
@@ -121,7 +121,7 @@ def _anchored(source, anchor):
        + f"select region, ts, tax, subsidy, {sqs(TECHS, 2)}, {sq(' + '.join(TECHS), 2, 'supply')} from anchored")
 def m7(spark, d):
     rows = _step_rows(spark, d).withColumnRenamed("supply", "anchor")
-    out = M.anchor_supply(M.forecast_mix(rows, LIMIT)).select("region", TS, "tax", "subsidy", *TECHS, "supply")
+    out = M.anchor_supply(M.forecast_mix(rows, "horizon")).select("region", TS, "tax", "subsidy", *TECHS, "supply")
     return settled(out, 2, [*TECHS, "supply"])
 
 
@@ -220,7 +220,7 @@ def m14(spark, d):
        + f"""select region, ts, tax, subsidy, {sqs(TECHS, 2)}, {sq(_NEW, 2, "supply")}, {sq(price_sql(supply='(' + _NEW + ')'), 4, "price")} from moved""")
 def m14_forecast(spark, d):
     rows = _step_rows(spark, d).withColumnRenamed("supply", "anchor")
-    out = flows.market_forecast(rows, LIMIT).select("region", TS, "tax", "subsidy", *TECHS, "supply", "price")
+    out = flows.market_forecast(rows, "horizon").select("region", TS, "tax", "subsidy", *TECHS, "supply", "price")
     return settled(settled(out, 2, [*TECHS, "supply"]), 4, ["price"])
 
 

@@ -91,26 +91,23 @@ def match_observed(pred: DataFrame, obs: DataFrame, on: Sequence[str]) -> DataFr
     return pred.join(obs, list(on), "left")
 
 
-MAX_SCENARIOS = 100_000
-
-
 def scenario_grid(df: DataFrame, axes: Mapping[str, Sequence[float]]) -> DataFrame:
     """Every row of ``df`` under every combination of parameter values.
 
-    The axes are literals exploded in place, so there is no join and no
-    shuffle; ``scenario_id`` numbers the combinations with the last axis
+    The axes are literals exploded in place one after the other, so there is no
+    join, no shuffle and no bound on the number of combinations; ``scenario_id`` numbers the combinations with the last axis
     fastest.
     """
     sizes = [len(v) for v in axes.values()]
     total = reduce(lambda a, b: a * b, sizes, 1)
-    if not 0 < total <= MAX_SCENARIOS:
-        raise ValueError(f"{total} scenarios; between 1 and {MAX_SCENARIOS} are supported")
-    out, scenario, left = df, F.lit(0), total
+    if not total:
+        raise ValueError("an axis has no values")
+    out, scenario, left = df, F.lit(0).cast("long"), total
     for name, values in axes.items():
         left //= len(values)
         out = out.select("*", F.posexplode(F.array(*[F.lit(float(v)) for v in values])).alias(f"__i_{name}", name))
         scenario = scenario + F.col(f"__i_{name}") * left
-    return out.select(*df.columns, scenario.cast("int").alias("scenario_id"), *axes)
+    return out.select(*df.columns, scenario.cast("int" if total < 2**31 else "long").alias("scenario_id"), *axes)
 
 
 # -- sets --------------------------------------------------------------------

@@ -230,13 +230,12 @@ def forecast_entity_shares(
 
 # -- monthly targets ---------------------------------------------------------
 
-def splice(hist: DataFrame, fc: DataFrame, ts: str, cut_year: int, last_year: int) -> DataFrame:
-    """History up to ``cut_year``, forecast after it up to ``last_year``."""
-    start = F.lit(f"{cut_year + 1:04d}-01-01").cast("date")
+def splice(hist: DataFrame, fc: DataFrame, keys, ts: str, last_year: int) -> DataFrame:
+    """History, then the forecast after the last month of each series up to ``last_year``."""
     end = F.lit(f"{last_year + 1:04d}-01-01").cast("date")
-    return union_by_name(
-        hist.filter(F.col(ts) < start), fc.filter((F.col(ts) >= start) & (F.col(ts) < end))
-    )
+    seen = hist.groupBy(*keys).agg(F.max(ts).alias("__seen"))
+    after = fc.filter(F.col(ts) < end).join(seen, list(keys), "left").filter(F.col("__seen").isNull() | (F.col(ts) > F.col("__seen")))
+    return union_by_name(hist, after.drop("__seen"))
 
 
 def climatology(df: DataFrame, keys, ts, cols: Sequence[str], years=CLIMATOLOGY_YEARS) -> DataFrame:
@@ -252,22 +251,19 @@ def climatology(df: DataFrame, keys, ts, cols: Sequence[str], years=CLIMATOLOGY_
 
 
 def monthly_targets(
-    hist: DataFrame, total_path: DataFrame, annual: DataFrame, clim: DataFrame, keys, ts, total: str,
-    parts: Sequence[str], cut_year: int,
+    hist: DataFrame, total_path: DataFrame, annual: DataFrame, clim: DataFrame, keys, ts, total: str, parts: Sequence[str],
 ) -> DataFrame:
     """Monthly parent values: observed, then annual targets spread by climatology.
 
     ``total_path`` is the spliced monthly total; ``annual`` holds
-    ``<part>_annual`` for the years after ``cut_year``.
+    ``<part>_annual`` for the years of its months that ``hist`` lacks.
     """
-    start = F.lit(f"{cut_year + 1:04d}-01-01").cast("date")
-    future = attach_by_month(total_path.filter(F.col(ts) >= start), clim, keys, ts)
+    future = attach_by_month(total_path.join(hist.select(*keys, ts), [*keys, ts], "left_anti"), clim, keys, ts)
     future = future.withColumn("year", F.year(ts)).join(
         annual.select(*keys, "year", *[f"{p}_annual" for p in parts]), [*keys, "year"]
     )
     spread = future.select(*keys, ts, total, *[(F.col(f"w_{p}") * F.col(f"{p}_annual")).alias(p) for p in parts])
-    observed = hist.filter(F.col(ts) < start).select(*keys, ts, total, *parts)
-    return observed.unionByName(spread)
+    return hist.select(*keys, ts, total, *parts).unionByName(spread)
 
 
 def disaggregate(annual: DataFrame, monthly: DataFrame, keys, entity: str, ts, metrics: Mapping[str, str]) -> DataFrame:

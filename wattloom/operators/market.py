@@ -124,10 +124,14 @@ def market_share(df: DataFrame, ids: Sequence[str], demand: str = "demand", tech
     )
 
 
-def forecast_mix(df: DataFrame, limit: int, step: str = "step", policy: bool = True) -> DataFrame:
-    """Technology shares along the forecast horizon, adding up to 1."""
+def forecast_mix(df: DataFrame, limit: int | str, step: str = "step", policy: bool = True) -> DataFrame:
+    """Technology shares along the forecast horizon, adding up to 1.
+
+    ``limit``: the horizon in steps, or the column that holds each row's.
+    """
     priority = F.greatest(F.least(_param(df, "priority", DEFAULT_PRIORITY), F.lit(1.5)), F.lit(0.5))
-    progress = F.col(step) / F.lit(float(max(1, limit)))
+    horizon = F.col(limit) if isinstance(limit, str) else F.lit(limit)
+    progress = F.col(step) / F.greatest(horizon, F.lit(1)).cast("double")
     raw = {t: F.least(F.lit(cap), start + progress * rise * priority) for t, (start, rise, cap) in MIX_PATH.items()}
     raw["hydro"] = HYDRO_SHARE * _param(df, "hydro_factor", 1.0)
     thermal = F.greatest(F.lit(THERMAL_MIN), 1 - raw["wind"] - raw["solar"] - raw["hydro"] - raw["nuclear"])

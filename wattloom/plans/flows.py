@@ -60,15 +60,15 @@ def merge_panels(demand: DataFrame | None, supply: DataFrame | None, keys, ts) -
 
 def build_panel(
     annual_hist: DataFrame, monthly_hist: DataFrame, total_forecast: DataFrame, keys, entity: str, ts: str,
-    total: str, parts: Sequence[str], hist_last: int, cut_year: int, last_year: int,
+    total: str, parts: Sequence[str], hist_last: int, last_year: int,
     since: int = SHARE_HISTORY_FROM, clim_years=CLIMATOLOGY_YEARS, bounds=SHARE_BOUNDS, codes: DataFrame | None = None,
 ) -> DataFrame:
     """Monthly values of every entity, past and projected.
 
     ``annual_hist`` has ``(keys, entity, year, <metric>_annual)`` up to
-    ``hist_last``; ``monthly_hist`` the parent's months up to ``cut_year``;
-    ``total_forecast`` its total ``(keys, ts, forecast)`` afterwards.  All
-    three are panels: as long as the calendar, not as the raw tables.
+    ``hist_last``, its last complete year; ``monthly_hist`` the parent's months,
+    all of which are kept; ``total_forecast`` its total ``(keys, ts, forecast)``,
+    used after the last month of each series.  All three are panels: as long as the calendar, not as the raw tables.
     """
     metrics = [total, *parts]
     annual_names = [f"{m}_annual" for m in metrics]
@@ -82,9 +82,8 @@ def build_panel(
     extra = [c for c in hist.columns if c not in (*keys, entity, "year", *annual_names)]
     names = hist.select(*keys, entity, *extra).distinct() if extra else None
 
-    observed = monthly_hist.filter(F.col(ts) < F.lit(f"{cut_year + 1:04d}-01-01").cast("date"))
-    observed = materialize(observed)
-    path = splice(observed.select(*keys, ts, total), total_forecast.withColumnRenamed("forecast", total), ts, cut_year, last_year)
+    observed = materialize(monthly_hist)
+    path = splice(observed.select(*keys, ts, total), total_forecast.withColumnRenamed("forecast", total), keys, ts, last_year)
     parent_future = materialize(forecast_share_targets(
         observed, annual_sum(path, keys, ts, [total]), keys, ts, total, parts, targets, bounds
     ))
@@ -95,12 +94,12 @@ def build_panel(
         future = future.join(names, [*keys, entity])
     everything = union_by_name(hist, materialize(future)).withColumn("data_flag", flag(F.col("year") <= hist_last, HISTORICAL, PROJECTED))
     months = monthly_targets(
-        observed, path, parent_future, climatology(observed, keys, ts, parts, clim_years), keys, ts, total, parts, cut_year
+        observed, path, parent_future, climatology(observed, keys, ts, parts, clim_years), keys, ts, total, parts
     )
     return disaggregate(everything, months, keys, entity, ts, dict(zip(annual_names, metrics)))
 
 
-def market_forecast(df: DataFrame, limit: int, policy: bool = True) -> DataFrame:
+def market_forecast(df: DataFrame, limit: int | str, policy: bool = True) -> DataFrame:
     """Forecast months ``(step, demand, anchor, parameters…)`` through the market.
 
     Mix, anchoring and clearing, then policy dispatch a second time on the
