@@ -148,3 +148,11 @@ def test_cells(spark):
              ",".join(f'"{i},{i}"' for i in range(3000)): [f"{i},{i}" for i in range(3000)]}
     for line, want in cases.items():
         assert spark.createDataFrame([(line,)], "l string").select(sheets.split_cells("l")).first()[0] == want
+
+
+def test_numeric_references_become_characters(spark):
+    from wattloom.functions.text import html_to_text
+
+    got = spark.createDataFrame([("用电量&#160;1.5&#x3000;亿&ldquo;x&rdquo;&#128512;",), ("&amp;#65; &#1114112; &#xD800; &#;",), (None,), ("",)], "p string") \
+        .select(html_to_text("p").alias("t")).collect()
+    assert [r.t for r in got] == ["用电量 1.5　亿“x”😀", "&#65; &#1114112; &#xD800; &#;", None, ""]

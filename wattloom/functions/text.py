@@ -32,8 +32,24 @@ MONTHLY_SPAN, CUMULATIVE_SPAN = 320, 420
 NO_URL = ["", "nan", "无"]
 ENTITIES = {
     "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "#39": "'", "apos": "'", "copy": "©",
-    "mdash": "—", "ndash": "–", "hellip": "…", "middot": "·", "amp": "&",
+    "mdash": "—", "ndash": "–", "hellip": "…", "middot": "·", "ldquo": "“", "rdquo": "”",
+    "lsquo": "‘", "rsquo": "’", "ensp": "\u2002", "emsp": "\u2003", "thinsp": "\u2009", "times": "×", "deg": "°", "bull": "•",
+    "yen": "¥", "permil": "‰", "amp": "&",
 }
+_REFERENCE = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _numeric_references(text: Column) -> Column:
+    """``&#n;`` and ``&#xh;`` as characters; a number that is no character stays as it is."""
+    def decoded(out: Column, ref: Column) -> Column:
+        inner = F.substring_index(F.substring(ref, 3, 9), ";", 1)
+        code = F.when(inner.rlike("^[xX]"), F.conv(F.substring(inner, 2, 8), 16, 10)).otherwise(inner).cast("int")
+        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(63))), 8, "0")), "UTF-32")
+        return F.when(valid, F.replace(out, ref, char)).otherwise(out)
+
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
+    return F.when(text.contains("&#"), F.aggregate(refs, text, decoded)).otherwise(text)
 
 
 def html_to_text(c: Column | str) -> Column:
@@ -45,6 +61,7 @@ def html_to_text(c: Column | str) -> Column:
         (r"(?s)<[^>]*>", "\n"),
     ]:
         out = F.regexp_replace(out, pattern, by)
+    out = _numeric_references(out)
     for name, char in ENTITIES.items():
         out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
     out = F.regexp_replace(out, "[ \t\r\u00a0]+", " ")
@@ -126,11 +143,12 @@ def extract_figures(pages: DataFrame, ts: str = "ts", text: str = "text", fields
 def uncumulate(df: DataFrame, keys, ts, fields: Sequence[str], total: str = TOTAL_FIELD) -> DataFrame:
     """``<field>_diff``: cumulative less the latest earlier one of the same year.
 
-    A page counts only when it has a cumulative total.
+    A page counts only when it has a cumulative total.  Pages of one date
+    follow each other by their cumulative values.
     """
     has_total = F.col(f"{total}_cum").isNotNull()
     current = F.struct(*[F.col(f"{f}_cum").alias(f) for f in fields])
-    before = Window.partitionBy(*keys, F.year(ts)).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys, F.year(ts)).orderBy(ts, current).rowsBetween(Window.unboundedPreceding, -1)
     prev = F.last(F.when(has_total, current), ignorenulls=True).over(before)
     staged = df.select("*", prev.alias("__prev"))
     return staged.select(
