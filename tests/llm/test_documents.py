@@ -92,6 +92,20 @@ def test_ngram_join_chain_and_large_group(spark):
     same(ngram_join(frame(spark, rows), size=3, percent=90).collect(), brute.ngram_join(rows))
 
 
+def test_ngram_join_within_a_group(spark):
+    """Texts of one size and one prefix that no other text shares: links that leave out the smallest id are found too."""
+    base = [f"r{i}" for i in range(100)]
+    swapped = lambda at: [f"s{i}" if i in at else w for i, w in enumerate(base)]
+    a, b, c = swapped([20, 40]), swapped([]), swapped([60])
+    # what tells the three apart is frequent, so their rarest tokens are those they all have
+    passages = " ".join(" ".join(t[i - 2:i + 3]) for t in (a, b, c) for i in (20, 40, 60))
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(c))]
+    rows += [(10 + k, " ".join([passages, *(f"f{k}_{i}" for i in range(200))])) for k in range(16)]
+    got = ngram_join(frame(spark, rows), size=3, percent=90).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id < 10} == {1: 1, 2: 2, 3: 2}
+    same(got, brute.ngram_join(rows))
+
+
 def test_components(spark):
     r = random.Random(3)
     for n, m in ((40, 30), (60, 25)):

@@ -46,7 +46,8 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
 
     ``keys``: ``(key, id)``, each once, and any attributes that ``admit(left, right)``
     compares to rule a pair out cheaply.  ``members (id, member)``: what an id
-    stands for, if ids are groups; pairs are then formed between members.
+    stands for, if ids are groups; pairs are then formed between members, and
+    members of one id count as sharing a key.
     ``verify`` takes distinct pairs ``(a, b)``, ``a < b``, and returns those that
     are links, as a written table.  ``prune`` takes such pairs too and drops
     those that a cheap bound on the ids alone rules out.
@@ -62,6 +63,13 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     own = F.struct("id", *[c for c in keys.columns if c not in ("key", "id")])
     several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     shared = materialize(keys.join(several, "key", "left_semi"))
+    alone = None
+    if members is not None:
+        # a group that shares no key with another still has its members to compare: any one of its keys will do
+        crowded = members.where("id <> member").select("id").distinct()
+        alone = keys.join(crowded, "id", "left_semi").join(shared.select("id").distinct(), "id", "left_anti")
+        alone = materialize(alone.groupBy("id").agg(F.min(F.struct("key", own.alias("own"))).alias("k"))
+                            .select("k.key", "k.own.*").select(*keys.columns))
     discard(keys)
     centers = shared.groupBy("key").agg(F.min(own).alias("center"))
     pairs = shared.join(centers, "key").withColumn("own", own).where("id <> center.id")
@@ -78,7 +86,7 @@ def linked(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], *, members
     discard(pairs)
     labels = components(first)
 
-    rows = shared
+    rows = shared if alone is None else shared.union(alone.select(*shared.columns))
     if members is None:
         rows = rows.withColumn("member", F.col("id"))
     else:
