@@ -40,6 +40,23 @@ def test_lines(spark):
                           (8, "order 12 of 55", 1)], key=str)
 
 
+def test_lines_with_a_changed_word_or_letter_go(spark):
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    rows = [(1000, "abcdefghij"), (1001, "abcxefghij"), (1002, "bcdefghijk"), (1003, "qrstu"), (1004, "qrst"), (1005, "completely other words")]
+    for i in range(120):
+        line = [word() for _ in range((8, 15, 27)[i % 3])]
+        rows.append((2 * i, " ".join(line)))
+        line[len(line) // 2] = word() if i % 2 else line[len(line) // 2][:-1] + "z"
+        rows.append((2 * i + 1, " ".join(line)))
+    got = {r.doc_id: r.n_lines_removed for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near = [a for (a, x), (b, y) in zip(rows[7::2], rows[6::2]) if edit_distance(x.encode(), y.encode(), max(len(x), len(y)) // 5) is not None]
+    assert len(near) > 100 and sum(got[a] for a in near) >= 0.97 * len(near) and not any(got[2 * i] for i in range(120))
+    assert [got[i] for i in range(1000, 1006)] == [0, 1, 1, 0, 1, 0]
+
+
 def _sample(texts, k):
     batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
     return [r for b in pieces._encode(MODEL, k, 1.0, 0)(iter([batch])) for r in b.to_pylist()]
