@@ -116,6 +116,48 @@ def test_licenses(spark):
     assert got[4] == got[5] == got[10] == (None, None, None)
 
 
+def test_licenses_over_several_lines(spark):
+    apache = """# Copyright 2020 Some Body
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+import os"""
+    gnu = """/* This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU {}General Public License as published by
+ * the Free Software Foundation, either version {} of the License, or
+ * (at your option) any later version. */"""
+    mpl = "// This Source Code Form is subject to the terms of the Mozilla\n// Public License, v. 2.0. If a copy of the MPL was not\n// distributed with this file, You can obtain one at\n// https://mozilla.org/MPL/2.0/.\n"
+    mit = """MIT License
+
+Copyright (c) 2021 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED."""
+    bsd = """3. Neither the name of Example Inc nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+    texts = [apache, gnu.format("", 3), gnu.format("", 2), gnu.format("Affero ", 3), mpl, bsd,
+             "x = 1  # Copyright (c) 2020 Jane Doe and friends of many names. Released under the MIT License. All rights reserved."]
+    rows = [(i, f"s/{i}.txt", t) for i, t in enumerate(texts)] + [(20, "p/COPYING", mit), (21, "p/a.txt", "nothing"), (22, "q/b.txt", "a license to use the software")]
+    rows += [(100 + i, f"q/{i}", "the plain words of a text that is under this or that name") for i in range(50)]
+    got = {r.doc_id: (r.stated, r.license) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [got[i][0] for i in range(7)] == ["Apache-2.0", "GPL-3.0", "GPL-2.0", "AGPL-3.0", "MPL-2.0", "BSD-3-Clause", "MIT"]
+    assert got[20] == ("MIT", "MIT") and got[21] == (None, "MIT") and got[22] == got[100] == (None, None)
+
+
 def test_shared_grams_never_rule_out_a_near_line():
     import random
 

@@ -19,6 +19,37 @@ TEMPLATES = {
     "MIT": "Released under the MIT License",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0",
 }
+_GNU = ("{what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the "
+        "Free Software Foundation, either version {version} of the License, or (at your option) any later version")
+#: Standard headers, and what whole licence texts hold, beside the statements; the relatives of a licence are there to be told apart.
+HEADERS = {
+    "AGPL-3.0": [_GNU.format(what="This program", name="Affero General Public License", version="3"),
+                 "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "Apache-2.0": ['Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+                   "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"],
+    "BSD-3-Clause": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                     "derived from this software without specific prior written permission"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International Public License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International Public License",
+                     "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "GPL-2.0": [_GNU.format(what="This program", name="General Public License", version="2"),
+                "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": [_GNU.format(what="This program", name="General Public License", version="3"),
+                "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.1": [_GNU.format(what="This library", name="Lesser General Public License", version="2.1"),
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0": [_GNU.format(what="This library", name="Lesser General Public License", version="3"),
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "MIT": ['Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files '
+            '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+            "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+            "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+                "this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "Mozilla Public License Version 2.0 1. Definitions"],
+}
+TEMPLATES = {n: [*([TEMPLATES[n]] if n in TEMPLATES else []), *HEADERS.get(n, [])] for n in sorted({*TEMPLATES, *HEADERS})}
 LICENSE_FILE = r"(?i)^(?:licen[cs]e|copying|notice)(?:[.-][a-z0-9.-]*)?$"
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -26,9 +57,11 @@ _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 class _Space:
     """Vectors over the templates' terms; any other word is a term of its own with the largest weight."""
 
-    def __init__(self, templates: dict[str, str]):
-        self.names = sorted(templates)
-        words = [self.words(templates[n].encode()) for n in self.names]
+    def __init__(self, templates: dict[str, str | list[str]]):
+        texts = [(n, t) for n in sorted(templates) for t in ([templates[n]] if isinstance(templates[n], str) else templates[n])]
+        self.names = [n for n, _ in texts]
+        words = [self.words(t.encode()) for _, t in texts]
+        self.lengths = [len(w) for w in words]
         self.terms = {w: i for i, w in enumerate(sorted({x for w in words for x in w}))}
         self.tf = np.zeros((len(self.names), len(self.terms)))
         for row, w in zip(self.tf, words):
@@ -55,6 +88,33 @@ class _Space:
         length = np.sqrt((w * w).sum(axis=1) + others * most * most)
         return (w @ t.T) / np.maximum(length, 1e-12)[:, None] / np.sqrt((t * t).sum(axis=1))[None, :]
 
+    def runs(self, raw: bytes, idf: np.ndarray, most: float, least: float, present: np.ndarray) -> np.ndarray:
+        """Best cosine of a text's runs of words, each as long as the template; 0 where none reaches ``least``.
+
+        ``present`` tells which terms the text has.  A bound on them rules out
+        most templates, and one on sums over runs most places: both hold for sure.
+        """
+        t, out = self.tf * idf, np.zeros(len(self.names))
+        length = np.sqrt((t * t).sum(axis=1))
+        able = np.flatnonzero(np.sqrt((t * t * present).sum(axis=1)) >= (least - 1e-9) * length)
+        if not len(able):
+            return out
+        words = self.words(raw)
+        at = np.fromiter((self.terms.get(w, -1) for w in words), np.int64, len(words))
+        weight = np.where(at >= 0, idf[at], most)
+        squares = np.concatenate([[0], np.cumsum(weight * weight)])
+        for k in able:
+            n = min(self.lengths[k], len(words))
+            dots = np.concatenate([[0], np.cumsum(np.where(at >= 0, t[k][at] * idf[at], 0))])
+            dot = dots[n:] - dots[:-n]
+            bound = dot / np.sqrt(np.maximum(squares[n:] - squares[:-n], 1e-12)) / length[k]
+            for i in np.flatnonzero(bound >= least - 1e-6):
+                own = at[i:i + n]
+                tf = np.bincount(own[own >= 0], minlength=len(self.terms)) * idf
+                norm = np.sqrt((tf * tf).sum() + (own < 0).sum() * most * most)
+                out[k] = max(out[k], tf @ t[k] / norm / length[k])
+        return np.where(out >= least, out, 0)
+
 
 def _segments(raw: bytes | None, whole: bool) -> list[bytes]:
     """Lines of a text, and the text itself where it is a licence file."""
@@ -93,15 +153,18 @@ def _frequencies(space: _Space):
     return run
 
 
-def _best(space: _Space, idf: np.ndarray, most: float):
-    """Each file's best template over its segments."""
+def _best(space: _Space, idf: np.ndarray, most: float, least: float):
+    """Each file's best template over its segments and its runs of words."""
     def run(batches):
         for batch in batches:
             for at, to in _portions(batch):
                 part = batch.slice(at, to - at)
                 names, scores = [], []
                 for raw, whole in zip(_texts(part.column("text")), part.column("whole").to_pylist()):
-                    cosines = space.cosines(*space.counts(_segments(raw, whole)), idf, most).max(axis=0)
+                    tf, others = space.counts(_segments(raw, whole))
+                    cosines = space.cosines(tf, others, idf, most).max(axis=0)
+                    if raw:
+                        cosines = np.maximum(cosines, space.runs(raw, idf, most, least, tf.any(axis=0)))
                     best = int(np.argmax(np.round(cosines, 9)))
                     names.append(space.names[best])
                     scores.append(float(cosines[best]))
@@ -122,13 +185,15 @@ def ancestors(folder: Column) -> Column:
         F.array_join(F.slice(parts, F.lit(1), i), "/").alias("folder"), i.alias("depth")))
 
 
-def scan_licenses(files: DataFrame, *, templates: dict[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
+def scan_licenses(files: DataFrame, *, templates: dict[str, str | list[str]] = TEMPLATES, least: float = 0.8) -> DataFrame:
     """The licence each file states, or inherits from the nearest directory above that has one.
 
-    ``files``: ``doc_id``, ``path``, ``text``.  Every line of a text, and the
-    whole text of a licence file (by its name), is compared with the
-    ``templates``: cosine of term counts weighted by inverse document
-    frequency, counted over all segments of all files.  Words outside the
+    ``files``: ``doc_id``, ``path``, ``text``.  Every line of a text, the
+    whole text of a licence file (by its name), and every run of words as long
+    as a template, across lines and within one, is compared with the
+    ``templates`` (a text or several for a licence): cosine of term counts weighted by inverse document
+    frequency, counted over all lines and whole licence files.  Runs under
+    ``least`` do not add to the score.  Words outside the
     templates count with the largest weight.  A file states the template with
     the largest cosine, by name where equal, if it is at least ``least``.
 
@@ -152,7 +217,7 @@ def scan_licenses(files: DataFrame, *, templates: dict[str, str] = TEMPLATES, le
     total = found.get(len(space.terms), 0)
     most = float(np.log(1 + total))
     idf = np.array([np.log((1 + total) / (1 + found.get(i, 0))) + 1e-3 for i in range(len(space.terms))])
-    scored = files.mapInArrow(_best(space, idf, most + 1e-3), "doc_id long, path string, whole boolean, template string, score double")
+    scored = files.mapInArrow(_best(space, idf, most + 1e-3, least), "doc_id long, path string, whole boolean, template string, score double")
     scored = scored.withColumn("stated", F.when(F.col("score") >= least, F.col("template"))).withColumn("folder", _normal(directory(F.col("path"))))
 
     licensed = scored.where("whole and stated is not null").groupBy("folder").agg(
