@@ -166,6 +166,24 @@ def test_pii_adds_no_overlap(spark):
         assert len(row.base) >= 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]) if b in [(s.start, s.stop) for s in row.added])
 
 
+def test_pii_adds_what_base_patterns_miss(spark):
+    r = random.Random(9)
+    digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    rows, want = [], {}
+    for i in range(150):
+        parts = [("email", f"name{i} (at) host (dot) com"), ("ip", ":".join(f"{r.randrange(4096, 65536):x}" for _ in range(8))),
+                 ("phone", f"({digits(3)}) {digits(3)}-{digits(4)}")]
+        text = f"write {parts[0][1]} or host {parts[1][1]} or phone {parts[2][1]} now, order {digits(9)} of 10:20:30:40, 300.400.1.{digits(2)}"
+        rows.append((i, text))
+        want[i] = {(k, text.index(x), text.index(x) + len(x)) for k, x in parts}
+    got = {row.doc_id: {tuple(s) for s in row.added} for row in find_pii(frame(spark, rows)).collect()}
+    for kind in ("email", "ip", "phone"):
+        found = sum(len({s for s in want[i] & got[i] if s[0] == kind}) for i in want)
+        assert found >= 140, (kind, found)
+    wrong = [(s, rows[i][1][s[1]:s[2]]) for i in got for s in got[i] if s[1] >= rows[i][1].index("order")]
+    assert not wrong, wrong[:5]
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
