@@ -105,10 +105,39 @@ select d.doc_id, coalesce(max(n), 0) as n_shingles, least(d.doc_id, coalesce(min
 from d left join sizes using (doc_id) left join reach on a = d.doc_id group by d.doc_id
 """
 
+_NEAR = "min(struct_pack(d := list_sum(list_transform(list_zip(parts.v, {book}.v), lambda t: (t[1] - t[2]) * (t[1] - t[2]))), e := {book}.e))"
+
+
+def _round(old: str, new: str) -> str:
+    """SQL for a round of means: ``new`` from ``old``."""
+    return f"""
+near_{new} as (select r, p, parts.v as v, {_NEAR.format(book=old)}.e as e from parts join {old} using (p) group by r, p, parts.v),
+sums_{new} as (select p, e, i, floor(sum(v[i]) / count(*)) as mean from (select *, unnest(range(1, len(v) + 1)) as i from near_{new}) group by p, e, i),
+means_{new} as (select p, e, list(cast(mean as bigint) order by i) as v from sums_{new} group by p, e),
+{new} as (select o.p, o.e, coalesce(m.v, o.v) as v from {old} o left join means_{new} m using (p, e)),"""
+
+
+VECTOR_CODES = f"""
+with kept as (select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+places as (select *, unnest(range(16)) as p from kept),
+parts as (select r, p, list_slice(x, p * len(x) // 16 + 1, (p + 1) * len(x) // 16) as v from places),
+book as (select p, r - 1 as e, v from parts where r <= 64),
+{_round("book", "book1")}
+{_round("book1", "book2")}
+found as (select r, p, {_NEAR.format(book="book2")} as best from parts join book2 using (p) group by r, p),
+coded as (select r, string_agg(printf('%02x', best.e), '' order by p) as code, cast(sum(best.d) as bigint) as error from found group by r),
+whole as (select vec_id, label, code, error from coded join kept using (r)),
+digest as (select sha256(string_agg(cast(v[i] as varchar), ',' order by p, e, i)) as codebooks_sha256 from (select *, unnest(range(1, len(v) + 1)) as i from book2))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256 from whole, digest
+"""
+
 ORACLE = {
     "op3_decontaminate": DECONTAMINATE,
     "op4_url_filter": URL_FILTER,
     "op5_substring_dedup": SUBSTRINGS,
     "op8_tool_calls": TOOL_CALLS,
     "op9_ngram_join": NGRAM_JOIN,
+    "op11_vector_codes": VECTOR_CODES,
 }

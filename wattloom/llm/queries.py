@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.llm import byte_bpe, vector_codes, whitening
 from wattloom.llm.chat import link_tool_calls, string
 from wattloom.llm.common import table
 from wattloom.llm.decontaminate import decontaminate
@@ -20,6 +21,8 @@ from wattloom.llm.urls import HOST, PATH, host_of, url_filter
 
 #: Vocabulary file that every executor has; another path may be given to the operator.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: Rank file that the driver has; its bytes go with the job.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def op1_line_dedup(spark, sf_dir) -> DataFrame:
@@ -106,6 +109,30 @@ def op10_sampled_pieces(spark, sf_dir) -> DataFrame:
                       F.round("log_inclusion", 6).alias("log_inclusion"), F.sha2("piece_ids", 256).alias("pieces_sha256"))
 
 
+def op11_vector_codes(spark, sf_dir) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.fit_codebooks(vectors)
+    return vector_codes.compress(vectors, books).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), F.col("error").cast("long").alias("error"),
+        F.col("label_error").cast("long").alias("label_error"), F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_byte_bpe(spark, sf_dir) -> DataFrame:
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS)
+    return byte_bpe.decode(coded, RANKS).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_whitening(spark, sf_dir) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fitted = whitening.fit(vectors)
+    explained = F.lit(fitted.explained).cast("array<double>")
+    return whitening.whiten(vectors, fitted).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fitted.n).cast("long").alias("n"), F.expr("try_cast(deviation as bigint)").alias("deviation"),
+        "whitened", F.get(explained, F.col("at")).alias("explained"), F.lit(fitted.identity_error).cast("double").alias("identity_error"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -117,6 +144,9 @@ QUERIES = {
     "op8_tool_calls": op8_tool_calls,
     "op9_ngram_join": op9_ngram_join,
     "op10_sampled_pieces": op10_sampled_pieces,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_whitening": op13_whitening,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
