@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: A pre-token is settled once so many characters after its start are known (the longest contraction).
 _SIGHT = 3
-#: Pieces whose ids a task remembers.
-_KEPT = 400_000
+#: Pieces whose ids a worker remembers, bytes of a piece that is merged by plain search, rows of a text column taken at a time.
+_KEPT, _SHORT, _ROWS = 400_000, 48, 256
+_NEVER = 1 << 62
 
 
 def read_ranks(path: str) -> bytes:
@@ -49,11 +51,27 @@ def parse_ranks(raw: bytes) -> dict[bytes, int]:
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: the neighbours whose union has the lowest rank are joined first, the leftmost of equals.
 
-    The open joins stand in a heap, so a piece of n bytes takes n log n steps.
     Every single byte must have a rank.
     """
     if (whole := ranks.get(piece)) is not None:
         return [whole]
+    if len(piece) > _SHORT:
+        return _merge_long(piece, ranks)
+    rank, parts = ranks.get, [piece[i:i + 1] for i in range(len(piece))]
+    joins = [rank(piece[i:i + 2], _NEVER) for i in range(len(piece) - 1)]
+    while joins and (low := min(joins)) != _NEVER:
+        i = joins.index(low)
+        parts[i] += parts.pop(i + 1)
+        del joins[i]
+        if i < len(joins):
+            joins[i] = rank(parts[i] + parts[i + 1], _NEVER)
+        if i:
+            joins[i - 1] = rank(parts[i - 1] + parts[i], _NEVER)
+    return [ranks[part] for part in parts]
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """As ``merge``, with the open joins in a heap: n log n steps for n bytes."""
     n = len(piece)
     stop = list(range(1, n + 1))  # where the part that starts here ends; 0 once it is joined to the one before
     before = list(range(-1, n - 1))
@@ -95,6 +113,27 @@ class _Pieces(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<i4")
 
 
+@lru_cache(maxsize=2)
+def _pieces(raw: bytes) -> _Pieces:
+    """One memory of pieces for all tasks that a worker runs."""
+    return _Pieces(parse_ranks(raw))
+
+
+@lru_cache(maxsize=2)
+def _tokens(raw: bytes) -> list[bytes]:
+    ranks = parse_ranks(raw)
+    out = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+def _slices(batches):
+    for batch in batches:
+        for a in range(0, max(len(batch), 1), _ROWS):
+            yield batch.slice(a, _ROWS)
+
+
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(x) for x in rows], out=offsets[1:])
@@ -106,8 +145,8 @@ def _encode_whole(raw, pattern: str):
     """Column function: ids of each text, cut into pre-tokens in one go."""
     @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        split, pieces = regex.compile(pattern).findall, _Pieces(parse_ranks(raw.value))
-        for batch in texts:
+        split, pieces = regex.compile(pattern).findall, _pieces(raw.value)
+        for batch in _slices(texts):
             yield _lists([pieces.encode(split(text)) for text in batch.to_pylist()])
     return run
 
@@ -182,7 +221,7 @@ def _joined(chunks: DataFrame) -> DataFrame:
 
 def _encode_chunks(raw):
     def run(batches):
-        pieces = _Pieces(parse_ranks(raw.value))
+        pieces = _pieces(raw.value)
         for batch in batches:
             ids = []
             for text, ends, entry, leave in zip(*(batch.column(c).to_pylist() for c in ("chunk", "ends", "entry", "leave"))):
@@ -253,11 +292,10 @@ def decode_bytes(ids: Column, spark: SparkSession, ranks: str) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def run(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = {rank: bytes_ for bytes_, rank in parse_ranks(raw.value).items()}
-        for batch in rows:
-            offsets, values = batch.offsets.to_pylist(), batch.values.to_pylist()
-            present = batch.is_valid().to_pylist()
-            yield pa.array([b"".join(map(token.__getitem__, values[a:b])) if p else None
+        token = _tokens(raw.value).__getitem__
+        for batch in _slices(rows):
+            offsets, values, present = batch.offsets.to_pylist(), np.array(batch.values), batch.is_valid().to_pylist()
+            yield pa.array([b"".join(map(token, values[a:b].tolist())) if p else None
                             for a, b, p in zip(offsets, offsets[1:], present)], pa.binary())
     return run(ids)
 
