@@ -236,6 +236,17 @@ def test_one_long_piece_is_merged_whole():
         assert byte_bpe.merge(text.encode(), ranks) == want._core_bpe.encode_single_piece(text.encode())
 
 
+def test_pieces_side_by_side_equal_pieces_alone(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_KEPT", 300)
+    want = reference_tokens()
+    pieces = byte_bpe._Pieces(byte_bpe.parse_ranks(byte_bpe.read_ranks(RANKS)))
+    r = random.Random(9)
+    for _ in range(20):
+        rows = [["".join(r.choice("abeéñ日 1'stre") for _ in range(r.randint(1, 30))) for _ in range(r.randint(0, 40))] for _ in range(9)]
+        for row, ids in zip(rows, pieces.encode(rows)):
+            assert ids.tolist() == [i for p in row for i in want._core_bpe.encode_single_piece(p.encode())]
+
+
 def test_token_query_equals_the_library(spark):
     want, sf = reference_tokens(), f"{DATA}/sf0.001"
     got = {r.doc_id: r for r in __spark_entry__.queries()["op12_byte_bpe"](spark, sf).collect()}

@@ -33,8 +33,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: A pre-token is settled once so many characters after its start are known (the longest contraction).
 _SIGHT = 3
-#: Pieces whose ids a worker remembers, bytes of a piece that is merged by plain search, rows of a text column taken at a time.
-_KEPT, _SHORT, _ROWS = 400_000, 48, 256
+#: Pieces whose ids a worker remembers, most bytes of a piece merged beside others, rows of a text column taken at a time.
+_KEPT, _SHORT, _ROWS = 100_000, 64, 256
 _NEVER = 1 << 62
 
 
@@ -51,27 +51,11 @@ def parse_ranks(raw: bytes) -> dict[bytes, int]:
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: the neighbours whose union has the lowest rank are joined first, the leftmost of equals.
 
+    The open joins stand in a heap, so a piece of n bytes takes n log n steps.
     Every single byte must have a rank.
     """
     if (whole := ranks.get(piece)) is not None:
         return [whole]
-    if len(piece) > _SHORT:
-        return _merge_long(piece, ranks)
-    rank, parts = ranks.get, [piece[i:i + 1] for i in range(len(piece))]
-    joins = [rank(piece[i:i + 2], _NEVER) for i in range(len(piece) - 1)]
-    while joins and (low := min(joins)) != _NEVER:
-        i = joins.index(low)
-        parts[i] += parts.pop(i + 1)
-        del joins[i]
-        if i < len(joins):
-            joins[i] = rank(parts[i] + parts[i + 1], _NEVER)
-        if i:
-            joins[i - 1] = rank(parts[i - 1] + parts[i], _NEVER)
-    return [ranks[part] for part in parts]
-
-
-def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """As ``merge``, with the open joins in a heap: n log n steps for n bytes."""
     n = len(piece)
     stop = list(range(1, n + 1))  # where the part that starts here ends; 0 once it is joined to the one before
     before = list(range(-1, n - 1))
@@ -96,21 +80,72 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class _Pieces(dict):
-    """Packed ids of pre-tokens met before."""
+class _Pieces:
+    """Ids of pieces; those of one call that are not known yet are merged side by side."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
-
-    def __missing__(self, piece: str) -> bytes:
-        packed = np.array(merge(piece.encode(), self.ranks), "<i4").tobytes()
-        if len(self) < _KEPT:
-            self[piece] = packed
-        return packed
-
-    def encode(self, pieces) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<i4")
+        self.ranks, self.known = ranks, {}
+        self.byte = np.array([ranks[bytes([i])] for i in range(256)])
+        joins = [(a << 32 | b, rank) for token, rank in ranks.items() for i in range(1, len(token))
+                 if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None]
+        self.pairs, self.joined = np.array(sorted(joins) or [(-1, _NEVER)], np.int64).T.copy()
+
+    def encode(self, rows: list[list[str]]) -> list[np.ndarray]:
+        """Ids of each row of pieces."""
+        wanted = set().union(*rows)
+        if len(self.known) + len(wanted) > _KEPT:
+            self.known = {}
+        new = list(wanted.difference(self.known))
+        self.known |= zip(new, self._merged([piece.encode() for piece in new]))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, row)), "<i4") for row in rows]
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the union of two tokens, which is its id."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.joined[at], _NEVER)
+
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece: a round joins one pair in every short piece that has one left."""
+        out = [b""] * len(pieces)
+        short = []
+        for i, piece in enumerate(pieces):
+            if len(piece) > _SHORT or piece in self.ranks:
+                out[i] = np.array(merge(piece, self.ranks), "<i4").tobytes()
+            else:
+                short.append(i)
+        ids = self.byte[np.frombuffer(b"".join(pieces[i] for i in short), np.uint8)]
+        piece = np.repeat(np.arange(len(short)), [len(pieces[i]) for i in short])
+        join = np.full(len(ids), _NEVER)  # rank of a token's union with the next one of its piece
+        join[:-1][piece[1:] == piece[:-1]] = 0
+        join[join == 0] = self._rank(ids[:-1], ids[1:])[join[:-1] == 0]
+        while len(ids):
+            begin = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+            size = np.diff(np.r_[begin, len(ids)])
+            low = np.minimum.reduceat(join, begin)
+            done = low == _NEVER
+            if done.any():
+                packed = ids[np.repeat(done, size)].astype("<i4").tobytes()
+                stop = np.cumsum(size[done]).tolist()
+                for i, a, b in zip(piece[begin[done]].tolist(), [0, *stop], stop):
+                    out[short[i]] = packed[4 * a:4 * b]
+                rest = ~np.repeat(done, size)
+                ids, piece, join, low, size = ids[rest], piece[rest], join[rest], low[~done], size[~done]
+                if not len(ids):
+                    break
+            lowest = np.flatnonzero(join == np.repeat(low, size))
+            at = lowest[np.r_[True, piece[lowest[1:]] != piece[lowest[:-1]]]]  # the leftmost of each piece
+            ids[at] = low
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids, piece, join = ids[stay], piece[stay], join[stay]
+            at -= np.arange(len(at))
+            inner = at[(at + 1 < len(ids)) & (piece[np.minimum(at + 1, len(ids) - 1)] == piece[at])]
+            join[at] = _NEVER
+            join[inner] = self._rank(ids[inner], ids[inner + 1])
+            inner = at[(at > 0) & (piece[at - 1] == piece[at])]
+            join[inner - 1] = self._rank(ids[inner - 1], ids[inner])
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -147,7 +182,7 @@ def _encode_whole(raw, pattern: str):
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         split, pieces = regex.compile(pattern).findall, _pieces(raw.value)
         for batch in _slices(texts):
-            yield _lists([pieces.encode(split(text)) for text in batch.to_pylist()])
+            yield _lists(pieces.encode(list(map(split, batch.to_pylist()))))
     return run
 
 
@@ -227,7 +262,7 @@ def _encode_chunks(raw):
             for text, ends, entry, leave in zip(*(batch.column(c).to_pylist() for c in ("chunk", "ends", "entry", "leave"))):
                 at = np.frombuffer(ends, "<i4")
                 at = at[(at > entry) & (at <= leave)].tolist()
-                ids.append(pieces.encode(text[a:b] for a, b in zip([entry, *at], at)))
+                ids += pieces.encode([[text[a:b] for a, b in zip([entry, *at], at)]])
             yield pa.record_batch([batch.column("key"), batch.column("start"), _lists(ids)], ["key", "start", "ids"])
     return run
 
