@@ -40,6 +40,70 @@ def test_sarima_follows_trend_and_season(spark):
     assert [r.forecast for r in again] == [r.forecast for r in got]
 
 
+def _dense(w, coefs):
+    """Log-likelihood after the start and the expected next changes, from the covariance of all months at once."""
+    n, r, ahead = len(w), FC.STATES, 5
+    past, shock = FC._model(np.array(coefs))
+    move = np.eye(r, k=1)
+    move[:, 0] += past
+    loads = np.zeros((n + ahead, r + n + ahead))  # months by first state and shocks
+    state = np.concatenate([np.eye(r), np.zeros((r, n + ahead))], axis=1)
+    for t in range(n + ahead):
+        if t:
+            state = move @ state
+            state[:, r + t] += shock
+        loads[t] = state[0]
+    size = np.r_[np.full(r, FC.DIFFUSE), np.ones(n + ahead)]
+    cov = loads * size @ loads.T
+    ahead_of = cov[n:, :n] @ np.linalg.solve(cov[:n, :n], w)
+    errors = np.linalg.solve(low := np.linalg.cholesky(cov[:n, :n]), w)[r:]
+    var = (errors ** 2).mean()
+    return -0.5 * (len(errors) * (np.log(2 * np.pi * var) + 1) + 2 * np.log(np.diag(low)[r:]).sum()), ahead_of
+
+
+def test_filter_equals_the_joint_distribution():
+    rng = np.random.default_rng(4)
+    lengths = np.array([40, 26, 33])
+    w = np.zeros((3, 40))
+    for i, n in enumerate(lengths):
+        w[i, -n:] = rng.normal(size=n)
+    coefs = rng.uniform(-0.9, 0.9, (3, 4, 4))
+    fit, state = FC.kalman(w, lengths, coefs)
+    assert np.allclose(FC.likelihood(w, lengths, coefs), fit, atol=1e-3)
+    for i, n in enumerate(lengths):
+        for j in range(4):
+            want, ahead = _dense(w[i, -n:], coefs[i, j])
+            assert abs(fit[i, j] - want) < 1e-3
+            past, _ = FC._model(coefs[i, j])
+            a, got = state[i, j], []
+            for _ in range(5):
+                got.append(a[0])
+                a = past * a[0] + np.append(a[1:], 0.0)
+            assert np.allclose(got, ahead, atol=1e-4)
+
+
+def test_fit_is_the_largest_likelihood_and_says_whether_it_converged():
+    rng = np.random.default_rng(6)
+    series_ = [np.cumsum(rng.normal(size=n)) + 9 * np.sin(np.arange(n) * np.pi / 6) + rng.normal(size=n) for n in (90, 70, 120, 34)]
+    for y, found in zip(series_, FC._forecast(series_, 12, None)):
+        w = np.diff(y)[12:] - np.diff(y)[:-12]
+        tried = FC.likelihood(w[None], np.array([len(w)]), rng.uniform(-0.99, 0.99, (1, 400, 4)))[0]
+        assert found["method"] == "sarima" and found["converged"] and found["loglik"] >= tried.max() - 1e-6
+        assert np.abs(found["coefs"]).max() < 1 or len(y) < 40
+    w, n = rng.normal(size=(1, 60)), np.array([60])
+    assert not FC.fit_sarima(w, n, iterations=1)[1].all()
+    assert [r["method"] for r in FC._forecast([np.arange(31.0) ** 2, np.ones(80)], 3, None)] == ["seasonal_naive"] * 2
+
+
+def test_series_are_forecast_alike_alone_and_side_by_side(spark):
+    rng = np.random.default_rng(8)
+    parts = [series(spark, [float(v) for v in 50 + rng.normal(size=n).cumsum()], key=f"k{n}") for n in (60, 75)]
+    one = {(r.k, r.ts): r.forecast for p in parts for r in FC.forecast_sarima(p, ["k"], "ts", "v", 6).collect()}
+    both = FC.forecast_sarima(parts[0].unionByName(parts[1]), ["k"], "ts", "v", 6).collect()
+    assert len(both) == 12 and all(abs(one[r.k, r.ts] - r.forecast) < 1e-3 for r in both)
+    assert FC.forecast_sarima(parts[0].limit(0), ["k"], "ts", "v", 6).collect() == []
+
+
 def test_trend_fallbacks(spark):
     df = spark.createDataFrame(
         [("none", 2015, None)] + [("one", 2015, 7.0)] + [("few", 2015, 1.0), ("few", 2016, 4.0), ("few", 2017, None)]

@@ -51,6 +51,42 @@ def f1_calendar(spark, d):
     return path.select(*KEYS, TS, (F.col("forecast").isNotNull() & ~F.isnan("forecast")).alias("known"))
 
 
+#: Coefficients whose path SQL can follow: the filter of the model, month by month, over lists.
+GIVEN = (0.4, -0.3, -0.5, -0.6)
+
+
+def _given_path(source: str, value: str, steps: int) -> dict[str, str]:
+    """CTEs of the forecast of ``value`` under ``GIVEN``: filter the doubly differenced months, then add them up again."""
+    ar, sar, ma, sma = GIVEN
+    n = FC.STATES
+    past, shock = [0.0] * n, [0.0] * n
+    past[0], past[11], past[12], shock[0], shock[1], shock[12], shock[13] = ar, sar, -ar * sar, 1.0, ma, sma, ma * sma
+    inner = f"p[(k // {n} + 1) * {n} + k % {n} + 2] - p[(k // {n} + 1) * {n} + 1] * p[(k % {n} + 1) * {n} + 1] / p[1]"
+    shared = f"{shock}[k // {n} + 1] * {shock}[k % {n} + 1]"
+    return {
+        "series": f"select region, max(ts) as last, list(cast({value} as double) order by ts) as y from {source} where {value} is not null group by region",
+        "changes": "select region, list_transform(range(14, len(y) + 1), lambda i: y[i] - y[i - 1] - y[i - 12] + y[i - 13]) as w from series",
+        "filtered": f"""with recursive run as (select region, w, 0 as t, list_transform(range({n}), lambda k: 0.0::double) as a,
+                list_transform(range({n * n}), lambda k: case when k // {n} = k % {n} then 1e6::double else 0.0::double end) as p from changes
+            union all select region, w, t + 1,
+                list_transform(range({n}), lambda k: {past}[k + 1] * w[t + 1] +
+                    case when k < {n - 1} then a[k + 2] + p[(k + 1) * {n} + 1] / p[1] * (w[t + 1] - a[1]) else 0 end),
+                list_transform(range({n * n}), lambda k: {shared} + case when k // {n} < {n - 1} and k % {n} < {n - 1} then {inner} else 0 end)
+            from run where t < len(w)) select region, a from run where t = len(w)""",
+        "path": f"""with recursive run as (select region, 0 as h, a, list_slice(y, len(y) - 12, len(y)) as tail from filtered join series using (region)
+            union all select region, h + 1, list_transform(range({n}), lambda k: {past}[k + 1] * a[1] + case when k < {n - 1} then a[k + 2] else 0 end),
+                list_append(list_slice(tail, 2, 13), a[1] + tail[13] + tail[2] - tail[1]) from run where h < {steps})
+            select region, h, tail[13] as forecast from run where h > 0""",
+    }
+
+
+@query("f1_path_given", with_("demand_wide", **_given_path("demand_wide", "total_demand", 36)) + f"""
+    select region, cast(last + to_months(cast(h as int)) as date) as ts, {sq("forecast / 1000", 0, "thousands")} from path join series using (region)""")
+def f1_given(spark, d):
+    path = FC.forecast_sarima(shapes.demand_wide(spark, d), KEYS, TS, DEMAND.total, 36, given=GIVEN)
+    return settled(path.select(*KEYS, TS, (F.col("forecast") / 1000).alias("thousands")), 0)
+
+
 @query("f2_seasonal_naive", with_("gappy", fc=_naive("gappy", "total_demand", 120)) + f"select region, ts, {sq('forecast', 2, 'forecast')} from fc")
 def f2(spark, d):
     return settled(FC.forecast_seasonal_naive(shapes.demand_gappy(spark, d), KEYS, TS, DEMAND.total, 120), 2)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +16,6 @@ from wattloom.operators.stats import annual_sum
 from wattloom.operators.windows import group_weight_expr
 
 SEASON = 12
-MIN_FIT_POINTS = 30
 
 # Bounds of the two leading shares and of their sum.
 SHARE_BOUNDS = ((0.10, 0.95), (0.01, 0.80))
@@ -60,56 +59,170 @@ def forecast_seasonal_naive(df: DataFrame, keys, ts, value, steps: int) -> DataF
     )
 
 
-def _residuals(p: np.ndarray, w: np.ndarray) -> np.ndarray:
-    ar, sar, ma, sma = p
-    lag = lambda n: np.concatenate([np.zeros(n), w[:-n]])
-    base = w - ar * lag(1) - sar * lag(SEASON) + ar * sar * lag(SEASON + 1)
-    e = np.zeros(len(w) + SEASON + 1)
-    for t in range(SEASON + 1, len(w)):
-        i = t + SEASON + 1
-        e[i] = base[t] - ma * e[i - 1] - sma * e[i - SEASON] - ma * sma * e[i - SEASON - 1]
-    return e[SEASON + 1:]
+#: States of the model: an autoregression and a moving average of 13 lags each, in companion form.
+STATES = SEASON + 2
+#: Variance of the states before the first month, against 1 for a shock: they are as good as unknown.
+DIFFUSE = 1e6
+#: Starting points of the search (autoregressive, seasonal, moving average, seasonal), and series that are fitted side by side.
+STARTS = ((0.1, 0.1, -0.1, -0.1), (0.3, 0.0, -0.7, -0.7), (-0.3, -0.3, 0.3, 0.3))
+SIDE_BY_SIDE = 128
 
 
-def _fit(w: np.ndarray, iterations: int = 200) -> np.ndarray:
-    """Damped Gauss-Newton on the conditional sum of squares."""
-    p, damping = np.array([0.1, 0.1, -0.1, -0.1]), 1e-2
-    e = _residuals(p, w)
-    for _ in range(iterations):
-        jac = np.column_stack([(_residuals(p + 1e-5 * unit, w) - e) / 1e-5 for unit in np.eye(4)])
-        gram = jac.T @ jac
-        step = np.linalg.solve(gram + damping * np.diag(np.diag(gram) + 1e-12), -jac.T @ e)
-        trial = np.clip(p + step, -0.98, 0.98)
-        e_trial = _residuals(trial, w)
-        if e_trial @ e_trial < e @ e:
-            gain = 1 - (e_trial @ e_trial) / (e @ e)
-            p, e, damping = trial, e_trial, max(damping / 4, 1e-8)
-            if gain < 1e-9:
-                break
+def _model(coefs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of a state's own past and of a shock, for coefficients along the last axis."""
+    ar, sar, ma, sma = np.moveaxis(coefs, -1, 0)
+    past, shock = np.zeros((*coefs.shape[:-1], STATES)), np.zeros((*coefs.shape[:-1], STATES))
+    past[..., 0], past[..., SEASON - 1], past[..., SEASON] = ar, sar, -ar * sar
+    shock[..., 0], shock[..., 1], shock[..., SEASON], shock[..., SEASON + 1] = 1.0, ma, sma, ma * sma
+    return past, shock
+
+
+def kalman(w: np.ndarray, length: np.ndarray, coefs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood and the state after the last month, for many series and coefficients at once.
+
+    ``w`` holds a series per row, ending in the last column, ``length`` how
+    many of its last columns count.  ``coefs`` is series x candidates x 4.
+    The first ``STATES`` months settle the diffuse start and do not count; the
+    shock's variance is the one that fits best.  As the first state is what
+    is observed, it is known after each month and only the others carry on.
+    """
+    past, shock = _model(coefs)
+    spread = shock[..., :, None] * shock[..., None, :]
+    state = np.zeros(shock.shape)
+    cov = np.broadcast_to(DIFFUSE * np.eye(STATES), spread.shape).copy()
+    squares, logs = np.zeros(coefs.shape[:2]), np.zeros(coefs.shape[:2])
+    first = w.shape[1] - length
+    for t in range(int(first.min(initial=w.shape[1])), w.shape[1]):
+        value = w[:, t, None]
+        error, var = value - state[..., 0], cov[..., 0, 0]
+        known = cov[..., 1:, 0]
+        gain = known / var[..., None]
+        new_state, new_cov = past * value[..., None], spread.copy()
+        new_state[..., :-1] += state[..., 1:] + gain * error[..., None]
+        new_cov[..., :-1, :-1] += cov[..., 1:, 1:] - gain[..., :, None] * known[..., None, :]
+        on = (t >= first)
+        if on.all():
+            state, cov = new_state, new_cov
         else:
-            damping *= 5
-            if damping > 1e8:
-                break
-    return p
-
-
-def _extend(y: np.ndarray, steps: int) -> np.ndarray | None:
-    """Point path of the (1,1,1)(1,1,1)12 model, None where it cannot be fitted."""
-    dy = np.diff(y)
-    w = dy[SEASON:] - dy[:-SEASON] if len(dy) > SEASON else np.array([])
-    if len(w) < MIN_FIT_POINTS or np.ptp(w) <= 1e-12 * max(1.0, np.abs(y).max()):
-        return None
-    w = w / (scale := w.std())
-    ar, sar, ma, sma = _fit(w)
-    e = np.concatenate([_residuals(np.array([ar, sar, ma, sma]), w), np.zeros(steps)])
-    w, out = np.concatenate([w, np.zeros(steps)]), np.concatenate([y, np.zeros(steps)])
+            state = np.where(on[:, None, None], new_state, state)
+            cov = np.where(on[:, None, None, None], new_cov, cov)
+        counts = (t >= first + STATES)[:, None]
+        squares += np.where(counts, error ** 2 / var, 0.0)
+        logs += np.where(counts, np.log(var), 0.0)
+    n = np.maximum(length - STATES, 1)[:, None]
+    with np.errstate(divide="ignore"):
+        fit = -0.5 * (n * (np.log(2 * np.pi * squares / n) + 1) + logs)
+    return fit, state
+
+
+def likelihood(w: np.ndarray, length: np.ndarray, coefs: np.ndarray) -> np.ndarray:
+    """The log-likelihood of ``kalman`` without its matrices, for the search.
+
+    Given the unknown states before the first month, shocks follow from the
+    changes one by one.  The states move them linearly, by shifted copies of
+    one response, so the best states are a least-squares fit, and integrating
+    over them costs a determinant.
+    """
+    ar, sar, ma, sma = np.moveaxis(coefs, -1, 0)
+    count, size = coefs.shape[:2], w.shape[1]
+    first = (size - length)[:, None]
+    begin = np.arange(size) >= first  # series end in the last column; nothing stands before their first month
+    past = lambda n: np.concatenate([np.zeros((len(w), n)), w[:, :-n]], axis=1)[:, None, :]
+    own = w[:, None, :] - ar[..., None] * past(1) - sar[..., None] * past(SEASON) + (ar * sar)[..., None] * past(SEASON + 1)
+    shocks = np.moveaxis(own * begin[:, None, :], -1, 0).copy()
+    response = np.zeros((size, *count))
+    response[0] = 1.0
+    for x in (shocks, response):
+        for t in range(1, size):
+            x[t] -= ma * x[t - 1]
+        for t in range(SEASON, size):
+            x[t] -= sma * x[t - SEASON]
+    # each series' shocks from its first month on
+    at = np.minimum(np.arange(size)[:, None] + (size - length), size - 1)
+    shocks = np.take_along_axis(shocks, at[:, :, None], axis=0) * (np.arange(size)[:, None] < length)[:, :, None]
+    moved = np.stack([(response[:size - i] * shocks[i:]).sum(axis=0) for i in range(STATES)], axis=-1)
+    gram = np.zeros((*count, STATES, STATES))
+    for d in range(STATES):
+        sums = np.cumsum(response[:size - d] * response[d:], axis=0)
+        for i in range(STATES - d):
+            last = np.maximum(length - 1 - i - d, 0)
+            gram[..., i, i + d] = gram[..., i + d, i] = np.take_along_axis(sums, last[None, :, None], axis=0)[0]
+    with np.errstate(all="ignore"):
+        _, logs = np.linalg.slogdet(gram)
+        squares = (shocks ** 2).sum(axis=0) - (moved * np.linalg.solve(gram, moved[..., None])[..., 0]).sum(axis=-1)
+        n = np.maximum(length - STATES, 1)[:, None]
+        return -0.5 * (n * (np.log(2 * np.pi * squares / n) + 1) + logs)
+
+
+def fit_sarima(w: np.ndarray, length: np.ndarray, iterations: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients of the largest likelihood found, and whether the search converged, by series.
+
+    Coefficients are hyperbolic tangents of what is searched, so all lie
+    inside (-1, 1) without a bound.  Every series starts at several points; all
+    searches (quasi-Newton, central differences, six step lengths a round) run
+    side by side.  Converged: no slope over 1e-4 per month and unit is left.
+    """
+    count = len(STARTS)
+    w, length = np.repeat(w, count, axis=0), np.repeat(length, count)
+    months = np.maximum(length - STATES, 1)
+    u = np.tile(np.arctanh(np.array(STARTS)), (len(w) // count, 1))
+    offsets = np.concatenate([np.eye(4), -np.eye(4)]) * 1e-5
+    lengths = np.array([1.0, 0.5, 0.25, 0.1, 0.02, 0.002])
+
+    def cost(rows, points):
+        value = -likelihood(w[rows], length[rows], np.tanh(points)) / months[rows, None]
+        return np.where(np.isfinite(value), value, np.inf)
+
+    def slope(rows):
+        around = cost(rows, u[rows, None, :] + offsets)
+        return np.nan_to_num((around[:, :4] - around[:, 4:]) / 2e-5)
+
+    rows = np.arange(len(w))
+    best = cost(rows, u[:, None, :])[:, 0]
+    grad, metric = slope(rows), np.tile(np.eye(4), (len(w), 1, 1))
+    for _ in range(iterations):
+        rows = rows[np.abs(grad[rows]).max(axis=1) > 1e-6]
+        if not len(rows):
+            break
+        step = -np.einsum("sij,sj->si", metric[rows], grad[rows])
+        uphill = (step * grad[rows]).sum(axis=1) >= 0
+        metric[rows[uphill]] = np.eye(4)
+        step[uphill] = -grad[rows[uphill]]
+        step /= np.maximum(1.0, np.abs(step).max(axis=1))[:, None]
+        tried = cost(rows, u[rows, None, :] + lengths[:, None] * step[:, None, :])
+        pick = tried.argmin(axis=1)
+        better = tried[np.arange(len(rows)), pick] < best[rows]
+        stuck = ~better & ((metric[rows] == np.eye(4)).all(axis=(1, 2)))
+        metric[rows[~better]] = np.eye(4)  # once more along the slope itself
+        moved = rows[better]
+        change = lengths[pick[better]][:, None] * step[better]
+        u[moved] += change
+        best[moved] = tried[better, pick[better]]
+        if len(moved):
+            new = slope(moved)
+            turn = new - grad[moved]
+            grad[moved] = new
+            inner = (change * turn).sum(axis=1)
+            good = inner > 1e-12
+            s, y, rho = change[good], turn[good], 1 / inner[good]
+            left = np.eye(4) - rho[:, None, None] * s[:, :, None] * y[:, None, :]
+            h = left @ metric[moved[good]] @ left.transpose(0, 2, 1) + rho[:, None, None] * s[:, :, None] * s[:, None, :]
+            metric[moved[good]] = h
+        rows = rows[~stuck]
+    pick = best.reshape(-1, count).argmin(axis=1) + np.arange(len(w) // count) * count
+    return np.tanh(u[pick]), np.abs(grad[pick]).max(axis=1) < 1e-4
+
+
+def _paths(series: list[np.ndarray], coefs: np.ndarray, state: np.ndarray, steps: int) -> np.ndarray:
+    """Forecasts of the series themselves: expected changes added to the last months."""
+    past, _ = _model(coefs)
+    tail = np.array([y[-SEASON - 1:] for y in series])
+    out = np.concatenate([tail, np.zeros((len(series), steps))], axis=1)
     for h in range(steps):
-        t, i = len(w) - steps + h, len(y) + h
-        w[t] = (ar * w[t - 1] + sar * w[t - SEASON] - ar * sar * w[t - SEASON - 1]
-                + ma * e[t - 1] + sma * e[t - SEASON] + ma * sma * e[t - SEASON - 1])
-        out[i] = scale * w[t] + out[i - 1] + out[i - SEASON] - out[i - SEASON - 1]
-    path = out[len(y):]
-    return path if np.isfinite(path).all() else None
+        t, change = SEASON + 1 + h, state[:, 0].copy()
+        out[:, t] = change + out[:, t - 1] + out[:, t - SEASON] - out[:, t - SEASON - 1]
+        state = past * change[:, None] + np.concatenate([state[:, 1:], np.zeros((len(state), 1))], axis=1)
+    return out[:, SEASON + 1:]
 
 
 def _naive_path(y: np.ndarray, steps: int) -> np.ndarray:
@@ -120,27 +233,71 @@ def _naive_path(y: np.ndarray, steps: int) -> np.ndarray:
     return y[len(y) - m + h % m] + (h // m + 1) * drift
 
 
-def forecast_sarima(df: DataFrame, keys, ts, value, steps: int = 120) -> DataFrame:
-    """Seasonal ARIMA point forecast per series, from the month after its last value.
-
-    One group is the months of one series; the work spreads over the series.
-    Series the model cannot be fitted to take the seasonal naive path.
+def _forecast(series: list[np.ndarray], steps: int, given: Sequence[float] | None) -> list[dict]:
+    """One result per series; those that the model is identified for run side by side."""
+    out = [{"path": _naive_path(y, steps), "method": "seasonal_naive", "converged": None, "loglik": None, "coefs": None} for y in series]
+    changes = [np.diff(y)[SEASON:] - np.diff(y)[:-SEASON] if len(y) > SEASON + 1 else np.empty(0) for y in series]
+    able = [i for i, (w, y) in enumerate(zip(changes, series))
+            if len(w) > STATES + 5 and np.isfinite(w).all() and np.ptp(w) > 1e-12 * max(1.0, np.abs(y).max())]
+    for a in range(0, len(able), SIDE_BY_SIDE):
+        rows = able[a:a + SIDE_BY_SIDE]
+        length = np.array([len(changes[i]) for i in rows])
+        scale = np.array([changes[i].std() for i in rows])
+        w = np.zeros((len(rows), length.max()))
+        for j, i in enumerate(rows):
+            w[j, -length[j]:] = changes[i] / scale[j]
+        if given is None:
+            coefs, converged = fit_sarima(w, length)
+        else:
+            coefs, converged = np.tile(np.array(given, float), (len(rows), 1)), [None] * len(rows)
+        fit, state = (x[:, 0] for x in kalman(w, length, coefs[:, None]))
+        paths = _paths([series[i] for i in rows], coefs, state * scale[:, None], steps)
+        for j, i in enumerate(rows):
+            if np.isfinite(paths[j]).all():
+                months = length[j] - STATES
+                out[i] = {"path": paths[j], "method": "sarima", "converged": None if given is not None else bool(converged[j]),
+                          "loglik": float(fit[j] - months * np.log(scale[j])), "coefs": coefs[j]}
+    return out
+
+
+_FITTED = "struct<path:array<double>,method:string,converged:boolean,loglik:double,coefs:array<double>>"
+
+
+def fit_series(df: DataFrame, keys, ts, value, steps: int = 120, given: Sequence[float] | None = None) -> DataFrame:
+    """One row per series: the last month, the forecast ``path``, and how it was found.
+
+    The seasonal model (1,1,1)(1,1,1)12 is fitted by the likelihood of a
+    Kalman filter with diffuse start.  ``converged`` says whether the search
+    ended at a flat point, ``loglik`` and ``coefs`` (autoregressive, seasonal,
+    moving average, seasonal) what it found; all three are null where the
+    model is not identified (no more than five months count after the start,
+    or changes that do not vary) and the method is ``seasonal_naive``.
+    ``given`` coefficients take the place of the search.  Null values are left
+    out, as if the months around them were neighbours.
+
+    A series' months become one row (bounded by the calendar); rows are dealt
+    over all shuffle partitions, and a task fits its series side by side.
     """
-    known = df.filter(F.col(value).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias("y"))
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts)
-        y = pdf["y"].to_numpy()
-        path = _extend(y, steps)
-        method = "seasonal_naive" if path is None else "sarima"
-        last = np.datetime64(pdf[ts].iloc[-1], "M")
-        months = (last + np.arange(1, steps + 1)).astype("datetime64[D]").astype(object)
-        head = {c: [pdf[c].iloc[0]] * steps for c in keys}
-        return pd.DataFrame({**head, ts: months, "forecast": _naive_path(y, steps) if path is None else path, "method": method})
-
-    kinds = dict(known.dtypes)
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keys], f"`{ts}` date", "forecast double", "method string"])
-    return known.groupBy(*keys).applyInPandas(one, schema)
+    spark = df.sparkSession
+    known = df.filter(F.col(value).isNotNull()).select(*keys, F.struct(F.col(ts), F.col(value).cast("double").alias("y")).alias("__month"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = known.repartition(parts, *keys).groupBy(*keys).agg(F.array_sort(F.collect_list("__month")).alias("__months"))
+
+    @F.arrow_udf(_FITTED)
+    def fitted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(_forecast([np.array(y, float) for y in batch.to_pylist()], steps, given), pa.struct([
+                ("path", pa.list_(pa.float64())), ("method", pa.string()), ("converged", pa.bool_()), ("loglik", pa.float64()),
+                ("coefs", pa.list_(pa.float64()))]))
+    last = F.element_at("__months", -1)[ts]
+    return rows.select(*keys, last.alias(ts), fitted(F.transform("__months", lambda m: m["y"])).alias("__fit")).select(*keys, ts, "__fit.*")
+
+
+def forecast_sarima(df: DataFrame, keys, ts, value, steps: int = 120, given: Sequence[float] | None = None) -> DataFrame:
+    """Seasonal ARIMA point forecast per series, from the month after its last value; see ``fit_series``."""
+    found = fit_series(df, keys, ts, value, steps, given)
+    months = found.select(*keys, F.col(ts).alias("__last"), "method", "converged", F.posexplode("path").alias("__at", "forecast"))
+    return months.select(*keys, F.trunc(F.add_months("__last", F.col("__at") + 1), "MM").alias(ts), "forecast", "method", "converged")
 
 
 # -- trends ------------------------------------------------------------------
