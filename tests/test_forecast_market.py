@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import month, near, rows, series
@@ -198,6 +199,45 @@ def test_calibration_finds_the_scale(spark):
     assert M.calibrate_grid(df, yearly, ["k"], "ts", axes, mode="annual").collect()[0].pairs == 2
 
 
+@pytest.mark.parametrize("mode", ["monthly", "annual"])
+def test_calibration_errors_equal_every_month_cleared_under_every_parameter(spark, mode):
+    """Unknown and negative demand, unknown supply, prices at the floor, equal months, a series without observations."""
+    rng = np.random.default_rng(11)
+    rows_ = [("a", month(i), float(d), 50.0) for i, d in enumerate(rng.uniform(5, 300, 30))]
+    rows_ += [("a", month(30), None, 50.0), ("a", month(31), 60.0, None), ("a", month(32), -4.0, 50.0), ("a", month(33), 60.0, 50.0), ("a", month(34), 60.0, 50.0)]
+    rows_ += [("b", month(i), 70.0, 50.0) for i in range(3)]
+    df = spark.createDataFrame(rows_, "k string, ts date, demand double, supply double").withColumn("sensitivity", F.lit(1.1))
+    seen = F.when(F.col("k") == "a", 130.0 + 7 * F.month("ts"))
+    obs = df.filter(F.month("ts") != 4).select("k", "ts", seen.alias("observed"))
+    if mode == "annual":
+        obs = obs.groupBy("k", F.year("ts").alias("year")).agg(F.avg("observed").alias("observed"))
+    axes = {"tax": [5, 3], "price_factor": [0.5, 2.0, 1.0], "scale": [0.1, 0.7, 1.0, 2.0, 4.0]}
+    every = M.calibration_error(M.clear_market(M.scenario_grid(df, axes)), obs, ["k"], "ts", mode, by=["price_factor", "scale"])
+    want = {}
+    for r in every.collect():
+        order = (round(r.sse / 1e5, 8), r.price_factor, r.scale)
+        if r.k not in want or order < want[r.k][0]:
+            want[r.k] = order, r
+    for r in M.calibrate_grid(df, obs, ["k"], "ts", axes, mode).collect():
+        order, best = want[r.k]
+        # the grid held every row once for each tax
+        assert (r.tax, r.price_factor, r.scale, r.pairs) == (3.0, best.price_factor, best.scale, best.pairs // (1 if mode == "annual" else 2))
+        near([r.sse], [best.sse / (1 if mode == "annual" else 2)], 1e-6)
+    exact = {r.k: r for r in M.calibrate_exact(df.drop("sensitivity"), obs, ["k"], "ts", 0.05, 5.0, mode).collect()}
+    fine = {"scale": [0.05 + 0.01 * i for i in range(496)]}
+    on_grid = {r.k: r for r in M.calibrate_grid(df.drop("sensitivity"), obs, ["k"], "ts", fine, mode).collect()}
+    assert exact["a"].sse <= on_grid["a"].sse + 1e-6 and abs(exact["a"].scale - on_grid["a"].scale) < 0.011
+    assert (exact["b"].scale, exact["b"].sse, exact["b"].pairs) == (0.05, 0.0, 0)
+
+
+def test_calibration_refuses_unknown_and_negative_axes(spark):
+    df = spark.createDataFrame([("a", month(0), 1.0, 1.0)], "k string, ts date, demand double, supply double")
+    obs = spark.createDataFrame([("a", month(0), 100.0)], "k string, ts date, observed double")
+    for axes in ({"scale": [1], "colour": [2]}, {"scale": [-1, 1]}):
+        with pytest.raises(ValueError):
+            M.calibrate_grid(df, obs, ["k"], "ts", axes)
+
+
 def test_classes(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (5.0,), (None,)], "v double")
     assert [r["class"] for r in M.class_breaks(df, "v").collect()] == [0, 13, 7, None]

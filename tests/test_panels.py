@@ -205,6 +205,34 @@ def test_large_quantiles_equal_numpy_on_a_skewed_key(spark):
     near([whole.value], [float(df.toPandas()["v"].median())])
 
 
+def test_a_value_that_most_rows_hold_is_one_row(spark):
+    """Nine tenths of the rows hold one value of one group; groups include null."""
+    df = spark.range(0, 40_000, numPartitions=16).select(
+        F.when(F.col("id") % 50 > 0, "hot").when(F.col("id") % 100 > 0, "cold").alias("k"),
+        F.when(F.col("id") % 10 > 0, 7.0).when(F.col("id") % 400 > 0, F.col("id") * 7919 % 20011 / 10.0).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = A.ranked_values(df, "v", ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows_ = ranked.collect()
+    assert len(rows_) == df.filter("v is not null").select("k", "v").distinct().count()
+    for k in {r.k for r in rows_}:
+        own = sorted((r["__first"], r["__rows"], r["__v"]) for r in rows_ if r.k == k)
+        assert [f for f, _, _ in own] == [sum(n for _, n, _ in own[:i]) for i in range(len(own))] and [v for *_, v in own] == sorted(v for *_, v in own)
+    spread = [r["count"] for r in spark.read.parquet(_written_by(ranked)).groupBy("__part").count().collect()]
+    assert len(spread) >= 6 and max(spread) <= 3 * sum(spread) / len(spread)
+    got = {(r.k, r.prob): r.value for r in A.large_quantiles(df, "v", [0.0, 0.03, 0.5, 0.999, 1.0], ["k"]).collect()}
+    for k, g in df.toPandas().groupby("k", dropna=False):
+        key = k if isinstance(k, str) else None
+        near([got[key, p] for p in (0.0, 0.03, 0.5, 0.999, 1.0)], [float(g["v"].quantile(p)) for p in (0.0, 0.03, 0.5, 0.999, 1.0)])
+
+
+def _written_by(df):
+    """The first written table that ``df`` reads."""
+    return df.inputFiles()[0].rsplit("/", 1)[0]
+
+
 def test_windows_insist_on_a_series_key(spark):
     df = series(spark, [1.0])
     for call in (lambda: W.lags(df, [], "ts", "v", [1]), lambda: W.pct_change(df, [], "ts", "v", 1), lambda: I.winsorize(df, [], ["v"])):

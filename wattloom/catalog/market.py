@@ -202,6 +202,52 @@ def m13(spark, d):
     return settled(M.calibrate_grid(months, observed_prices(months), KEYS, TS, AXES), 2, ["sse"])
 
 
+#: Axes of the search over everything that moves the price, with one round of refinement.
+PRICE_GRID = {"tax": [0, 100], "sensitivity": [0.5, 1, 1.5], "price_factor": [0.8, 1, 1.2], "scale": [0.5, 1, 3]}
+_BOX = [n for n in PRICE_GRID if n != "tax"]
+
+
+def _annual_errors(points: str) -> str:
+    """SQL for the yearly error of every point of ``points``, month by month."""
+    price = "greatest(100, 100 * (demand / greatest(supply, 0.0001)) * sensitivity * price_factor * scale)"
+    return f"""select region, sensitivity, price_factor, scale, sum(pow(price - observed, 2)) as sse, count(observed) as pairs, sum(observed * observed) as total
+        from (select p.region, year(ts) as year, sensitivity, price_factor, scale, avg({price}) as price from {points} p join market m on m.region = p.region group by all)
+        join obs_year using (region, year) group by all"""
+
+
+_LEAST = "qualify row_number() over (partition by region order by round(sse / total, 10), sensitivity, price_factor, scale) = 1"
+
+
+@query("m13_calibrate_box", with_(
+    "market", obs=_OBSERVED, obs_year=_OBSERVED_YEAR,
+    points="select region, a, b, c from (select distinct region from market), " + ", ".join(f"(select unnest({[float(x) for x in PRICE_GRID[n]]}::double[]) as {c})" for n, c in zip(_BOX, "abc")),
+    grid="select region, a as sensitivity, b as price_factor, c as scale from points", errs=_annual_errors("grid"), start=f"select * from errs {_LEAST}",
+    box="select distinct region, " + ", ".join(
+        f"least(greatest({n} + {c} * {(max(PRICE_GRID[n]) - min(PRICE_GRID[n])) / (len(PRICE_GRID[n]) - 1) / 4}, {min(PRICE_GRID[n])}), {max(PRICE_GRID[n])})::double as {n}"
+        for n, c in zip(_BOX, "xyz")) + " from start, " + ", ".join(f"(select unnest(range(-4, 5)) as {c})" for c in "xyz"),
+    near=_annual_errors("box")) + f"""select region, 0::double as tax, sensitivity, price_factor, scale, {sq("sse", 2, "sse")}, pairs from near {_LEAST}""")
+def m13_box(spark, d):
+    months = materialize(shapes.market_months(spark, d))
+    yearly = observed_prices(months).groupBy("region", F.year(TS).alias("year")).agg(F.avg("observed").alias("observed"))
+    return settled(M.calibrate_grid(months, yearly, KEYS, TS, PRICE_GRID, mode="annual", rounds=1), 2, ["sse"])
+
+
+@query("m13_calibrate_exact", with_(
+    "market", obs=_OBSERVED, pairs="select region, 100 * (demand / greatest(supply, 0.0001)) as price, observed + 40 as seen from market join obs using (region, ts)",
+    turns="select distinct region, greatest(100 / price, 0.05) as low from pairs where price > 0 and 100 / price < 5 union select distinct region, 0.05 from pairs",
+    ranges="select region, low, lead(low, 1, 5) over (partition by region order by low) as high from turns",
+    sums="""select r.region, low, high, sum(case when 100 / price <= low then price * price else 0 end) as a, sum(case when 100 / price <= low then price * seen else 0 end) as b
+        from ranges r join pairs p using (region) group by all""",
+    ends="select region, case when a > 0 then least(greatest(b / a, low), high) else low end as scale from sums",
+    errs="""select e.region, e.scale, sum(pow(greatest(100, price * e.scale) - seen, 2)) as sse, count(*) as pairs, sum(seen * seen) as total
+        from ends e join pairs p using (region) group by all""")
+       + f"""select region, {sq("scale", 6, "scale")}, {sq("sse", 2, "sse")}, pairs from errs qualify row_number() over (partition by region order by round(sse / total, 10), scale) = 1""")
+def m13_exact(spark, d):
+    months = materialize(shapes.market_months(spark, d))
+    above = observed_prices(months).withColumn("observed", F.col("observed") + 40)
+    return settled(settled(M.calibrate_exact(months, above, KEYS, TS, 0.05, 5.0), 6, ["scale"]), 2, ["sse"])
+
+
 _NEW = " + ".join(TECHS)
 
 

@@ -8,12 +8,14 @@ there by ``scenario_grid``.  Random factors are columns too and default to 1.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import clip, row_sum, safe_ratio
 from wattloom.operators.align import match_observed, scenario_grid
+from wattloom.session import materialize
 
 # Technologies (variable cost, carbon factor, bid markup, merit
 # priority, smallest and largest share).
@@ -230,44 +232,128 @@ def calibration_error(pred: DataFrame, obs: DataFrame, keys, ts, mode: str = "mo
     return squared_error(pairs, [*keys, *by])
 
 
+#: Parameters that multiply the price, and those that leave it alone because dispatch keeps total supply.
+PRICE_AXES, FLAT_AXES = ("sensitivity", "price_factor", "scale"), ("tax", "subsidy", "priority")
+
+
+def error_pieces(df: DataFrame, obs: DataFrame, keys, ts, mode: str = "monthly", moving: Sequence[str] = PRICE_AXES) -> DataFrame:
+    """The calibration error of each series as a function of what multiplies its prices, piece by piece.
+
+    With ``m`` the product of the ``moving`` parameters, a month's price is
+    the floor up to ``m = onset`` and proportional to ``m`` beyond, so the
+    error from one onset to the next is ``a m^2 + b m + c``.  Running sums over
+    a series' months in the order of their onsets give all pieces at once.
+    Rows: keys, ``onset`` (-1 for the first piece, which every series has),
+    ``a``, ``b``, ``c``, ``pairs`` and ``total``, the sum of squared
+    observations.  ``obs`` has one ``observed`` a month, or a ``year`` in
+    annual mode; parameters that are not moving are read from ``df``.
+    """
+    factor = F.lit(BASE_PRICE) * F.col("demand") / F.greatest(F.col("supply"), F.lit(TINY_SUPPLY))
+    for name in PRICE_AXES:
+        if name not in moving:
+            factor = factor * _param(df, name, 1.0)
+    cell, seen = (F.year(ts), "year") if mode == "annual" else (F.col(ts), ts)
+    months = df.select(*keys, cell.alias("__cell"), F.when(F.col("supply").isNotNull(), factor).alias("__price"))
+    seen = obs.select(*keys, F.col(seen).alias("__cell"), F.col("observed").cast("double").alias("__seen"))
+    rows = match_observed(months, seen, [*keys, "__cell"]).filter("__price is not null and __seen is not null")
+    rows = rows.withColumn("onset", F.when(F.col("__price") > 0, F.lit(PRICE_FLOOR) / F.col("__price")))
+    if mode == "annual":
+        by = Window.partitionBy(*keys, "__cell")
+        ordered = by.orderBy(F.col("onset").asc_nulls_last(), "__price").rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumns({"__n": F.count(F.lit(1)).over(by), "__k": F.count(F.lit(1)).over(ordered), "__sum": F.sum("__price").over(ordered)})
+    else:
+        rows = rows.withColumns({"__n": F.lit(1), "__k": F.lit(1), "__sum": F.col("__price")})
+
+    def line(k: Column, total: Column) -> tuple[Column, Column]:
+        """Mean price less the observed one with ``k`` months above the floor: slope in m, and the rest."""
+        return total / F.col("__n"), F.lit(PRICE_FLOOR) * (F.col("__n") - k) / F.col("__n") - F.col("__seen")
+    slope, rest = line(F.col("__k"), F.col("__sum"))
+    slope_before, rest_before = line(F.col("__k") - 1, F.col("__sum") - F.col("__price"))
+    once = F.col("__k") == 1
+    start = rows.groupBy(*keys).agg(
+        F.sum(F.when(once, (F.lit(PRICE_FLOOR) - F.col("__seen")) ** 2)).alias("__floor"),
+        F.sum(F.when(once, F.col("__seen") ** 2)).alias("total"), F.count(F.when(once, True)).alias("pairs"))
+    start = df.select(*keys).distinct().join(start, list(keys), "left").select(
+        *keys, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("__floor", "total")], F.coalesce("pairs", F.lit(0)).alias("pairs"))
+    upto = Window.partitionBy(*keys).orderBy("onset").rangeBetween(Window.unboundedPreceding, 0)
+    turns = rows.filter("onset is not null").select(*keys, "onset", *[F.sum(x).over(upto).alias(n) for n, x in (
+        ("a", slope * slope - slope_before * slope_before), ("b", 2 * (slope * rest - slope_before * rest_before)),
+        ("c", rest * rest - rest_before * rest_before))]).distinct()
+    pieces = turns.join(start, list(keys)).select(*keys, "onset", "a", "b", (F.col("__floor") + F.col("c")).alias("c"), "pairs", "total")
+    zero = F.lit(0.0)
+    return pieces.unionByName(start.select(*keys, F.lit(-1.0).alias("onset"), zero.alias("a"), zero.alias("b"), F.col("__floor").alias("c"), "pairs", "total"))
+
+
+def _errors_at(pieces: DataFrame, points: DataFrame, keys) -> DataFrame:
+    """``points`` (keys, ``m``, ...) with ``sse``, ``pairs`` and ``total`` of the piece that holds ``m``."""
+    piece = F.struct("a", "b", "c", "pairs", "total")
+    both = points.withColumn("__turn", F.lit(None).cast("struct<a:double,b:double,c:double,pairs:bigint,total:double>")) \
+        .unionByName(pieces.select(*keys, F.col("onset").alias("m"), piece.alias("__turn")), allowMissingColumns=True)
+    upto = Window.partitionBy(*keys).orderBy("m", F.col("__turn").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    held = both.withColumn("__at", F.last("__turn", ignorenulls=True).over(upto)).filter("__turn is null")
+    sse = F.greatest(F.lit(0.0), (F.col("__at.a") * F.col("m") + F.col("__at.b")) * F.col("m") + F.col("__at.c"))
+    return held.select(*points.columns, sse.alias("sse"), "__at.pairs", "__at.total")
+
+
 def calibrate_grid(
     df: DataFrame, obs: DataFrame, keys, ts, axes: Mapping[str, Sequence[float]], mode: str = "monthly",
     rounds: int = 0,
 ) -> DataFrame:
     """Parameters with the smallest calibration error per series.
 
-    Only the ``scale`` axis moves the price: dispatch policy keeps total
-    supply, so the error is flat in tax and subsidy and ties go to the
-    smallest parameters.  The error is therefore evaluated along ``scale``
-    alone and the other axes contribute their smallest value; the result is
-    the same as over the full grid.  ``rounds`` refines around the best scale.
+    ``sensitivity``, ``price_factor`` and ``scale`` multiply the price; tax,
+    subsidy and priority leave total supply, and so the error, as it is and
+    take their smallest value.  Other names raise, as do negative values of
+    axes that move the price.  The error of a combination comes from the
+    pieces of ``error_pieces``, so months are read once and never multiplied
+    by parameters.  Errors that differ by less than 1e-10 of the squared
+    observations are ties, which go to the smallest parameters in the order of
+    ``axes``.  Each of ``rounds`` looks at a box of nine values along every
+    axis that moves the price, around the best so far, with a quarter of the
+    last round's step.
     """
-    others = {n: min(v) for n, v in axes.items() if n != "scale"}
-    scales = sorted(axes["scale"])
-    step = (scales[-1] - scales[0]) / max(1, len(scales) - 1)
-
-    def best(panel: DataFrame) -> DataFrame:
-        errors = score(clear_market(panel))
-        order = F.struct("sse", "scale")
-        return errors.groupBy(*keys).agg(
-            F.min_by("scale", order).alias("scale"), F.min_by("sse", order).alias("sse"),
-            F.min_by("pairs", order).alias("pairs"),
-        )
-
-    if mode == "monthly":
-        # Observations are matched once, before months multiply by scales.
-        df = match_observed(df, obs, [*keys, ts])
-        score = lambda cleared: squared_error(cleared, [*keys, "scale"])
-    else:
-        score = lambda cleared: calibration_error(cleared, obs, keys, ts, mode, by=["scale"])
-    found = best(scenario_grid(df, {"scale": scales}).drop("scenario_id"))
+    if unknown := [n for n in axes if n not in (*PRICE_AXES, *FLAT_AXES)]:
+        raise ValueError(f"unknown axes {unknown}")
+    moving = {n: sorted(map(float, v)) for n, v in axes.items() if n in PRICE_AXES}
+    if any(v[0] < 0 for v in moving.values()):
+        raise ValueError("negative values of an axis that moves the price")
+    pieces = materialize(error_pieces(df, obs, keys, ts, mode, list(moving)))
+    series = pieces.filter("onset < 0").select(*keys)
+
+    def best(points: DataFrame) -> DataFrame:
+        product = reduce(lambda x, y: x * y, [F.col(n) for n in moving], F.lit(1.0))
+        errors = _errors_at(pieces, points.withColumn("m", product), keys)
+        close = F.round(F.col("sse") / F.greatest("total", F.lit(TINY_SUPPLY)), 10)
+        order = F.struct(close.alias("__sse"), *moving)
+        return errors.groupBy(*keys).agg(*[F.min_by(c, order).alias(c) for c in (*moving, "sse", "pairs")])
+
+    found = best(scenario_grid(series, moving).drop("scenario_id"))
+    step = {n: (v[-1] - v[0]) / max(1, len(v) - 1) for n, v in moving.items()}
     for _ in range(rounds):
-        step /= 4
-        around = found.select(*keys, F.explode(F.array(*[
-            F.least(F.greatest(F.col("scale") + k * step, F.lit(scales[0])), F.lit(scales[-1])) for k in range(-4, 5)
-        ])).alias("scale")).distinct()
-        found = best(df.join(around, list(keys)))
-    return found.select(*keys, *[F.lit(float(v)).alias(n) for n, v in others.items()], "scale", "sse", "pairs")
+        step = {n: s / 4 for n, s in step.items()}
+        around = found.select(*keys, *moving)
+        for n, v in moving.items():
+            if step[n]:
+                near = [F.least(F.greatest(F.col(n) + k * step[n], F.lit(v[0])), F.lit(v[-1])) for k in range(-4, 5)]
+                around = around.withColumn(n, F.explode(F.array_distinct(F.array(*near))))
+        found = best(around)
+    flat = {n: F.lit(float(min(v))) for n, v in axes.items() if n in FLAT_AXES}
+    return found.select(*keys, *[(flat[n] if n in flat else F.col(n)).alias(n) for n in axes], "sse", "pairs")
+
+
+def calibrate_exact(df: DataFrame, obs: DataFrame, keys, ts, low: float, high: float, mode: str = "monthly") -> DataFrame:
+    """The multiplier within ``[low, high]`` with the smallest error per series, without a grid: the least of all pieces' minima.
+
+    Columns: keys, ``scale``, ``sse``, ``pairs``; errors within 1e-10 of the
+    squared observations are ties, which go to the smallest multiplier.
+    """
+    pieces = error_pieces(df, obs, keys, ts, mode)
+    until = F.lead("onset", 1, float("inf")).over(Window.partitionBy(*keys).orderBy("onset"))
+    inside = pieces.withColumns({"__from": F.greatest("onset", F.lit(float(low))), "__to": F.least(until, F.lit(float(high)))}).filter("__from <= __to")
+    lowest = F.when(F.col("a") > 0, F.least(F.greatest(-F.col("b") / (2 * F.col("a")), "__from"), "__to")).otherwise(F.col("__from"))
+    at = inside.withColumn("scale", lowest).withColumn("sse", F.greatest(F.lit(0.0), (F.col("a") * F.col("scale") + F.col("b")) * F.col("scale") + F.col("c")))
+    order = F.struct(F.round(F.col("sse") / F.greatest("total", F.lit(TINY_SUPPLY)), 10), "scale")
+    return at.groupBy(*keys).agg(*[F.min_by(c, order).alias(c) for c in ("scale", "sse", "pairs")])
 
 
 def compare_scenarios(df: DataFrame, axes: Mapping[str, Sequence[float]], target: float = TARGET_PRICE, demand: str = "demand") -> DataFrame:

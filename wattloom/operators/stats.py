@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import to_month
-from wattloom.operators.align import with_ids
+from wattloom.session import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
 SKETCH_ACCURACY = 10_000
@@ -77,25 +77,37 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys=(
     ], "column")
 
 
-def large_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys=()) -> DataFrame:
-    """Exact interpolated quantiles of groups of any size.
+def ranked_values(df: DataFrame, col: str, keys=()) -> DataFrame:
+    """Distinct values of ``col`` per group with the first rank (from 0) and number of their rows, and the group's ``__n``.
 
-    Ranks come from a range-partitioned sort, so a group holding most of the
-    table is spread over many tasks; only the rows at the wanted ranks are kept.
+    Rows are counted by value before they are dealt out, so a value that most
+    rows hold is one row; ranges of distinct values are then dealt over the
+    tasks.  Ranks are prefix sums in two levels: over the counts of a group's
+    ranges (as many as there are tasks), then over the values of one range.
     """
-    known = df.filter(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__v"))
-    ranked = with_ids(known, ["__v"], keys, out="__rank", large_groups=True)
-    if keys:
-        counted = ranked.join(ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), list(keys))
-    else:
-        counted = ranked.withColumn("__n", ranked.agg(F.count(F.lit(1))).scalar())
+    counted = df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__rows"))
+    ranged = materialize(counted.repartitionByRange(*keys, "__v").withColumn("__part", F.spark_partition_id()))
+    sizes = ranged.groupBy(*keys, "__part").agg(F.sum("__rows").alias("__sum"))
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(k).alias(f"__of_{k}") for k in keys], F.col("__part").alias("__of"),
+                         F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"), F.sum("__sum").over(whole).alias("__n"))
+    same = reduce(lambda a, b: a & b, [ranged[k].eqNullSafe(sizes[f"__of_{k}"]) for k in keys], F.col("__part") == F.col("__of"))
+    upto = Window.partitionBy("__part", *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    first = F.col("__before") + F.col("__upto") - F.col("__rows")
+    return ranged.withColumn("__upto", F.sum("__rows").over(upto)).join(sizes, same).select(
+        *keys, "__v", "__rows", first.alias("__first"), "__n")
+
+
+def large_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys=()) -> DataFrame:
+    """Exact interpolated quantiles of groups of any size, from ``ranked_values``; no task sees a whole group or a whole tie."""
+    ranked = ranked_values(df, col, keys)
     at = {p: F.lit(float(p)) * (F.col("__n") - 1) for p in probs}
-    wanted = reduce(lambda a, b: a | b, [(F.col("__rank") >= F.floor(x)) & (F.col("__rank") <= F.ceil(x)) for x in at.values()])
-    picked = counted.filter(wanted)
+    holds = lambda rank: (F.col("__first") <= rank) & (rank < F.col("__first") + F.col("__rows"))
+    picked = ranked.filter(reduce(lambda a, b: a | b, [holds(f(x)) for x in at.values() for f in (F.floor, F.ceil)]))
     aggs = []
     for i, x in enumerate(at.values()):
-        aggs += [F.max(F.when(F.col("__rank") == F.floor(x), F.col("__v"))).alias(f"__lo_{i}"),
-                 F.max(F.when(F.col("__rank") == F.ceil(x), F.col("__v"))).alias(f"__hi_{i}")]
+        aggs += [F.max(F.when(holds(F.floor(x)), F.col("__v"))).alias(f"__lo_{i}"), F.max(F.when(holds(F.ceil(x)), F.col("__v"))).alias(f"__hi_{i}")]
     row = picked.groupBy(*keys).agg(F.max("__n").alias("__n"), *aggs)
     part = lambda p: at[p] - F.floor(at[p])
     return _stack(row, keys, [
