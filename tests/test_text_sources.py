@@ -97,6 +97,41 @@ def test_order_holds_when_a_file_spans_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_line_numbers_hold_in_blocks_of_a_few_lines(spark, tmp_path):
+    """Headers, footers and layouts beyond the first block, a file without a header, one without lines."""
+    body = [f"p{i},{i}" for i in range(300)]
+    (tmp_path / "a.csv").write_text("\n".join(["x" * 90, "", "y", "地区,2019", *body, "数据来源", "late,1", "数据来源"]), encoding="utf-8")
+    (tmp_path / "b.csv").write_text("one\n数据来源\n地区,2020\nq,5\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("no,header\nhere,1\n", encoding="utf-8")
+    (tmp_path / "d.csv").write_text("", encoding="utf-8")
+    months = ",".join(f"2026年{m}月" for m in range(1, 13))
+    (tmp_path / "wide.txt").write_text("t\n" * 9 + f"指标,{months}\n累计值,1\n" + "z,0\n" * 40 + "当期值," + ",".join(map(str, range(12))), encoding="utf-8")
+    (tmp_path / "tall.txt").write_text("a" * 200 + "\nb\nc\n" + "".join(f"{2000 + i // 12}年{i % 12 + 1}月,{i}\n" for i in range(200)), encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        lines = sheets.read_lines(spark, str(tmp_path / "*.csv"))
+        numbers = {}
+        for r in sheets._numbered(lines).collect():
+            numbers.setdefault(r.file.rsplit("/", 1)[1], []).append((r.line_no, r.line))
+        for name, got in numbers.items():
+            assert sorted(got) == list(enumerate((tmp_path / name).read_text(encoding="utf-8").splitlines()))
+        assert set(numbers) == {"a.csv", "b.csv", "c.csv"}
+        assert sheets.block_index(lines).filter("file like '%a.csv'").count() > 20
+        for marker, want in (("地区", [("a", i) for i in range(300)] + [("b", 5)]), (3, [("a", i) for i in range(300)])):
+            data = sheets.with_header_marker(lines, marker, "数据来源")
+            cells = sheets.melt_year_cells(data).filter("value is not null")
+            got = cells.select(F.regexp_extract("file", "([a-z]).csv", 1).alias("f"), F.col("value").cast("int").alias("v")).collect()
+            assert sorted((r.f, r.v) for r in got) == sorted(want)
+            plan = data._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin [file" in plan and "hashpartitioning(file#" not in plan.split("AdaptiveSparkPlan")[1].split("Initial Plan")[0]
+        metric = sheets.read_lines(spark, str(tmp_path / "*.txt"))
+        got = sheets.melt_sheets(metric).groupBy(F.regexp_extract("file", "([a-z]+).txt", 1).alias("f")).agg(F.count("value"), F.sum("value")).collect()
+        assert sorted(map(tuple, got)) == [("tall", 200, float(sum(range(200)))), ("wide", 12, 66.0)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_metric_sheets_in_both_layouts(spark, tmp_path):
     (tmp_path / "wide.csv").write_text("数据库\n指标,2026年3月,2026年2月,2026年1月,合计\n累计值,9,9,9,9\n当期值(亿),3.5,,1.5,5\n", encoding="utf-8")
     (tmp_path / "tall.csv").write_text("标题\n说明\n时间,发电量\n2026年2月,20\n2026年1月,10\nx,5\n2025年12月,--\n", encoding="utf-8")

@@ -1,7 +1,7 @@
 """Sources and sinks (S).
 
-Ragged sheets are written line by line from the panels and read back, so the
-SQL counterpart is the panel itself.  The lines are materialized, as files are.
+Ragged sheets are written from the panels as text files, one a sheet, and read
+back line by line, so the SQL counterpart is the panel itself.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from wattloom.catalog.forecasts import _naive
 from wattloom.catalog.quality import _Q1, checks_for_comparison
 from wattloom.plans import shapes
 from wattloom.plans.shapes import DEMAND, KEYS, SUPPLY, TS
-from wattloom.session import materialize, scratch_path
+from wattloom.session import scratch_path
 from wattloom.sources import sheets, sinks
 from wattloom.sources.tables import first_available, read_csv, read_table
 
@@ -40,6 +40,15 @@ def s2(spark, d):
         F.count(F.lit(1)).alias("n"), F.sum(shapes.money("c_acctbal")).cast("double").alias("balance"))
 
 
+def as_files(lines):
+    """``lines`` written as one text file a sheet (bounded by calendar and entities), and read back from there."""
+    spark, path = lines.sparkSession, scratch_path(lines.sparkSession)
+    ordered = lines.repartition("file").sortWithinPartitions("file", "block", "line_id")
+    ordered.select("file", "line").write.partitionBy("file").text(path)
+    name = F.url_decode(F.regexp_extract("file", "/file=([^/]*)/", 1))
+    return sheets.read_lines(spark, path).withColumn("file", name)
+
+
 def _year_panel(spark, d):
     """(region, nation, y1995 … y2001) of the order value."""
     return shapes.panel_annual(spark, d).groupBy("region", "nation").agg(
@@ -57,7 +66,7 @@ def annual_sheets(spark, d):
     frame = shapes.regions(spark, d).select("region").distinct().select(
         F.col("region").alias("file"), F.lit(0).cast("long").alias("block"),
         F.inline(F.array(*[F.struct(F.lit(i).cast("long").alias("line_id"), F.lit(t).alias("line")) for i, t in fixed.items()])))
-    return materialize(data.unionByName(frame))
+    return as_files(data.unionByName(frame))
 
 
 _ALL_YEARS = f"""grid as (select region, nation, cast(y as int) as year from (select distinct region, nation from panel_annual),
@@ -116,17 +125,17 @@ _TALL = "select region || '-tall' as file, ts + 14 as ts, total_supply as value
 
 @query("s6_melt_months", with_("demand_wide") + _WIDE)
 def s6(spark, d):
-    return sheets.melt_months(materialize(month_sheets(spark, d)))
+    return sheets.melt_months(as_files(month_sheets(spark, d)))
 
 
 @query("s7_melt_vertical", with_("supply_wide") + _TALL)
 def s7(spark, d):
-    return sheets.melt_vertical(materialize(vertical_sheets(spark, d)))
+    return sheets.melt_vertical(as_files(vertical_sheets(spark, d)))
 
 
 @query("s8_melt_sheets", with_("demand_wide", "supply_wide") + f"{_WIDE} union all {_TALL}")
 def s8(spark, d):
-    return sheets.melt_sheets(materialize(month_sheets(spark, d).unionByName(vertical_sheets(spark, d))))
+    return sheets.melt_sheets(as_files(month_sheets(spark, d).unionByName(vertical_sheets(spark, d))))
 
 
 @query("s9_combine_metrics", with_("demand_wide", "supply_wide") + """select coalesce(d.region, s.region) as region, coalesce(d.ts, s.ts) as ts,

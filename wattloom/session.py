@@ -7,6 +7,7 @@ import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "wattloom", master: str | None = None, **conf) -> SparkSession:
@@ -45,6 +46,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: A side with at most this many rows may be broadcast; beyond it the same join shuffles.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a count finds few enough rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 _written: dict[str, object] = {}
 
 

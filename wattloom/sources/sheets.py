@@ -2,18 +2,21 @@
 
 A sheet is a table of lines ``(file, block, line_id, line)``.  Files are read
 line by line and stay splittable: ``(block, line_id)`` orders the lines of a
-file without bringing it into one task, and line numbers are known where they
-matter, in the first block.
+file without bringing it into one task.  An index of the blocks (one row a
+split) gives line numbers by prefix sums and carries what is known of a sheet,
+its header say, to its lines: they are joined by file and block, so a file of
+any size is spread over as many tasks as it has splits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import parse_cn_month, parse_dirty_number, to_double
+from wattloom.session import broadcast_if_small, materialize
 
 # Fixed values.
 MONTH_TOKEN = r"^\d{4}年\d{1,2}月$"
@@ -59,11 +62,29 @@ def _has_words(line: Column, marker: str | Sequence[str]) -> Column:
     return F.size(F.array_except(F.array(*[F.lit(m) for m in marker]), cells)) == 0
 
 
-def _numbered(lines: DataFrame) -> DataFrame:
-    """Add ``line_no`` from 0 within the first block of a file, NULL beyond it."""
-    first = lines.groupBy("file").agg(F.min(_order()).alias("__first"))
-    number = F.when(F.col("block") == F.col("__first.block"), F.col("line_id") - F.col("__first.line_id"))
-    return lines.join(first, "file").select(*lines.columns, number.alias("line_no"))
+def block_index(lines: DataFrame) -> DataFrame:
+    """``(file, block, first, lines, before)``: first line id and number of lines of a block, and lines of the file before it.
+
+    One row a split, written once; the prefix sums run over a file's blocks.
+    """
+    blocks = lines.groupBy("file", "block").agg(F.min("line_id").alias("first"), F.count(F.lit(1)).alias("lines"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(blocks.withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0))))
+
+
+def _with_blocks(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Lines whose block is in ``blocks``, with its columns and ``line_no``, counted from 0 through the file."""
+    number = F.col("before") + F.col("line_id") - F.col("first")
+    known = [c for c in blocks.columns if c not in ("file", "block", "first", "lines", "before")]
+    return lines.join(broadcast_if_small(blocks), ["file", "block"]).select(*lines.columns, *known, number.alias("line_no"))
+
+
+def _numbered(lines: DataFrame, upto: int | None = None) -> DataFrame:
+    """Lines with ``line_no``, only the first ``upto`` of each file if given."""
+    blocks = block_index(lines)
+    if upto is None:
+        return _with_blocks(lines, blocks)
+    return _with_blocks(lines, blocks.filter(F.col("before") < upto)).filter(F.col("line_no") < upto)
 
 
 def with_header_marker(lines: DataFrame, marker: str | Sequence[str] | int, stop_marker: str | None = None) -> DataFrame:
@@ -71,25 +92,27 @@ def with_header_marker(lines: DataFrame, marker: str | Sequence[str] | int, stop
 
     The header is the first line containing the marker text, or holding every
     marker word as a cell, or the line of that number.  With ``stop_marker``
-    the data ends at the first line whose leading cell contains it.
+    the data ends at the first line whose leading cell contains it.  Sheets
+    without a header have no data lines.
     """
+    blocks = block_index(lines)
     if isinstance(marker, int):
-        lines = _numbered(lines)
-        is_header = F.col("line_no") == marker
+        at = blocks.filter((F.col("before") <= marker) & (F.col("before") + F.col("lines") > marker))
+        heads = _with_blocks(lines, at).filter(F.col("line_no") == marker)
     else:
-        is_header = _has_words(F.col("line"), marker)
-    heads = lines.groupBy("file").agg(
-        F.min(F.when(is_header, _order())).alias("__at"), F.min_by("line", F.when(is_header, _order())).alias("__header")
-    )
-    body = lines.join(heads, "file").filter(_order() > F.col("__at")).select(
-        "file", "block", "line_id", split_cells("__header").alias("header"), split_cells("line").alias("cells")
-    )
-    if stop_marker is None:
-        return body
-    ends = body.filter(F.contains(F.col("cells")[0], F.lit(stop_marker))).groupBy("file").agg(F.min(_order()).alias("__end"))
-    return body.join(ends, "file", "left").filter(
-        F.col("__end").isNull() | (_order() < F.col("__end"))
-    ).drop("__end")
+        heads = lines.filter(_has_words(F.col("line"), marker))
+    heads = heads.groupBy("file").agg(F.min(_order()).alias("at"), F.min_by("line", _order()).alias("header"))
+    # from here on a row a block: those before the header are left out, the others know header and end
+    blocks = materialize(blocks.join(heads, "file").filter(F.col("block") >= F.col("at.block")))
+    if stop_marker is not None:
+        below = _with_blocks(lines.filter(F.contains("line", F.lit(stop_marker))), blocks).filter(_order() > F.col("at"))
+        below = below.filter(F.contains(split_cells("line")[0], F.lit(stop_marker)))
+        ends = below.groupBy("file").agg(F.min(_order()).alias("end"))
+        blocks = materialize(blocks.join(ends, "file", "left").filter(F.col("end").isNull() | (F.col("block") <= F.col("end.block"))))
+    body = _with_blocks(lines, blocks).filter(_order() > F.col("at"))
+    if stop_marker is not None:
+        body = body.filter(F.col("end").isNull() | (_order() < F.col("end")))
+    return body.select("file", "block", "line_id", split_cells("header").alias("header"), split_cells("line").alias("cells"))
 
 
 def read_with_header_marker(spark: SparkSession, path, marker, stop_marker: str | None = None) -> DataFrame:
@@ -130,20 +153,23 @@ def _month_tokens(cells: Column) -> Column:
     return F.size(F.filter(cells, lambda x: x.rlike(MONTH_TOKEN)))
 
 
-def _heads(numbered: DataFrame, label: str = VALUE_LABEL) -> DataFrame:
-    """What the first lines say about each sheet: layout, month row, value row."""
-    cells = numbered.select("file", "line_no", _order().alias("at"), split_cells("line").alias("cells"))
-    cells = cells.select("*", _month_tokens(F.col("cells")).alias("months"))
-    enough = F.col("months") >= MIN_MONTH_TOKENS
+def _heads(first_lines: DataFrame) -> DataFrame:
+    """What the first lines say about each sheet: its layout and its row of months."""
+    cells = first_lines.select("file", "line_no", split_cells("line").alias("cells"))
+    enough = _month_tokens(F.col("cells")) >= MIN_MONTH_TOKENS
     is_month_row = enough & (F.col("line_no") < MONTH_ROW_LINES)
-    labelled = F.contains(F.col("cells")[0], F.lit(label))
     return cells.groupBy("file").agg(
         F.coalesce(F.bool_or(enough & (F.col("line_no") < LAYOUT_LINES)), F.lit(False)).alias("wide"),
-        F.min_by("cells", F.when(is_month_row, F.col("at"))).alias("header"),
-        F.min_by("cells", F.when(labelled, F.col("at"))).alias("cells"),
+        F.min_by("cells", F.when(is_month_row, F.col("line_no"))).alias("header"),
     )
 
 
+def _value_rows(lines: DataFrame, label: str) -> DataFrame:
+    """The first line of each sheet whose leading cell contains ``label``."""
+    named = lines.filter(F.contains("line", F.lit(label))).select("file", _order().alias("at"), split_cells("line").alias("cells"))
+    return named.filter(F.contains(F.col("cells")[0], F.lit(label))).groupBy("file").agg(F.min_by("cells", "at").alias("cells"))
+
+
 def _known(rows: DataFrame, month: Column, value: Column) -> DataFrame:
     out = rows.select("file", parse_cn_month(month).alias("ts"), to_double(value).alias("value"))
     return out.filter(F.col("ts").isNotNull() & F.col("value").isNotNull())
@@ -155,20 +181,21 @@ def _across(heads: DataFrame) -> DataFrame:
 
 
 def _down(numbered: DataFrame, header_row: int) -> DataFrame:
-    # Lines beyond the first block carry no number and lie below any header.
-    below = numbered.filter(F.coalesce(F.col("line_no") > header_row, F.lit(True)))
-    cells = below.select("file", split_cells("line").alias("cells"))
+    cells = numbered.filter(F.col("line_no") > header_row).select("file", split_cells("line").alias("cells"))
     return _known(cells, F.get("cells", F.lit(0)), F.get("cells", F.lit(1)))
 
 
+_TOP = max(LAYOUT_LINES, MONTH_ROW_LINES)
+
+
 def detect_layout(lines: DataFrame) -> DataFrame:
     """``(file, layout)``: horizontal when one of the first lines holds several months."""
-    return _heads(_numbered(lines)).select("file", F.when(F.col("wide"), "horizontal").otherwise("vertical").alias("layout"))
+    return _heads(_numbered(lines, _TOP)).select("file", F.when(F.col("wide"), "horizontal").otherwise("vertical").alias("layout"))
 
 
 def melt_months(lines: DataFrame, label: str = VALUE_LABEL) -> DataFrame:
     """Months across, values in the first row whose label contains ``label``."""
-    return _across(_heads(_numbered(lines), label))
+    return _across(_heads(_numbered(lines, _TOP)).join(_value_rows(lines, label), "file"))
 
 
 def melt_vertical(lines: DataFrame, header_row: int = VERTICAL_HEADER_ROW) -> DataFrame:
@@ -178,7 +205,9 @@ def melt_vertical(lines: DataFrame, header_row: int = VERTICAL_HEADER_ROW) -> Da
 
 def melt_sheets(lines: DataFrame, label: str = VALUE_LABEL, header_row: int = VERTICAL_HEADER_ROW) -> DataFrame:
     """``(file, ts, value)`` of single-metric sheets in either layout."""
-    numbered = _numbered(lines)
-    heads = _heads(numbered, label)
-    tall = numbered.join(heads.filter(~F.col("wide")).select("file"), "file", "left_semi")
-    return _across(heads.filter("wide")).unionByName(_down(tall, header_row))
+    blocks = block_index(lines)
+    first = _with_blocks(lines, blocks.filter(F.col("before") < _TOP)).filter(F.col("line_no") < _TOP)
+    heads = materialize(_heads(first))
+    wide = heads.filter("wide").join(_value_rows(lines, label), "file")
+    tall = blocks.join(heads.filter("not wide").select("file"), "file")
+    return _across(wide).unionByName(_down(_with_blocks(lines, tall), header_row))
