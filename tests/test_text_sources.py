@@ -61,6 +61,69 @@ def test_bulletins(spark):
         assert got[empty] == (None, None, None, None)
 
 
+def _plain_figures(text, month):
+    """Passages cut out and searched one by one."""
+    import re
+
+    def passages(patterns, span):
+        return [text[m.start():m.start() + span] for p in patterns for m in re.finditer(f"(?={p})", text)]
+
+    def first(blocks, aliases):
+        for b in blocks:
+            for alias in aliases:
+                if m := re.search(re.escape(alias) + T.QUANTITY, b):
+                    return round(float(m[1]) * (10000 if m[2] == "万亿" else 1), 3)
+        return None
+    monthly = passages([p.format(m=month) for p in T.MONTHLY_PREFIXES], T.MONTHLY_SPAN)
+    cumulative = passages([p.format(m=month) for p in T.CUMULATIVE_PREFIXES] + (T.YEAR_END_PREFIXES if month == 12 else []), T.CUMULATIVE_SPAN)
+    direct = [b for b in monthly if not re.search(f"1[-—~至到]{month}月|累计|全年", b)]
+    return [first(monthly if f == T.TOTAL_FIELD else direct, a) for f, a in T.FIELD_ALIASES.items()] + \
+        [first(cumulative, a) for a in T.FIELD_ALIASES.values()]
+
+
+def test_one_match_a_page_equals_passages_searched_one_by_one(spark):
+    import random
+
+    r = random.Random(5)
+    aliases = [a for aliases in T.FIELD_ALIASES.values() for a in aliases]
+    pieces = [*(f"{{}}{m}月份" for m in (1, 2, 11, 12)), *(f"{{}}{m}月" for m in (1, 2, 11, 12)), *(f"{{}}1{d}{m}月累计" for d in "-至~" for m in (1, 2, 12)),
+              "{}1-2月", "{}1—12月", "{}当月", "{}本月", "{}全年", "{}累计", "{}\u0001x\u0003", "{}\n", "{}" + "填" * 90, "{}12", "{}3.5亿千瓦时", *(f"{{}}{a}" for a in aliases)]
+    number = lambda: r.choice(["120.5亿千瓦时", "1.2345 万亿千瓦时", "7亿千瓦时", "达到99\n亿千瓦时", "同比增长速度继续放缓达到5亿千瓦时", "8亿度", "为6.亿千瓦时"])
+    texts = []
+    for i in range(400):
+        text = ""
+        for _ in range(r.randint(0, 40)):
+            text = r.choice(pieces).format(text)
+            if r.random() < 0.5:
+                text += r.choice(aliases) + number()
+        texts.append((i, date(2020, r.choice([1, 2, 11, 12]), 1), text))
+    texts.append((400, date(2020, 1, 1), None))
+    names = [*T.FIELD_ALIASES, *(f"{f}_cum" for f in T.FIELD_ALIASES)]
+    got = T.extract_figures(spark.createDataFrame(texts, "i int, ts date, text string")).orderBy("i").collect()
+    filled = 0
+    for (i, ts, text), row in zip(texts, got):
+        want = _plain_figures(text, ts.month) if text is not None else [None] * 10
+        assert [row[n] for n in names] == want, (text, ts, row, want)
+        filled += sum(v is not None for v in want)
+    assert filled > 800
+
+
+def test_references_are_decoded_once(spark):
+    cases = {"&#38;lt;": "&lt;", "&#38;#60; and &#60;": "&#60; and <", "&#150;&#x80;": "–€", "&eacute;&euro;&NotEqualTilde;": "é€\u2242\u0338",
+             "&amp;amp;": "&amp;", "a & b &; &nosuch; &lt &#x110000;": "a & b &; &nosuch; &lt &#x110000;", "&#0;&#129;x": "&#0;\x81x", "&lt;b&gt;": "<b>"}
+    got = spark.createDataFrame(list(cases.items()), "h string, w string").select("h", "w", T.html_to_text("h").alias("t")).collect()
+    assert [(r.h, r.t) for r in got] == [(r.h, r.w) for r in got]
+
+
+def test_sources_without_a_page_do_not_meet(spark):
+    many = spark.range(2000).select(F.col("id").alias("k"), F.lit(date(2020, 1, 1)).alias("ts"), F.when(F.col("id") % 2 == 0, "无").alias("url"))
+    pages = spark.createDataFrame([("u", "x")], "url string, html string")
+    out = T.read_bulletins(many, pages, ["k"])
+    assert out.count() == 2000 and out.filter("total_demand is not null").count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
+
+
 def test_csv_with_bom_and_bad_cells(spark, tmp_path):
     (tmp_path / "a.csv").write_text("﻿date,total,part\n2010-01-01,3531.0,\n2010-02-01,x,5\n", encoding="utf-8")
     df = read_csv(spark, str(tmp_path / "a.csv"), "date date, total double, part double")

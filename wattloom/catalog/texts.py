@@ -17,7 +17,7 @@ from wattloom.plans.shapes import KEYS, TS
 from wattloom.sources.tables import read_table
 
 FIELDS = list(T.FIELD_ALIASES)
-_ENTITIES = [(n, c) for n, c in T.ENTITIES.items()]
+_ENTITIES = [(n, T.NAMED[n]) for n in T.FREQUENT if n != "amp"] + [("#39", "'"), ("amp", "&")]
 
 
 def _text_sql(col):
@@ -36,16 +36,23 @@ def t1(spark, d):
     return read_table(spark, d, "pages").select("page_id", T.html_to_text("html").alias("text"))
 
 
+@query("t1_references", r"""select page_id, 'A&lt;B < &#38;#60; – é€ < < &unknown; &#1114112; "' || page_id || '"' as text from pages""")
+def t1_references(spark, d):
+    """References inside references, old code pages, names, what is none: decoded once each."""
+    html = F.concat(F.lit("<p>A&#38;lt;B &#x3C; &amp;#38;#60; &#150; &eacute;&euro; &lt; &#60; &unknown; &#1114112; &quot;"), F.col("page_id"), F.lit("&#34;</p>"))
+    return read_table(spark, d, "pages").select("page_id", T.html_to_text(html).alias("text"))
+
+
 # Figures are whole tenths; page kinds by (year + month) % 4: 0 monthly only,
 # 1 cumulative only, 2 both, 3 no page.
 BULLETIN_CTES = {
     "tenths": """select region, ts, cast(floor(total_demand / 1000) as bigint) as n0, cast(floor(seg_1 / 1000) as bigint) as n1,
-        cast(floor(seg_2 / 1000) as bigint) as n2, (year(ts) + month(ts)) % 4 as kind from demand_wide""",
-    "cum": """select *, cast(sum(n0) over w as bigint) as c0, cast(sum(n1) over w as bigint) as c1, cast(sum(n2) over w as bigint) as c2
+        cast(floor(seg_2 / 1000) as bigint) as n2, cast(floor(seg_3 / 1000) as bigint) as n3, cast(floor(seg_4 / 1000) as bigint) as n4, (year(ts) + month(ts)) % 4 as kind from demand_wide""",
+    "cum": """select *, cast(sum(n0) over w as bigint) as c0, cast(sum(n1) over w as bigint) as c1, cast(sum(n2) over w as bigint) as c2,
+        cast(sum(n3) over w as bigint) as c3, cast(sum(n4) over w as bigint) as c4
         from tenths window w as (partition by region, year(ts) order by ts)""",
-    "seen": """select region, ts, kind, n0, n1, n2, case when kind in (1, 2) then c0 end as c0, case when kind in (1, 2) then c1 end as c1,
-        case when kind in (1, 2) then c2 end as c2 from cum""",
-    "prior": """select *, last_value(c0 ignore nulls) over w as b0, last_value(c1 ignore nulls) over w as b1, last_value(c2 ignore nulls) over w as b2
+    "seen": """select region, ts, kind, n0, n1, n2, n3, n4, """ + ", ".join(f"case when kind in (1, 2) then c{i} end as c{i}" for i in range(5)) + " from cum",
+    "prior": "select *, " + ", ".join(f"last_value(c{i} ignore nulls) over w as b{i}" for i in range(5)) + """
         from seen window w as (partition by region, year(ts) order by ts rows between unbounded preceding and 1 preceding)""",
 }
 
@@ -54,9 +61,10 @@ def bulletins(spark, d):
     """(region, ts, url, html) written from the demand panel."""
     tenth = lambda c: F.floor(F.col(c) / 1000)
     rows = shapes.demand_wide(spark, d).select(
-        *KEYS, TS, tenth("total_demand").alias("n0"), tenth("seg_1").alias("n1"), tenth("seg_2").alias("n2"))
+        *KEYS, TS, tenth("total_demand").alias("n0"), tenth("seg_1").alias("n1"), tenth("seg_2").alias("n2"),
+        tenth("seg_3").alias("n3"), tenth("seg_4").alias("n4"))
     year = Window.partitionBy(*KEYS, F.year(TS)).orderBy(TS).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select("*", *[F.sum(f"n{i}").over(year).alias(f"c{i}") for i in range(3)])
+    rows = rows.select("*", *[F.sum(f"n{i}").over(year).alias(f"c{i}") for i in range(5)])
     month, kind = F.month(TS), (F.year(TS) + F.month(TS)) % 4
 
     def figure(label, col):
@@ -64,10 +72,11 @@ def bulletins(spark, d):
         whole = F.floor(n / 10).cast("string")
         return F.coalesce(F.concat(F.lit(label), whole, F.lit("."), (n % 10).cast("string"), F.lit("亿千瓦时，")), F.lit(""))
 
-    direct = F.concat(month.cast("string"), F.lit("月份，"), figure("全社会用电量", "n0"), figure("第一产业用电量", "n1"))
-    second = figure("第二产业", "n2")
+    direct = F.concat(month.cast("string"), F.lit("月份，"), figure("全社会用电量", "n0"), figure("第一产业用电量", "n1"), figure("第三产业用电量", "n3"))
+    second = F.concat(figure("第二产业", "n2"), figure("城乡居民生活用电量", "n4"))
     opening = F.when(month == 12, F.lit("全年，")).otherwise(F.concat(F.lit("1-"), month.cast("string"), F.lit("月累计，")))
-    total = F.concat(opening, figure("全社会用电量", "c0"), figure("第一产业用电量", "c1"), figure("第二产业", "c2"))
+    total = F.concat(opening, figure("全社会用电量", "c0"), figure("第一产业用电量", "c1"), figure("第二产业", "c2"),
+                     figure("第三产业", "c3"), figure("居民生活用电量", "c4"))
     filler = F.lit("<p>" + "说明文字。" * 80 + "</p>")
     body = (
         F.when(kind == 0, F.concat(direct, second)).when(kind == 1, total)
@@ -83,16 +92,15 @@ def _figures(spark, d):
     return T.extract_figures(pages.withColumn("text", T.html_to_text("html")), TS)
 
 
-_NONE = "null::double"
 _DIRECT = {
     "total_demand": "case when kind in (0, 2) then n0 / 10 when kind = 1 and month(ts) <> 12 then c0 / 10 end",
     "primary_demand": "case when kind in (0, 2) then n1 / 10 end",
     "secondary_demand": "case when kind = 0 then n2 / 10 end",
-    "tertiary_demand": _NONE, "residential_demand": _NONE,
+    "tertiary_demand": "case when kind in (0, 2) then n3 / 10 end",
+    "residential_demand": "case when kind = 0 then n4 / 10 end",
 }
-_CUM = {"total_demand": "c0 / 10", "primary_demand": "c1 / 10", "secondary_demand": "c2 / 10", "tertiary_demand": _NONE, "residential_demand": _NONE}
-_DIFF = {"total_demand": "(c0 - b0) / 10", "primary_demand": "case when c0 is not null then (c1 - b1) / 10 end",
-         "secondary_demand": "case when c0 is not null then (c2 - b2) / 10 end", "tertiary_demand": _NONE, "residential_demand": _NONE}
+_CUM = {f: f"c{i} / 10" for i, f in enumerate(FIELDS)}
+_DIFF = {f: f"case when c0 is not null then (c{i} - b{i}) / 10 end" for i, f in enumerate(FIELDS)}
 _B = with_("demand_wide", **BULLETIN_CTES)
 
 
