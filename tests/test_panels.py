@@ -233,6 +233,22 @@ def _written_by(df):
     return df.inputFiles()[0].rsplit("/", 1)[0]
 
 
+def test_both_panels_come_from_one_scan(spark, monkeypatch):
+    from wattloom.catalog import QUERIES
+    from wattloom.plans import shapes
+
+    sf, written, write = "/root/testdata/sf0.001", [], shapes.materialize
+    monkeypatch.setattr(shapes, "materialize", lambda df: written.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df))
+    annual, monthly = shapes.annual_and_monthly(spark, sf)
+    same = lambda a, b: a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert same(annual, shapes.panel_annual(spark, sf)) and same(monthly, shapes.parent_monthly(spark, sf))
+    for name in ("f5_entity_shares", "f9_disaggregate", "f10_build_panel"):
+        written.clear()
+        out = QUERIES[name](spark, sf)
+        assert len(written) == 1 and written[0].count("o_totalprice#") > 0 and written[0].count("Relation [o_orderkey") == 1
+        assert not any("orders.parquet" in f for f in out.inputFiles())
+
+
 def test_windows_insist_on_a_series_key(spark):
     df = series(spark, [1.0])
     for call in (lambda: W.lags(df, [], "ts", "v", [1]), lambda: W.pct_change(df, [], "ts", "v", 1), lambda: I.winsorize(df, [], ["v"])):

@@ -161,10 +161,10 @@ ENTITY = {
 
 @query("f5_entity_shares", with_("panel_annual", "parent_monthly", **FUTURE, **ENTITY) + f"select region, nation, year, {sqs(_ANNUAL, 1)} from efut")
 def f5(spark, d):
-    observed = _observed(spark, d)
+    annual, observed = shapes.annual_and_monthly(spark, d)
     future = _future(observed, _path(observed))
     past = A.annual_sum(observed, KEYS, TS, ["m1", "m2", "m3"]).filter(F.col("year") <= HIST_LAST)
-    hist = shapes.panel_annual(spark, d).select("region", "nation", "year", *[F.coalesce(m, F.lit(0.0)).alias(f"{m}_annual") for m in ("m1", "m2", "m3")])
+    hist = annual.select("region", "nation", "year", *[F.coalesce(m, F.lit(0.0)).alias(f"{m}_annual") for m in ("m1", "m2", "m3")])
     out = FC.forecast_entity_shares(hist.filter(F.col("year") <= HIST_LAST), past.unionByName(future), KEYS, "nation", _ANNUAL, TARGETS, SINCE)
     return settled(out, 1)
 
@@ -217,8 +217,9 @@ def _split(annual, months, extra=""):
 @query("f9_disaggregate", with_("panel_annual", "parent_monthly", ann="select region, nation, year, m1 as m1_annual, m2 as m2_annual, m3 as m3_annual from panel_annual")
        + _split("ann", "parent_monthly"))
 def f9(spark, d):
-    annual = shapes.panel_annual(spark, d).select("region", "nation", "year", *[F.col(m).alias(f"{m}_annual") for m in ("m1", "m2", "m3")])
-    out = FC.disaggregate(annual, shapes.parent_monthly(spark, d), KEYS, "nation", TS, {f"{m}_annual": m for m in ("m1", "m2", "m3")})
+    annual, monthly = shapes.annual_and_monthly(spark, d)
+    annual = annual.select("region", "nation", "year", *[F.col(m).alias(f"{m}_annual") for m in ("m1", "m2", "m3")])
+    out = FC.disaggregate(annual, monthly, KEYS, "nation", TS, {f"{m}_annual": m for m in ("m1", "m2", "m3")})
     return settled(out, 1)
 
 
@@ -226,8 +227,8 @@ def f9(spark, d):
     select *, 'historical_disaggregated' as data_flag from hist union all select region, nation, year, m1_annual, m2_annual, m3_annual,
     'forecast_share_based' from efut""") + _split("everything", "months", "a.data_flag, "))
 def f10(spark, d):
-    observed = _observed(spark, d)
-    annual = shapes.panel_annual(spark, d).select("region", "nation", "year", *[F.col(m).alias(f"{m}_annual") for m in ("m1", "m2", "m3")])
+    annual, observed = shapes.annual_and_monthly(spark, d)
+    annual = annual.select("region", "nation", "year", *[F.col(m).alias(f"{m}_annual") for m in ("m1", "m2", "m3")])
     out = flows.build_panel(
         annual, observed, FC.forecast_seasonal_naive(observed, KEYS, TS, "m1", STEPS), KEYS, "nation", TS, "m1", ["m2", "m3"],
         HIST_LAST, LAST, SINCE, CLIM, BOUNDS)

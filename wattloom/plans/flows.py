@@ -68,7 +68,8 @@ def build_panel(
     ``annual_hist`` has ``(keys, entity, year, <metric>_annual)`` up to
     ``hist_last``, its last complete year; ``monthly_hist`` the parent's months,
     all of which are kept; ``total_forecast`` its total ``(keys, ts, forecast)``,
-    used after the last month of each series.  All three are panels: as long as the calendar, not as the raw tables.
+    used after the last month of each series.  All three are panels, as long as
+    the calendar, and read several times: give written tables.
     """
     metrics = [total, *parts]
     annual_names = [f"{m}_annual" for m in metrics]
@@ -76,13 +77,10 @@ def build_panel(
     hist = annual_hist.filter(F.col("year") <= hist_last).fillna(0.0, annual_names)
     if codes is not None:
         hist = map_codes(hist, codes, entity)
-    # The panels below are read many times; writing the small ones once keeps
-    # the source tables to a single pass.
-    hist = materialize(hist)
     extra = [c for c in hist.columns if c not in (*keys, entity, "year", *annual_names)]
     names = hist.select(*keys, entity, *extra).distinct() if extra else None
 
-    observed = materialize(monthly_hist)
+    observed = monthly_hist
     path = splice(observed.select(*keys, ts, total), total_forecast.withColumnRenamed("forecast", total), keys, ts, last_year)
     parent_future = materialize(forecast_share_targets(
         observed, annual_sum(path, keys, ts, [total]), keys, ts, total, parts, targets, bounds

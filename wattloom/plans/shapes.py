@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.scalars import to_month
 from wattloom.model import Family
 from wattloom.operators.align import outer_on_month
+from wattloom.session import materialize
 from wattloom.sources.tables import read_table
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -120,6 +121,22 @@ def parent_monthly(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def annual_and_monthly(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """``panel_annual`` and ``parent_monthly`` from one scan of the orders and one write.
+
+    Orders are summed by entity and month, the finest figures both panels
+    need; grouping sets roll those up to either one.
+    """
+    value, names = cents("o_totalprice"), ["m1", *PRIORITIES]
+    finest = orders_by_place(spark, d).groupBy("region", "nation", to_month("o_orderdate").alias(TS)).agg(
+        F.sum(value).alias("m1"), *[F.sum(F.when(F.col("o_orderpriority") == p, value)).alias(m) for m, p in PRIORITIES.items()])
+    finest = finest.withColumn("year", F.year(TS))
+    both = materialize(finest.groupingSets([["region", "nation", "year"], ["region", TS]], "region", "nation", "year", TS).agg(
+        *[F.sum(m).alias(m) for m in names], F.grouping("nation").alias("monthly")))
+    money_ = [(F.col(m) / 100.0).alias(m) for m in names]
+    return both.filter("monthly = 0").select("region", "nation", "year", *money_), both.filter("monthly = 1").select("region", TS, *money_)
+
+
 def market_months(spark: SparkSession, d: str) -> DataFrame:
     """(region, ts, demand, seg_1..5, five technologies, supply) for shared months."""
     value = cents("l_extendedprice")
