@@ -2,7 +2,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from helpers import near, rows
+from helpers import near, rows, series
 from wattloom.functions import text as T
 from wattloom.sources import sheets, sinks
 from wattloom.sources.tables import first_available, read_csv
@@ -216,6 +216,50 @@ def test_sinks(spark, tmp_path):
     assert both.count() == 4 and {r.kind for r in both.collect()} == {"a", "b"}
 
 
+def test_a_pair_of_tables_is_replaced_together_or_not_at_all(spark, tmp_path):
+    import pytest
+
+    path = str(tmp_path / "db")
+    table = lambda vs: spark.createDataFrame([("k", v) for v in vs], "k string, v int")
+    read = lambda: {n: rows(t.select("id", "v"), "id") for n, t in sinks.read_tables(spark, path).items()}
+    assert sinks.read_tables(spark, path) == {}
+    assert sinks.replace_tables(spark, path, {"a": table([3, 1]), "b": table([7])}, ["v"]) == {"a": 2, "b": 1}
+    old = {"a": [(0, 1), (1, 3)], "b": [(0, 7)]}
+    assert read() == old
+    held = sinks.read_tables(spark, path)["a"]
+    broken = table([1, 2]).withColumn("v", F.when(F.col("v") > 1, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_tables(spark, path, {"a": table([9]), "b": broken}, ["v"])
+    assert read() == old
+    for i in range(3):
+        sinks.replace_tables(spark, path, {"a": table([i, i + 1]), "b": table([])}, ["v"], ["k"])
+        if i == 0:
+            assert held.count() == 2  # readers of the tables before go on
+    assert read() == {"a": [(0, 2), (1, 3)], "b": []}
+    kept = [p.name for p in (tmp_path / "db").iterdir() if (p / "a").exists()]
+    assert len(kept) <= 3  # this pair, the one before, and what a lost job left
+
+
+def test_checks_are_observed_by_the_write(spark, tmp_path):
+    from wattloom.model import Family
+    from wattloom.operators import quality as Q
+
+    reads = spark.sparkContext.accumulator(0)
+    fam = Family("t", ("p", "q"))
+    df = series(spark, [(10.0, 4.0, 6.0), (12.0, 4.0, 6.0), (None, 1.0, None)], "t double, p double, q double")
+    checks = [Q.identity_check(df, fam, "generation", 0.02), Q.temporal_check("ts"), Q.range_check(df, "absent")]
+    @F.udf("double")
+    def counted(x):
+        reads.add(1)
+        return x
+    once = df.withColumn("t", counted("t"))
+    report = sinks.write_checked(once, str(tmp_path / "t"), checks, ["k"], "ts")
+    got = sorted(map(tuple, report.collect()), key=str)
+    want = Q.run_checks(df, checks[:1], []).unionByName(Q.run_checks(df, checks[1:], ["k"], "ts").drop("k"))
+    assert got == sorted(map(tuple, want.collect()), key=str)
+    assert reads.value == 3 and spark.read.parquet(str(tmp_path / "t")).columns == df.columns
+
+
 def test_price_table(spark):
     import pytest
     from wattloom.plans import national as N

@@ -152,6 +152,26 @@ def s10(spark, d):
     return sinks.fixed_decimals(read_table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") / 8).alias("balance")), 6)
 
 
+@query("s11_replaced_pair", with_("demand_wide", "supply_wide") + """select 'demand' as kind, region, ts, total_demand as value,
+    row_number() over (partition by region order by ts) - 1 as id, (select count(*) from demand_wide) as n from demand_wide
+    union all select 'generation', region, ts, total_supply, row_number() over (partition by region order by ts) - 1, (select count(*) from supply_wide) from supply_wide""")
+def s11_pair(spark, d):
+    path = scratch_path(spark)
+    pick = lambda df, c: df.select(*KEYS, TS, F.col(c).alias("value"))
+    demand, supply = pick(shapes.demand_wide(spark, d), DEMAND.total), pick(shapes.supply_wide(spark, d), SUPPLY.total)
+    sinks.replace_tables(spark, path, {"demand": demand.limit(1), "generation": supply.limit(1)}, [TS], KEYS)
+    n = sinks.replace_tables(spark, path, {"demand": demand, "generation": supply}, [TS], KEYS)
+    return sinks.export_combined(sinks.read_tables(spark, path)).withColumn("n", F.when(F.col("kind") == "demand", n["demand"]).otherwise(n["generation"]).cast("long"))
+
+
+@query("s12_checked_write", with_("supply_wide", supply_all="select 'all' as region, * exclude (region) from supply_wide")
+       + f"select * exclude (region) from ({_Q1.replace('supply_wide', 'supply_all')})")
+def s12_checked(spark, d):
+    path = scratch_path(spark)
+    supply = shapes.supply_wide(spark, d)
+    return checks_for_comparison(sinks.write_checked(supply, path, [Q.identity_check(supply, SUPPLY, "generation", 0.02)]))
+
+
 @query("s12_report_sink", with_("supply_wide") + _Q1)
 def s12(spark, d):
     path = scratch_path(spark)

@@ -11,7 +11,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import to_month
@@ -46,8 +46,16 @@ def run_checks(df: DataFrame, checks: Sequence[Check], keys=(), ts: str | None =
     """Evaluate checks together: one pass over ``df``, one row per metric."""
     if any(c.gaps for c in checks):
         df = day_gap(df, keys, ts)
-    aggs = [F.expr(e).alias(f"{c.name}__{a}") for c in checks for a, e in c.aggs.items()]
-    row = df.groupBy(*keys).agg(*(aggs or [F.count(F.lit(1)).alias("__n")]))
+    return check_rows(df.groupBy(*keys).agg(*check_aggregates(checks)), checks, keys)
+
+
+def check_aggregates(checks: Sequence[Check]) -> list[Column]:
+    """All aggregates the checks need, named ``<check>__<name>``."""
+    return [F.expr(e).alias(f"{c.name}__{a}") for c in checks for a, e in c.aggs.items()] or [F.count(F.lit(1)).alias("__n")]
+
+
+def check_rows(row: DataFrame, checks: Sequence[Check], keys=()) -> DataFrame:
+    """The rows of all checks, read off their aggregates."""
     items = []
     for c in checks:
         local = lambda text: re.sub(r"\{(\w+)\}", lambda m: q(f"{c.name}__{m.group(1)}"), text)
