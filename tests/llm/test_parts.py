@@ -82,6 +82,48 @@ def test_inclusion_scores_are_unbiased():
     assert abs(count / n - p) < 0.02 and abs(weight[top] / n / p - 1) < 0.05
 
 
+def _ways(lattice):
+    """Every segmentation of the lattice's one word, with its probability."""
+    out = {}
+
+    def go(node, path, log_p):
+        if lattice.final[node]:
+            out[tuple(path)] = math.exp(log_p)
+        else:
+            for e in np.flatnonzero(lattice.src == node).tolist():
+                go(lattice.dst[e], [*path, e], log_p + math.log(lattice.p[e]))
+    go(int(lattice.start[0]), [], 0.0)
+    return out
+
+
+def _drawn(lattice, seeds, k):
+    m = len(seeds)
+    paths, _, scores = pieces._sampled(lattice, np.arange(m), np.zeros(m, np.int64), seeds, k)
+    return [[tuple(edges[begin[i]:begin[i] + size[i]].tolist()) for j, (_, edges, _, begin, size) in enumerate(paths) if np.isfinite(scores[i, j])]
+            for i in range(m)]
+
+
+def test_no_segmentation_is_left_out():
+    vocab = pieces.vocabulary(MODEL)
+    for word, count in (("the", 8), ("nation", 49), ("xz", 2)):
+        lattice = pieces.Lattice([pieces.SPACE + word], vocab, 1.0)
+        ways = _ways(lattice)
+        assert len(ways) == count and abs(sum(ways.values()) - 1) < 1e-9
+        for k in {1, 2, count // 2 + 1, count, count + 3}:
+            for got in _drawn(lattice, np.arange(1, 13, dtype=np.uint64) * np.uint64(7919), k):
+                assert len(set(got)) == len(got) == min(k, count) and set(got) <= set(ways)
+
+
+def test_first_and_second_samples_have_their_frequencies():
+    vocab, m = pieces.vocabulary(MODEL), 30_000
+    lattice = pieces.Lattice([pieces.SPACE + "nation"], vocab, 1.0)
+    p = _ways(lattice)
+    got = _drawn(lattice, (np.arange(m, dtype=np.uint64) + np.uint64(5)) * np.uint64(0x9E3779B97F4A7C15), 2)
+    for j, want in enumerate((p, {b: sum(p[a] * p[b] / (1 - p[a]) for a in p if a != b) for b in p})):
+        seen = Counter(g[j] for g in got)
+        assert max(abs(seen[w] / m - want[w]) for w in p) < 0.012
+
+
 def test_urls(spark):
     d = date
     captures = [(1, "http://a.b.com/x/y", d(2024, 1, 5)), (2, "https://u@B.com.:80/x?q", d(2024, 1, 1)), (3, "http://a.b.com/x", d(2024, 2, 1)),

@@ -141,6 +141,12 @@ class Lattice:
             at_top = np.flatnonzero(self.p == top)
             self.likely[src[at_top[::-1]]] = at_top[::-1]
             self.likely_p[some] = self.p[self.likely[some]]
+        # the probability beside each edge: a likely edge's is the sum of the others, as 1 - p would lose its digits
+        self.rest = np.maximum(1 - self.p, 0.0)
+        if len(some):
+            others = self.p.copy()
+            others[self.likely[some]] = 0.0
+            self.rest[self.likely[some]] = np.add.reduceat(others, first[some])
 
     @staticmethod
     def joined(parts: list[Lattice]) -> Lattice:
@@ -151,7 +157,7 @@ class Lattice:
         for name in ("start", "dst", "src", "line"):
             setattr(out, name, np.concatenate([getattr(p, name) + s for p, s in zip(parts, nodes)]))
         out.likely = np.concatenate([p.likely + s for p, s in zip(parts, edges)])
-        for name in ("ids", "p", "final", "before", "likely_p"):
+        for name in ("ids", "p", "rest", "final", "before", "likely_p"):
             setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
         out.n_nodes = int(nodes[-1])
         return out
@@ -230,14 +236,12 @@ def _sampled(lattice: Lattice, rows: np.ndarray, segment: np.ndarray, seed: np.n
     for sample in range(k):
         size = np.bincount(row, minlength=n)
         begin = np.cumsum(size) - size
-        p = lattice.p[edges]
-        step_log = np.log(p)
+        step_log = np.log(lattice.p[edges])
         run = np.cumsum(step_log)
         base = np.where(size > 0, np.append(run, 0.0)[np.minimum(begin, len(run))] - np.append(step_log, 0.0)[np.minimum(begin, len(run))], 0.0)
         before = run - step_log - base[row]
         log_p.append(np.bincount(row, step_log, minlength=n))
-        beside = np.maximum(1 - p - out_mass, 0.0)
-        beside = np.where(beside < 1e-9, 0.0, beside)
+        beside = np.where(special, out_mass, lattice.rest[edges])
         noise = -np.log(_uniform(seed[row], tokens, np.arange(len(row)) - begin[row], np.full(len(row), 1000 + sample)))
         with np.errstate(divide="ignore"):
             value = -np.logaddexp(-scores[sample][row], np.log(noise) - before - np.log(beside))
@@ -279,18 +283,7 @@ def _sampled(lattice: Lattice, rows: np.ndarray, segment: np.ndarray, seed: np.n
                     spot = np.where(has, rbegin[chosen] + offset, 0)
                     same = has & _same_way(lattice, paths[q], paths[r], chosen, offset)
                     avoid.append(np.where(same, redges[spot] if len(redges) else 0, -1))
-            avoid = np.sort(np.unique(np.stack(avoid), axis=0) if len(avoid) == 1 else np.stack(avoid), axis=0)
-            repeated = np.zeros_like(avoid, bool)
-            repeated[1:] = avoid[1:] == avoid[:-1]
-            use = (avoid >= 0) & ~repeated
-            taken = np.where(use, lattice.p[np.maximum(avoid, 0)], 0.0)
-            x = _uniform(seed[chosen], at - qbegin[chosen], np.full(len(at), 5), np.full(len(at), 2000 + sample)) * np.maximum(1 - taken.sum(axis=0), 0)
-            for a, ok, mass in zip(avoid, use, taken):
-                x = np.where(ok & (x >= lattice.before[np.maximum(a, 0)]), x + mass, x)
-            e = lattice.search(node, x)
-            for _ in range(len(avoid) + 1):  # rounding may leave x at the rim of an edge that is taken
-                clash = ((avoid == e) & use).any(axis=0)
-                e = np.where(clash, np.where(lattice.src[np.minimum(e + 1, len(lattice.src) - 1)] == node, e + 1, np.searchsorted(lattice.src, node)), e)
+            e, beyond = _another(lattice, node, np.stack(avoid), seed[chosen], at - qbegin[chosen], sample)
             # the kept beginning
             length = at - qbegin[chosen]
             head = np.repeat(qbegin[chosen] - (np.cumsum(length) - length), length) + np.arange(length.sum())
@@ -308,7 +301,7 @@ def _sampled(lattice: Lattice, rows: np.ndarray, segment: np.ndarray, seed: np.n
                     ("tokens", qtokens[head], now, token[pick][tail.token]),
                     ("fresh", np.zeros(len(head), bool), np.ones(len(e), bool), np.ones(len(tail.edges), bool)),
                     ("special", np.zeros(len(head), bool), np.ones(len(e), bool), np.zeros(len(tail.edges), bool)),
-                    ("mass", np.zeros(len(head)), taken.sum(axis=0), np.zeros(len(tail.edges)))):
+                    ("mass", np.zeros(len(head)), beyond, np.zeros(len(tail.edges)))):
                 parts[name] += [head_value, mid_value, tail_value]
         joined = {name: np.concatenate(v) if v else np.empty(0) for name, v in parts.items()}
         order = np.argsort(joined["row"], kind="stable")
@@ -317,6 +310,31 @@ def _sampled(lattice: Lattice, rows: np.ndarray, segment: np.ndarray, seed: np.n
     return paths, np.stack(log_p, axis=1), np.stack(scores, axis=1)
 
 
+def _another(lattice, node, avoid, seed, offset, sample):
+    """An edge of each node but those to avoid, in proportion to their probabilities, and what is left beside it.
+
+    The edge has the largest Gumbel-perturbed log probability, so edges of any
+    probability above 0 can be drawn and none is lost to rounding.
+    """
+    first, stop = np.searchsorted(lattice.src, node), np.searchsorted(lattice.src, node, "right")
+    counts = stop - first
+    begin = np.cumsum(counts) - counts
+    owner = np.repeat(np.arange(len(node)), counts)
+    edges = np.arange(counts.sum()) - begin[owner] + first[owner]
+    weight = lattice.p[edges]
+    for taken in avoid:
+        some = np.flatnonzero(taken >= 0)
+        weight[begin[some] + taken[some] - first[some]] = 0.0
+    noise = -np.log(-np.log(_uniform(seed[owner], offset[owner], edges - first[owner], np.full(len(edges), 2000 + sample))))
+    with np.errstate(divide="ignore"):
+        value = np.log(weight) + noise
+    at = np.flatnonzero(value == np.maximum.reduceat(value, begin)[owner])
+    pick = np.empty(len(node), np.int64)
+    pick[owner[at[::-1]]] = at[::-1]
+    weight[pick] = 0.0
+    return edges[pick], np.add.reduceat(weight, begin)
+
+
 def _same_way(lattice, a, b, chosen, offset):
     """Whether both paths have the same edges before ``offset`` in the chosen rows."""
     same = np.zeros(len(chosen), bool)
@@ -423,8 +441,7 @@ def encode_samples(docs: DataFrame, model: str, *, k: int = 2, alpha: float = 1.
     (32-bit little-endian).  ``model`` is the path of a model file that every
     executor can read.
 
-    Branches with less than 1e-9 of the probability at their place are not
-    followed.  Spaces are part of pieces and a text starts with one; characters that are
+    No segmentation is left out, however unlikely.  Spaces are part of pieces and a text starts with one; characters that are
     no piece become their bytes.  The random numbers depend on doc_id and
     ``salt`` alone, so repeated rows have equal samples.  A null or empty text
     has one segmentation without pieces; a text with fewer than ``k``
