@@ -82,6 +82,25 @@ def test_inclusion_scores_are_unbiased():
     assert abs(count / n - p) < 0.02 and abs(weight[top] / n / p - 1) < 0.05
 
 
+def test_lines_of_two_texts_under_one_id_and_clashing_columns(spark):
+    rows = [(1, "a line that is here more than once\nand one of its own"), (2, "first text has a line of its own\na line that is here more than once\nsecond alone"),
+            (2, "second text under the id that is taken\nthis one is found nowhere else at all\nlast words"), (None, "a line that is here more than once"), (3, None), (4, "")]
+    names = ["__gone", "__id", "gone", "row", "line", "place", "text_hash", "keys", "n_lines_removed"]
+    df = spark.createDataFrame([(d, t, *["x"] * len(names)) for d, t in rows], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = line_dedup(df)
+    assert out.columns == [*df.columns[:-1], "n_lines_removed"] and dict(out.dtypes)["n_lines_removed"] == "bigint"
+    want = [(d, "first text has a line of its own\nsecond alone" if t and t.startswith("first") else t, int(bool(t and t.startswith("first")))) for d, t in rows]
+    assert sorted(((r.doc_id, r.text, r.n_lines_removed) for r in out.collect()), key=str) == sorted(want, key=str)
+    assert line_dedup(df.limit(0)).collect() == []
+
+
+def test_one_very_long_line_and_equal_lines(spark):
+    long = "word and other words " * 40_000
+    rows = [(7, long), (5, long), (6, "tie of a line\ntie of a line\nTIE of a line!")]
+    got = {r.doc_id: (r.text, r.n_lines_removed) for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {5: (long, 0), 7: ("", 1), 6: ("tie of a line", 2)}
+
+
 def _ways(lattice):
     """Every segmentation of the lattice's one word, with its probability."""
     out = {}
