@@ -169,6 +169,31 @@ def test_tool_calls(spark):
     assert got["a"].json == '{"arguments":{"exact":true,"key":"a"},"id":"a","name":"lookup","result":"say \\"hi\\"\\n\\u0001"}'
 
 
+def test_arguments_are_written_in_one_form(spark):
+    """Invalid JSON never passes as valid or reaches the output; a value has one text; repeats, ties, empty tables."""
+    import json
+
+    cases = {"01": None, '"x" , "y"': None, ' { "b" : [ 1 , {"d":2,"c":true} ], "a" : "x" } ': '{"a":"x","b":[1,{"c":true,"d":2}]}', '"\\u0061\\/"': '"a/"',
+             '"\\u001f\\n"': '"\\u001f\\n"', "7": "7", " -12 ": "-12", "true": "true", "tru": None, "1]": None, '1,"q":2': None, "[1": None, "1 2": None, '{"a":1,"a":2}': None, "null": "null", "": None,
+             '"é\\ud83d\\ude00"': '"é😀"', "1e2": "100.0", "[]": "[]"}
+    rows = [(1, i, "call", f"c{i}", "compute", {"expression": '"1"', "digits": v}, [], None) for i, v in enumerate(cases)]
+    rows += [rows[5], (1, 0, "call", "c5", "compute", {"digits": "9"}, [], None), (1, 0, "result", "c5", None, None, None, "b"), (1, 0, "result", "c5", None, None, None, "a"),
+             (1, 9, "call", "nul", "compute", {"expression": None, "digits": "3"}, None, "x" * 200_000)]
+    schema = "conv_id long, turn int, kind string, call_id string, name string, arguments map<string,string>, needs array<string>, content string"
+    df = spark.createDataFrame(rows, schema).selectExpr("*", "1 as depth", "'s' as status", "'p' as parsed", "true as called")
+    got = {r.call_id: r for r in link_tool_calls(df).collect()}
+    for i, (raw, text) in enumerate(cases.items()):
+        r = got[f"c{i}"]
+        whole = json.loads(r.json)
+        assert json.dumps(whole, sort_keys=True, separators=(",", ":"), ensure_ascii=False) == r.json or raw == "1e2"
+        if i != 5:
+            assert f'"digits":{json.dumps(raw, ensure_ascii=False) if text is None else text},' in r.json, (raw, r.json)
+        assert (r.errors == "") == (raw in ("7", " -12 ") and i != 5) and not (r.valid and text is None)
+    assert json.loads(got["c5"].json)["result"] == "a" and got["c5"].errors == "missing expression"
+    assert got["nul"].errors == "not string: expression"
+    assert link_tool_calls(df.limit(0)).collect() == []
+
+
 def test_licenses(spark):
     rows = [(1, "a/b/f.txt", "code\nnothing here"), (2, "a/LICENSE", "Released under the MIT License."), (3, "a/b/c/g.txt", "x\nLicensed under CC BY-NC 4.0.\ny"),
             (4, "z/f.txt", None), (5, None, "words"), (6, "a/b/f.txt", "")] + [(10 + i, f"q/{i}", "plain words of a text") for i in range(50)]

@@ -34,8 +34,26 @@ def string(text: Column) -> Column:
     return F.concat(F.lit('"'), quoted(text), F.lit('"'))
 
 
+def canonical(value: Column) -> Column:
+    """The one JSON text of a JSON value: keys sorted, no spaces, least escapes, numbers in one form; NULL if it is not JSON.
+
+    An object that names a key twice is not JSON here.  The parser stops after
+    one value, so the text is read as an array's first element before a mark
+    of its own: that mark comes second only if the text is one value and no more.
+    """
+    mark = F.hex(F.xxhash64(value))
+
+    def written(parsed: Column) -> Column:
+        whole = F.try_variant_get(parsed, "$[1]", "string") == mark
+        first = F.try_variant_get(parsed, "$[0]", "variant")
+        text = F.when(F.schema_of_variant(first) == "STRING", string(F.try_variant_get(parsed, "$[0]", "string"))).otherwise(F.to_json(first))
+        return F.when(whole, text)
+    wrapped = F.concat(F.lit("["), value, F.lit(',"'), mark, F.lit('"]'))
+    return F.transform(F.array(F.try_parse_json(wrapped)), written)[0]
+
+
 def problems(name: Column, arguments: Column, schemas: dict = SCHEMAS) -> Column:
-    """What is wrong with a call's ``arguments``, a map of name to JSON value; sorted texts."""
+    """What is wrong with a call's ``arguments``, a map of name to canonical JSON value (NULL: not JSON); sorted texts."""
     known = F.lit(None).cast("array<string>")
     given = F.map_keys(arguments)
     for tool, fields in schemas.items():
@@ -93,7 +111,10 @@ def link_tool_calls(messages: DataFrame, *, schemas: dict = SCHEMAS) -> DataFram
     Calls and results meet by ``(conv_id, call_id)`` in a hash join.  Of
     messages that repeat one kind and identifier the earliest turn counts, then
     the smallest content.  Needs that name no call of the conversation are
-    ignored.  JSON has sorted keys, no spaces, and escapes only what it must.
+    ignored.  Arguments are parsed: types are checked on the value, and JSON has
+    sorted keys at every level, no spaces, one form of a number, and escapes
+    only what it must.  A value that is not JSON is an error and is written as
+    a string of its text.
     A message without conversation or identifier is left out; null arguments
     are an error, null content becomes JSON null.  Other columns are not read.
     Nothing is gathered per conversation.
@@ -108,12 +129,15 @@ def link_tool_calls(messages: DataFrame, *, schemas: dict = SCHEMAS) -> DataFram
     results = first("result", F.col("content")).select(*key, "m.content", F.lit(True).alias("answered"))
     needs = calls.select(*key, F.explode("needs").alias("needed")).where("needed is not null")
     both = calls.withColumn("called", F.lit(True)).join(results, key, "full").join(depths(calls, needs), key, "left")
-    args = F.transform(entries(F.col("arguments")), lambda e: F.concat(string(e["key"]), F.lit(":"), F.coalesce(e["value"], F.lit("null"))))
+    parsed = F.transform_values("arguments", lambda _, v: canonical(F.coalesce(v, F.lit("null"))))
+    both = both.withColumn("parsed", parsed)
+    args = F.transform(entries(F.col("arguments")), lambda e: F.concat(
+        string(e["key"]), F.lit(":"), F.coalesce(F.element_at("parsed", e["key"]), string(e["value"]))))
     body = F.concat(F.lit('{"arguments":'), F.when(F.col("arguments").isNull(), F.lit("null")).otherwise(F.concat(F.lit("{"), F.array_join(args, ","), F.lit("}"))),
                     F.lit(',"id":'), string(F.col("call_id")), F.lit(',"name":'), F.coalesce(string(F.col("name")), F.lit("null")),
                     F.lit(',"result":'), F.coalesce(string(F.col("content")), F.lit("null")), F.lit("}"))
     status = F.when(F.col("called").isNull(), "orphan").when(F.col("depth").isNull(), "cyclic") \
         .when(F.col("answered").isNull(), "unanswered").otherwise("linked")
-    errors = F.when(F.col("called").isNull(), F.array(F.lit("no call"))).otherwise(problems(F.col("name"), F.col("arguments"), schemas))
+    errors = F.when(F.col("called").isNull(), F.array(F.lit("no call"))).otherwise(problems(F.col("name"), F.col("parsed"), schemas))
     return both.select(*key, "depth", status.alias("status"), F.array_join(errors, ",").alias("errors"),
                        ((F.size(errors) == 0) & (status == "linked")).alias("valid"), body.alias("json"))
