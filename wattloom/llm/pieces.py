@@ -147,6 +147,8 @@ class Lattice:
             others = self.p.copy()
             others[self.likely[some]] = 0.0
             self.rest[self.likely[some]] = np.add.reduceat(others, first[some])
+        with np.errstate(divide="ignore"):
+            self.log_p = np.log(self.p)
 
     @staticmethod
     def joined(parts: list[Lattice]) -> Lattice:
@@ -157,7 +159,7 @@ class Lattice:
         for name in ("start", "dst", "src", "line"):
             setattr(out, name, np.concatenate([getattr(p, name) + s for p, s in zip(parts, nodes)]))
         out.likely = np.concatenate([p.likely + s for p, s in zip(parts, edges)])
-        for name in ("ids", "p", "rest", "final", "before", "likely_p"):
+        for name in ("ids", "p", "log_p", "rest", "final", "before", "likely_p"):
             setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
         out.n_nodes = int(nodes[-1])
         return out
@@ -236,7 +238,7 @@ def _sampled(lattice: Lattice, rows: np.ndarray, segment: np.ndarray, seed: np.n
     for sample in range(k):
         size = np.bincount(row, minlength=n)
         begin = np.cumsum(size) - size
-        step_log = np.log(lattice.p[edges])
+        step_log = lattice.log_p[edges]
         run = np.cumsum(step_log)
         base = np.where(size > 0, np.append(run, 0.0)[np.minimum(begin, len(run))] - np.append(step_log, 0.0)[np.minimum(begin, len(run))], 0.0)
         before = run - step_log - base[row]
@@ -244,7 +246,7 @@ def _sampled(lattice: Lattice, rows: np.ndarray, segment: np.ndarray, seed: np.n
         beside = np.where(special, out_mass, lattice.rest[edges])
         noise = -np.log(_uniform(seed[row], tokens, np.arange(len(row)) - begin[row], np.full(len(row), 1000 + sample)))
         with np.errstate(divide="ignore"):
-            value = -np.logaddexp(-scores[sample][row], np.log(noise) - before - np.log(beside))
+            value = -np.logaddexp(-scores[sample][row], np.log(noise / beside) - before)
         value = np.where(fresh & (beside > 0), value, -np.inf)
         paths.append((row, edges, tokens, begin, size))
         open_rest.append(value)
