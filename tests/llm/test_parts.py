@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from wattloom.llm import pieces
-from wattloom.llm.chat import link_tool_calls
+from wattloom.llm.chat import depths, link_tool_calls
 from wattloom.llm.licenses import scan_licenses
 from wattloom.llm.lines import block_keys, edit_distance, line_dedup
 from wattloom.llm.urls import url_filter
@@ -169,6 +169,53 @@ def test_tool_calls(spark):
     assert got["a"].json == '{"arguments":{"exact":true,"key":"a"},"id":"a","name":"lookup","result":"say \\"hi\\"\\n\\u0001"}'
 
 
+def _longest(needs: dict) -> dict:
+    """Longest chain below each call, None where it may go on without end."""
+    known = {i: 0 for i in needs}
+    for _ in range(len(needs) + 1):
+        known = {i: max((known[j] + 1 for j in needs[i] if j in needs), default=0) for i in needs}
+    return {i: None if d >= len(needs) else d for i, d in known.items()}
+
+
+def _depths(spark, needs: dict, turn=lambda i: 0) -> dict:
+    calls = spark.createDataFrame([(1, i, turn(i)) for i in needs], "conv_id long, call_id string, turn int")
+    pairs = spark.createDataFrame([(1, i, j) for i, js in needs.items() for j in js], "conv_id long, call_id string, needed string")
+    return {r.call_id: r.depth for r in depths(calls, pairs).collect()}
+
+
+def test_depths_of_tangled_calls(spark):
+    """Forks, circles, needs of a call itself, repeats and unknown needs, against rounds of plain relaxation."""
+    g = np.random.default_rng(3)
+    needs = {}
+    for block in range(25):  # even blocks without circles
+        n = int(g.integers(1, 14))
+        for i in range(n):
+            some = g.integers(0, max(i, 1) if block % 2 == 0 else n, int(g.integers(0, 4)))
+            needs[f"{block}.{i}"] = [f"{block}.{j}" for j in some if block % 2 or j < i] + ["gone"] * int(g.integers(0, 2))
+    expected = _longest(needs)
+    assert _depths(spark, needs) == expected and None in expected.values() and max(filter(None, expected.values())) > 4
+    assert _depths(spark, needs, turn=lambda i: int(i.split(".")[1])) == expected
+    circle = {"u": ["v", "w", "x"], "v": ["x"], "w": ["v"], "x": ["w"], "s": ["s", "e"], "e": [], "t": ["s"]}
+    assert _depths(spark, circle) == dict.fromkeys("uvwxst", None) | {"e": 0}
+
+
+def test_depths_of_one_long_conversation(spark, monkeypatch):
+    """Every call needs the two before it: never more rows than calls and needs."""
+    from wattloom.llm import chat
+
+    n, rows = 1500, []
+
+    def counted(df, write=chat.materialize):
+        out = write(df)
+        if "steps" in out.columns:
+            rows.append(out.count())
+        return out
+    monkeypatch.setattr(chat, "materialize", counted)
+    needs = {f"c{i}": [f"c{j}" for j in (i - 1, i - 2) if j >= 0] for i in range(n)}
+    assert _depths(spark, needs, turn=lambda i: int(i[1:])) == {f"c{i}": i for i in range(n)}
+    assert max(rows) <= 2 * n and len(rows) <= 14
+
+
 def test_arguments_are_written_in_one_form(spark):
     """Invalid JSON never passes as valid or reaches the output; a value has one text; repeats, ties, empty tables."""
     import json

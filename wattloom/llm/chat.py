@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.session import materialize
+from wattloom.session import discard, materialize
 
 #: Tools, their arguments' types, and which must be given.
 SCHEMAS = {
@@ -67,34 +67,63 @@ def problems(name: Column, arguments: Column, schemas: dict = SCHEMAS) -> Column
     return F.when(arguments.isNull(), F.array(F.lit("no arguments"))).otherwise(F.sort_array(F.coalesce(known, bad_name)))
 
 
+def direct_needs(needs: DataFrame) -> DataFrame:
+    """``needs (conv_id, call_id, turn, needed)`` without those that lead round another one: never part of a longest chain.
+
+    A need goes if a later need of the same call has it too.  Of needs that
+    name each other in a circle the latest stays, so a cycle is never undone.
+    """
+    own = needs.groupBy("conv_id", "call_id").agg(F.sort_array(F.collect_set(F.struct("turn", "needed"))).alias("own"))
+    own = materialize(own)
+    theirs = own.select("conv_id", F.col("call_id").alias("needed"), F.col("own").alias("theirs"))
+    each = own.select("conv_id", "call_id", "own", F.explode("own").alias("via")).withColumn("needed", F.col("via.needed"))
+    round_about = F.filter(F.array_intersect("own", "theirs"), lambda x: x < F.col("via"))
+    gone = each.join(theirs, ["conv_id", "needed"]).select("conv_id", "call_id", F.explode(round_about).alias("gone")) \
+        .select("conv_id", "call_id", F.col("gone.needed").alias("needed"))
+    return own.select("conv_id", "call_id", F.explode("own.needed").alias("needed")).join(gone, ["conv_id", "call_id", "needed"], "left_anti")
+
+
 def depths(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """Longest chain of ``needs (conv_id, call_id, needed)`` below each call: ``(conv_id, call_id, depth)``.
 
-    Each call knows its farthest reached calls and the longest way to them; a
-    round replaces those by what they reach, so ways double in length and a
-    chain takes logarithmically many rounds, all conversations at once.  A way
-    longer than the number of calls lies on or leads to a cycle: null depth.
+    ``calls``: ``conv_id``, ``call_id`` and ``turn``, which only ranks needs.
+    A call holds the longest way down known so far and, for each need that is
+    still open, the farthest call it leads to and the steps to there.  In a
+    round a need that ends at a finished call is closed, and one that ends at
+    a call with a single open need is led on to that one's end.  Single needs
+    in a row so halve each round, all conversations at once, and a need never
+    becomes two: rows stay as many as calls and needs.  Rounds grow with the
+    logarithm of a chain, but with its length where every call of it keeps
+    several needs that do not lead round one another.  A way longer than the
+    number of calls, or needs that only lead to one another, lie on or lead to
+    a cycle: null depth.
     """
     key = ["conv_id", "call_id"]
-    needs = needs.join(calls.select("conv_id", F.col("call_id").alias("needed")).distinct(), ["conv_id", "needed"]) \
-        .select("conv_id", "call_id", "needed").distinct()
-    # longest path by doubling: reach(call) = farthest ancestor known so far and the steps to it
-    reach = materialize(needs.select(*key, F.col("needed").alias("top"), F.lit(1).cast("long").alias("steps")))
-    total = calls.select(*key).distinct().count()
-    span = 1
-    while span <= total:
-        up = reach.select("conv_id", F.col("call_id").alias("top"), F.col("top").alias("above"), F.col("steps").alias("more"))
-        longer = reach.join(up, ["conv_id", "top"])
-        if longer.isEmpty():
-            break
-        reach = materialize(reach.join(up.select("conv_id", "top").distinct(), ["conv_id", "top"], "left_anti").select(*key, "top", "steps")
-                            .union(longer.select(*key, F.col("above").alias("top"), (F.col("steps") + F.col("more")).alias("steps")))
-                            .groupBy(*key, "top").agg(F.max("steps").alias("steps")))
-        span *= 2
-    looped = reach.where(F.col("steps") > total).select(*key).distinct()
-    deep = reach.groupBy(*key).agg(F.max("steps").alias("steps"))
-    out = calls.select(*key).distinct().join(deep, key, "left").select(*key, F.coalesce("steps", F.lit(0)).alias("depth"))
-    return out.join(looped.withColumn("loop", F.lit(True)), key, "left").select(*key, F.when(F.col("loop").isNull(), F.col("depth")).alias("depth"))
+    nodes = materialize(calls.groupBy(*key).agg(F.min("turn").alias("turn")))
+    total = nodes.count()
+    ends = nodes.select("conv_id", F.col("call_id").alias("needed"), "turn")
+    open_needs = direct_needs(needs.select(*key, "needed").distinct().join(ends, ["conv_id", "needed"]))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    # a row without `top` holds a call's longest way down so far
+    ways = nodes.select(*key, F.lit(None).cast("string").alias("top"), none.alias("steps"), F.lit(False).alias("moved"))
+    ways = materialize(ways.unionByName(open_needs.select(*key, F.col("needed").alias("top"), one.alias("steps"), F.lit(True).alias("moved"))))
+    while not ways.where("moved").isEmpty():
+        going = F.col("top").isNotNull()
+        ahead = ways.groupBy(*key).agg(F.count("top").alias("n"), F.max(F.when(~going, F.col("steps"))).alias("down"),
+                                       F.max(F.when(going, F.struct("top", "steps"))).alias("next")).where("n <= 1")
+        ahead = ahead.select("conv_id", F.col("call_id").alias("top"), "down", "next")
+        way = lambda top, steps, moved: F.struct(top.alias("top"), steps.alias("steps"), F.lit(moved).alias("moved"))
+        closed = way(F.lit(None).cast("string"), F.col("steps") + F.col("down"), True)
+        led_on = way(F.col("next.top"), F.col("steps") + F.col("next.steps"), True)
+        led = F.when(F.col("down").isNull(), F.array(way(F.col("top"), F.col("steps"), False))) \
+            .when(F.col("next").isNull(), F.array(closed)).otherwise(F.array(closed, led_on))
+        finite = F.col("steps") <= total
+        led = ways.where(going & finite).join(ahead, ["conv_id", "top"], "left").select(*key, F.explode(led).alias("w")).select(*key, "w.*")
+        still = ways.where(~going | ~finite).select(*key, "top", "steps", F.lit(False).alias("moved"))
+        rows = still.unionByName(led).groupBy(*key, "top").agg(F.max("steps").alias("steps"), F.max("moved").alias("moved"))
+        old, ways = ways, materialize(rows.withColumn("moved", F.col("moved") & (F.col("steps") <= total)))
+        discard(old)
+    return ways.groupBy(*key).agg(F.when(F.count("top") == 0, F.max("steps")).alias("depth"))
 
 
 def link_tool_calls(messages: DataFrame, *, schemas: dict = SCHEMAS) -> DataFrame:
@@ -125,7 +154,7 @@ def link_tool_calls(messages: DataFrame, *, schemas: dict = SCHEMAS) -> DataFram
     first = lambda kind, *cols: known.where(F.col("kind") == kind).groupBy(*key).agg(
         F.min(F.struct(F.col("turn"), *cols)).alias("m"))
     calls = first("call", F.col("name"), entries(F.col("arguments")).alias("arguments"), F.array_sort("needs").alias("needs"))
-    calls = materialize(calls.select(*key, "m.name", F.map_from_entries("m.arguments").alias("arguments"), "m.needs"))
+    calls = materialize(calls.select(*key, "m.turn", "m.name", F.map_from_entries("m.arguments").alias("arguments"), "m.needs"))
     results = first("result", F.col("content")).select(*key, "m.content", F.lit(True).alias("answered"))
     needs = calls.select(*key, F.explode("needs").alias("needed")).where("needed is not null")
     both = calls.withColumn("called", F.lit(True)).join(results, key, "full").join(depths(calls, needs), key, "left")
