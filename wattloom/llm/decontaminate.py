@@ -6,17 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from wattloom.llm.common import ascii_lower, if_small
+from wattloom.llm.common import BROADCAST_ROWS, ascii_lower, if_small
 from wattloom.session import materialize
 
 #: Letters, digits and everything beyond ASCII.
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
+#: The same before A-Z are lower-cased.
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _words(text):
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(1))
 
 
+def _n_words(text):
+    """How many words; lower-casing A-Z does not change that."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(ANY_CASE))
+
+
 def _shingles(words, size: int):
     """Hashes of the runs of ``size`` words; a shorter text has one, of all its words."""
     def run(i):
@@ -32,21 +39,33 @@ def windows_of(items: DataFrame, window: int) -> DataFrame:
     return w.groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
 
 
-def _search(docs: DataFrame, found: DataFrame, size: int) -> DataFrame:
-    """Occurrences of windows that have ``size`` words or more."""
+def _search(docs: DataFrame, found: DataFrame, size: int, most: int) -> DataFrame:
+    """Occurrences of windows that have ``size`` to ``most`` words.
+
+    Documents are cut into shingles once: those that some window has are
+    written with the words around them, as far as a window may reach, and serve
+    both to count shingles and to compare words.
+    """
     grams = found.select("words", F.posexplode(_shingles(F.col("words"), size)).alias("offset", "gram"))
     spots = docs.select("doc_id", "text_hash", "w", F.posexplode(_shingles(F.col("w"), size)).alias("pos", "gram"))
+    before = F.least(F.col("pos"), F.lit(most - size))
+
+    def around(df: DataFrame) -> DataFrame:
+        return df.select("doc_id", "text_hash", "pos", "gram", before.alias("before"),
+                         F.slice("w", F.col("pos") - before + 1, before + most).alias("near"))
     wanted = grams.select("gram").distinct()
-    counts = spots.select("gram").join(if_small(wanted), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    spots = materialize(around(spots.join(F.broadcast(wanted), "gram")) if few else around(spots).join(wanted, "gram"))
+    counts = spots.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rare = grams.join(counts, "gram", "left").groupBy("words").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "offset")).alias("rarest"))
     rare = rare.where("rarest.n > 0").join(found, "words").select(
         "words", "item_ids", "rarest.gram", "rarest.offset", F.size("words").alias("n"))
     rare = if_small(materialize(rare))
-    start = F.col("pos") - F.col("offset")
-    fits = (start >= 0) & (start + F.col("n") <= F.size("w"))
-    return spots.join(rare, "gram").where(fits).where(F.slice("w", start + 1, F.col("n")) == F.col("words")) \
-        .select("doc_id", "text_hash", start.alias("start"), "n", "item_ids")
+    skipped = F.col("before") - F.col("offset")
+    fits = (skipped >= 0) & (skipped + F.col("n") <= F.size("near"))
+    return spots.join(rare, "gram").where(fits).where(F.slice("near", skipped + 1, F.col("n")) == F.col("words")) \
+        .select("doc_id", "text_hash", (F.col("pos") - F.col("offset")).alias("start"), "n", "item_ids")
 
 
 def occurrences(docs: DataFrame, items: DataFrame, *, window: int = 10, size: int = 3) -> DataFrame:
@@ -66,9 +85,9 @@ def occurrences(docs: DataFrame, items: DataFrame, *, window: int = 10, size: in
     """
     found = materialize(windows_of(items, window))
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _words(F.col("text")).alias("w")).where("size(w) > 0")
-    hits = _search(docs, found.where(F.size("words") >= size), size)
+    hits = _search(docs, found.where(F.size("words") >= size), size, max(window, size))
     short = found.where(F.size("words") < size)
-    return hits if short.isEmpty() else hits.union(_search(docs, short, 1))
+    return hits if short.isEmpty() else hits.union(_search(docs, short, 1, size - 1))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, size: int = 3) -> DataFrame:
@@ -97,7 +116,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, size:
     found = covered.alias("c").join(
         items_hit.alias("i"), F.expr("c.doc_id <=> i.doc_id and c.text_hash = i.text_hash"), "left") \
         .select("c.doc_id", "c.text_hash", "n_hit", "items")
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(_words(F.col("text"))).alias("n_words"))
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _n_words(F.col("text")).alias("n_words"))
     return base.alias("d").join(found.alias("f"), F.expr("d.doc_id <=> f.doc_id and d.text_hash = f.text_hash"), "left") \
         .select("d.doc_id", F.col("n_words").cast("long").alias("n_words"),
                 F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
