@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_letters, ascii_lowercase, digits
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -9,14 +11,21 @@ from pyspark.sql import Window as W
 from wattloom.llm.common import BROADCAST_ROWS, ascii_lower, if_small
 from wattloom.session import materialize
 
-#: Letters, digits and everything beyond ASCII.
-WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
-#: The same before A-Z are lower-cased.
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+def _runs_of(kept: str) -> str:
+    """Pattern of runs of ``kept`` and of everything beyond ASCII.
+
+    Each other character is named singly: Java looks those up in one table,
+    while ranges are tried one after another, at ten times the cost.
+    """
+    return "[^" + "".join(f"\\x{i:02X}" for i in range(128) if chr(i) not in kept) + "]+"
+
+
+#: Words of lower-cased text, and words before A-Z are lower-cased.
+WORD, ANY_CASE = _runs_of(digits + ascii_lowercase), _runs_of(digits + ascii_letters)
 
 
 def _words(text):
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(1))
+    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def _n_words(text):
