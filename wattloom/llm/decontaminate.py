@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from wattloom.llm.common import BROADCAST_ROWS, ascii_lower, if_small
 from wattloom.session import materialize
 
+
 def _runs_of(kept: str) -> str:
     """Pattern of runs of ``kept`` and of everything beyond ASCII.
 
