@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 import brute
+from wattloom.llm import ngram_join as joined
 from wattloom.llm.decontaminate import decontaminate
 from wattloom.llm.linking import components
 from wattloom.llm.ngram_join import ngram_join
@@ -106,6 +107,19 @@ def test_ngram_join_within_a_group(spark):
     same(got, brute.ngram_join(rows))
 
 
+def test_ngram_join_of_a_crowd_without_links(spark, monkeypatch):
+    """Many texts that share rare tokens but are too far apart: most pairs end within the join of the second round."""
+    rows = [(i, " ".join(f"own{i}_{j}" if i <= j < i + 5 else f"g{j}" for j in range(100))) for i in range(5, 85)]
+    told, plain = [], joined.linked
+
+    def counted(*args, prune, **more):
+        return plain(*args, prune=lambda pairs: told.append(pairs.count()) or prune(pairs), **more)
+
+    monkeypatch.setattr(joined, "linked", counted)
+    same(ngram_join(frame(spark, rows), size=3, percent=90).collect(), brute.ngram_join(rows))
+    assert 0 < told[0] < 80 and told[1] < 800  # of 3160 pairs
+
+
 def test_components(spark):
     r = random.Random(3)
     for n, m in ((40, 30), (60, 25)):

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import as_bytes, mixed, window_hashes, word_hashes
@@ -94,6 +95,11 @@ def _apart(a: str, b: str):
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
+def _narrow_apart(a: str, b: str):
+    """``_apart`` of the narrow bits, written out word by word so that a join's condition compiles it."""
+    return reduce(Column.__add__, [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(_NARROW // 64)])
+
+
 def _prefixes(size: int, percent: int, levels):
     """Each set's rarest tokens, as many as any partner must share one of."""
     def run(batches):
@@ -134,8 +140,9 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     by hash; only its first ``n - ceil(t n) + 1`` tokens are joined, as alike
     sets must share one of them.  Sets of one size and one prefix form a group
     that is joined once; group pairs pass a length and a positional bound, are
-    expanded to members, pass a bound from parity bits, and are verified on
-    their whole sets.
+    expanded to members, pass a bound from parity bits (in the second round
+    within the join, so that no pair beyond it is written), and are verified
+    on their whole sets.
 
     Nulls and texts without words have an empty set, which links with nothing:
     their component is their own doc_id.  Texts shorter than a shingle have one
@@ -171,12 +178,17 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
         reach = reach + F.least(f"{left}.pos", f"{right}.pos")
         return (least * 100 >= most * percent) & (reach * (100 + percent) >= (least + most) * percent)
 
-    bits, wide = prefixes.select("doc_id", "n", "bits"), prefixes.where("wide is not null").select("doc_id", "wide")
+    bits, wide = prefixes.select("doc_id", "n", "bits").distinct(), prefixes.where("wide is not null").select("doc_id", "wide")
+
+    def near(apart: Column, na: str = "na", nb: str = "nb"):
+        return apart * (100 + percent) <= (F.col(na) + F.col(nb)) * (100 - percent)
+
+    def alike(left: str, right: str):
+        return near(_narrow_apart(f"{left}.bits", f"{right}.bits"), f"{left}.size", f"{right}.size")
 
     def prune(pairs: DataFrame) -> DataFrame:
-        near = lambda apart: apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
         both = pairs.join(bits.toDF("a", "na", "ba"), "a").join(bits.toDF("b", "nb", "bb"), "b")
-        both = materialize(both.where(near(_apart("ba", "bb"))).select("a", "b", "na", "nb"))
+        both = materialize(both.where(near(_narrow_apart("ba", "bb"))).select("a", "b", "na", "nb"))
         both = both.join(wide.toDF("a", "wa"), "a", "left").join(wide.toDF("b", "wb"), "b", "left")
         return both.where(F.col("wa").isNull() | F.col("wb").isNull() | near(_apart("wa", "wb"))).select("a", "b").distinct()
 
@@ -190,7 +202,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
         discard(sets)
         return links
 
-    found = linked(keys, verify, members=members, admit=admit, prune=prune)
+    found = linked(keys, verify, members=members, admit=admit, prune=prune, marks=bits.toDF("member", "size", "bits"), alike=alike)
     classes = first.join(found.toDF("doc_id", "component"), "doc_id", "left").select(
         "n", "set_key", F.coalesce("component", "doc_id").alias("component_id"))
     return described.join(classes, ["n", "set_key"], "left").select(
