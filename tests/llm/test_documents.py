@@ -8,6 +8,7 @@ import pytest
 
 import brute
 from wattloom.llm import ngram_join as joined
+from wattloom.llm import substrings
 from wattloom.llm.decontaminate import decontaminate
 from wattloom.llm.linking import components
 from wattloom.llm.ngram_join import ngram_join
@@ -72,6 +73,14 @@ def test_substrings_one_passage_everywhere(spark):
     assert all(r.n_removed == 20 and r.kept == f"a{r.doc_id} b{r.doc_id}" and r.removed[0].start == 1 for r in got[1:])
 
 
+def test_a_window_is_hashed_once_by_its_slab():
+    words = [b"w%d" % i for i in range(30)]
+    slab = substrings._Slab([9, 4, 1, 7], [b" ".join(words[:20]), b" ".join(words[5:25]), None, b" ".join(words)], 13)
+    assert substrings._cells(slab.hashes[0], 13, 6).shape == (len(substrings.DEPTHS), 8)
+    hot = np.ones((len(substrings.DEPTHS), 64), bool)  # no prefix is short enough: the window's own cell
+    assert (slab.group(hot, 6) == (len(substrings.DEPTHS) << 6) + (slab.windows[slab.distinct] >> np.uint64(58)).astype(np.int64)).all()
+
+
 def test_deep_nodes_number_equal_labels():
     edges = np.array([[1, 2], [1, 3], [1, 2], [0, 2], [1, 2]], np.uint64)
     node = deep_nodes(edges)

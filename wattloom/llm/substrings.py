@@ -20,9 +20,9 @@ EDGE = 5
 
 
 def _cells(hashes: np.ndarray, size: int, bits: int) -> np.ndarray:
-    """Cell of each window's prefix at every depth; the last depth is the window."""
+    """Cell of each window's prefix at every depth but the last, which is the window."""
     n = max(len(hashes) - size + 1, 0)
-    return np.stack([(window_hashes(hashes, d)[:n] >> np.uint64(64 - bits)).astype(np.int64) for d in (*DEPTHS, size)])
+    return np.stack([(window_hashes(hashes, d)[:n] >> np.uint64(64 - bits)).astype(np.int64) for d in DEPTHS])
 
 
 def _count_prefixes(size: int, bits: int):
@@ -71,8 +71,9 @@ class _Slab:
 
     def group(self, hot: np.ndarray, bits: int) -> np.ndarray:
         """Prefix group of each distinct window: the shortest prefix whose cell is not too large."""
-        cells = np.concatenate([np.empty((len(DEPTHS) + 1, 0), np.int64),
+        cells = np.concatenate([np.empty((len(DEPTHS), 0), np.int64),
                                 *(_cells(h, self.size, bits) for h in self.hashes if len(h) >= self.size)], axis=1)[:, self.distinct]
+        cells = np.concatenate([cells, [(self.windows[self.distinct] >> np.uint64(64 - bits)).astype(np.int64)]])
         depth = np.full(cells.shape[1], len(DEPTHS))
         for d in reversed(range(len(DEPTHS))):
             depth = np.where(hot[d][cells[d]], depth, d)
