@@ -7,7 +7,8 @@ from datetime import date
 import numpy as np
 import pyarrow as pa
 
-from wattloom.llm import pieces
+from wattloom.llm import lines as line_parts
+from wattloom.llm import linking, pieces
 from wattloom.llm.chat import depths, link_tool_calls
 from wattloom.llm.licenses import scan_licenses
 from wattloom.llm.lines import block_keys, edit_distance, line_dedup
@@ -94,6 +95,34 @@ def test_lines_of_two_texts_under_one_id_and_clashing_columns(spark):
     assert line_dedup(df.limit(0)).collect() == []
 
 
+def test_keys_of_a_line_alone_are_never_written(spark, monkeypatch):
+    written = []
+
+    materialize = linking.materialize
+
+    def told(df):
+        written.append(materialize(df))
+        return written[-1]
+
+    for module in (line_parts, linking):
+        monkeypatch.setattr(module, "materialize", told)
+        monkeypatch.setattr(module, "discard", lambda *frames: None)
+    rows = [(i, chr(65 + i) * 30) for i in range(20)] + [(30, "quite another line of this table"), (31, "quite another line of this tables")]
+    got = {r.doc_id: r.n_lines_removed for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, n in got.items() if n] == [31]
+    assert all("keys" not in df.columns for df in written)
+    assert {df.select("id").distinct().count() for df in written if "key" in df.columns} <= {0, 2}
+
+
+def test_many_pairs_are_compared_in_portions(spark, monkeypatch):
+    rows = [(i, f"a line that differs by its {c * 2} only, in the middle of it") for i, c in enumerate("abcdefgh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(line_dedup(docs).collect())
+    monkeypatch.setattr(line_parts, "_PAIRS", 0.25)
+    assert sorted(line_dedup(docs).collect()) == want
+    assert [r.n_lines_removed for r in want] == [0] + [1] * 7
+
+
 def test_one_very_long_line_and_equal_lines(spark):
     long = "word and other words " * 40_000
     rows = [(7, long), (5, long), (6, "tie of a line\ntie of a line\nTIE of a line!")]
