@@ -350,3 +350,48 @@ def test_simhash_is_the_majority_of_word_bits():
         words = [int(h) for h in word_hashes(line.split())]
         assert int(got) == sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in words) > len(words))
     assert len(simhash([])) == 0 and simhash([b""]) == np.zeros(1)
+
+
+def test_lines_side_by_side_are_as_far_apart_as_one_by_one():
+    g = np.random.default_rng(5)
+    letters = [*"abcdefgh \u00e9\u6f22"]
+    texts = ["", "a", "\u00e9", "x" * 64, "x" * 65, "y" * 128, "x" * 5000, "x" * 4500 + "y" * 400]
+    for size in [3, 9, 20, 63, 64, 65, 100, 127, 130, 200, 400, 700] * 4:
+        text = g.choice(letters, size).tolist()
+        for share in (0, 0.1, 0.2, 0.25):
+            other = list(text)
+            for _ in range(int(size * share)):
+                i = int(g.integers(len(other)))
+                other[i:i + int(g.integers(2))] = g.choice(letters, int(g.integers(2))).tolist()
+            texts.append("".join(other))
+    lines = [x.encode() for x in texts]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(lines)), np.arange(len(lines))))
+    near = np.abs(a - b) < 12
+    a, b = a[near], b[near]
+    got = line_parts.Texts(lines).alike(a, b, 80)
+    most = [max(len(texts[i]), len(texts[j])) // 5 for i, j in zip(a, b)]
+    want = [edit_distance(lines[i], lines[j], d) is not None for i, j, d in zip(a, b, most)]
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_a_crowd_that_does_not_link_makes_no_rows_of_pairs(spark, monkeypatch):
+    g = np.random.default_rng(6)
+    word = lambda n: "".join(g.choice([*"abcdefghijklmnopqrstuvwxyz"], n))
+    common = " ".join(word(7) for _ in range(6))
+    rows = [(i, f"{common} {word(24)}") for i in range(40)]
+    rows += [(40, rows[7][1][:-1] + "0"), (41, "0" + rows[21][1][1:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    written, materialize = [], linking.materialize
+
+    def told(df):
+        written.append(materialize(df))
+        return written[-1]
+
+    for module in (line_parts, linking):
+        monkeypatch.setattr(module, "materialize", told)
+        monkeypatch.setattr(module, "discard", lambda *frames: None)
+    want = sorted(line_dedup(docs).collect())
+    assert [r.doc_id for r in want if r.n_lines_removed] == [40, 41]
+    assert max(df.count() for df in written if df.columns == ["a", "b"]) <= 2 * len(rows)
+    monkeypatch.setattr(line_parts, "_CROWD", 5)  # dealt out by pairs of blocks
+    assert sorted(line_dedup(docs).collect()) == want
