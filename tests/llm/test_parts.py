@@ -395,3 +395,13 @@ def test_a_crowd_that_does_not_link_makes_no_rows_of_pairs(spark, monkeypatch):
     assert max(df.count() for df in written if df.columns == ["a", "b"]) <= 2 * len(rows)
     monkeypatch.setattr(line_parts, "_CROWD", 5)  # dealt out by pairs of blocks
     assert sorted(line_dedup(docs).collect()) == want
+
+
+def test_every_prefix_is_found_and_edges_stand_by_node_and_length():
+    vocab = pieces.vocabulary(MODEL)
+    assert (vocab.find(vocab.keys) == np.arange(len(vocab.keys))).all()
+    other = np.random.default_rng(7).integers(0, 2 ** 63, 200_000).astype(np.uint64)
+    assert (vocab.find(other[~np.isin(other, vocab.keys)]) == -1).all()
+    lattice = pieces.Lattice(["▁the", "\n", "▁☃a漢\U0010ffff", "▁▁"], vocab, 1.0)
+    edges = list(zip(lattice.src.tolist(), lattice.dst.tolist()))
+    assert edges == sorted(set(edges)) and (lattice.ids < 0).sum() >= 1

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import defaultdict
 from functools import cache
 
 import numpy as np
@@ -18,6 +20,7 @@ SPACE = "▁"
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
+_SLOT_BITS = 20
 #: Segments that are looked up at a time, and those kept from one time to the next.
 _TOKENS, _KEPT = 60_000, 30_000
 
@@ -54,6 +57,30 @@ class Vocabulary:
         if len(np.unique(keys)) < len(keys):
             raise ValueError("prefix hashes collide")
         self.ids = np.array([usable.get(p, -1) for p in prefixes], np.int64)[order]
+        # the place of each key by its own slot in the first of a few tables where it is free
+        self.slots, left = [], np.arange(len(self.keys))
+        while len(left):
+            slot = _slot(self.keys[left], len(self.slots))
+            table = np.full(1 << _SLOT_BITS, -1, np.int32)
+            table[slot[::-1]] = left[::-1]
+            self.slots.append(table)
+            left = left[table[slot] != left]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash among the keys, -1 if it is none of them."""
+        out = self.slots[0][_slot(hashes, 0)]
+        open_ = np.flatnonzero((out >= 0) & (self.keys[out] != hashes))
+        out[open_] = -1
+        for k, table in enumerate(self.slots[1:], 1):
+            found = table[_slot(hashes[open_], k)]
+            hit = (found >= 0) & (self.keys[found] == hashes[open_])
+            out[open_[hit]] = found[hit]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
+def _slot(hashes: np.ndarray, table: int) -> np.ndarray:
+    return ((hashes ^ (hashes >> np.uint64(29))) * (_ODD + np.uint64(2 * table)) >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
 
 
 def _hash(text: str) -> int:
@@ -81,39 +108,44 @@ class Lattice:
         last = np.repeat(stop, sizes)
         char_of = np.zeros(n_nodes, np.int64)
         char_of[at] = np.arange(len(codes))
-        src, dst, ids = [], [], []
+        # edges of each node by length: found by length, written behind those of the lengths before
+        src, rank, size, ids = [], [], [], []
+        counts = np.zeros(n_nodes, np.int64)
         here, hashes, length = at, np.zeros(len(at), np.uint64), 0
         while len(here):
             hashes = hashes * _BASE + codes[char_of[here] + length] + np.uint64(1)
             length += 1
-            found = np.minimum(np.searchsorted(vocab.keys, hashes), len(vocab.keys) - 1)
-            ok = vocab.keys[found] == hashes
+            found = vocab.find(hashes)
+            ok = np.flatnonzero(found >= 0)
             here, hashes, found = here[ok], hashes[ok], vocab.ids[found[ok]]
-            piece = found >= 0
+            piece = np.flatnonzero(found >= 0)
             src.append(here[piece])
-            dst.append(here[piece] + length)
             ids.append(found[piece])
+            if length == 1:  # characters that are no piece: their UTF-8 bytes as one edge, kept as -1 - code point
+                single = np.zeros(n_nodes, bool)
+                single[src[0]] = True
+                lost = at[~single[at]]
+                code = codes[char_of[lost]].astype(np.int64)
+                src[0] = np.concatenate([src[0], lost])
+                ids[0] = np.concatenate([ids[0], np.where(code < 128, vocab.byte_ids[np.minimum(code, 127)], -1 - code)])
+            rank.append(counts[src[-1]])
+            size.append(np.full(len(src[-1]), length))
+            counts[src[-1]] += 1
             more = here + length < last[char_of[here]]
             here, hashes = here[more], hashes[more]
-        single = np.zeros(n_nodes, bool)
-        if src:
-            single[src[0]] = True
-        lost = at[~single[at]]  # characters that are no piece: their UTF-8 bytes as one edge, kept as -1 - code point
-        src.append(lost)
-        dst.append(lost + 1)
-        code = codes[char_of[lost]].astype(np.int64)
-        ids.append(np.where(code < 128, vocab.byte_ids[np.minimum(code, 127)], -1 - code))
-        src, dst, ids = np.concatenate(src), np.concatenate(dst), np.concatenate(ids)
-        order = np.argsort(src * (1 << 24) + (dst - src))
-        src, self.dst, self.ids = src[order], dst[order], ids[order]
+        first = np.concatenate([[0], np.cumsum(counts)])
+        some = np.concatenate([np.empty(0, np.int64), *src])
+        place = first[some] + np.concatenate([np.empty(0, np.int64), *rank])
+        src, self.dst, self.ids = np.empty(len(some), np.int64), np.empty(len(some), np.int64), np.empty(len(some), np.int64)
+        src[place], self.dst[place] = some, some + np.concatenate([np.empty(0, np.int64), *size])
+        self.ids[place] = np.concatenate([np.empty(0, np.int64), *ids])
         weight = alpha * np.where(self.ids >= 0, vocab.log_p[np.maximum(self.ids, 0)], 0.0)
         for i in np.flatnonzero(self.ids < 0):
             weight[i] = alpha * sum(vocab.log_p[vocab.bytes[b]] for b in _utf8(-1 - self.ids[i]))
-        first = np.searchsorted(src, np.arange(n_nodes + 1))
         total = np.zeros(n_nodes)
         left = np.zeros(n_nodes, np.int64)
         left[at] = last - at
-        by_left = np.argsort(left[at], kind="stable")
+        by_left = np.argsort(left[at].astype(np.min_scalar_type(left.max(initial=0))), kind="stable")
         nodes, bounds = at[by_left], np.searchsorted(left[at][by_left], np.arange(1, left.max(initial=0) + 2))
         for a, b in zip(bounds, bounds[1:]):  # from the ends backward, all segments at once
             some = nodes[a:b]
@@ -346,14 +378,6 @@ def _same_way(lattice, a, b, chosen, offset):
     return same
 
 
-class _Numbers(dict):
-    """Numbers keys in the order they come."""
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
-
-
 def _segments(text: str) -> list[str]:
     return _SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
@@ -380,7 +404,7 @@ def _encode(path: str, k: int, alpha: float, salt: int):
             texts, ids = batch.column("text"), batch.column("doc_id").to_pylist()
             at = 0
             while at < len(texts):
-                rows, segment, known, count = [], [], _Numbers(kept), 0
+                rows, segment, known, count = [], [], defaultdict(itertools.count(len(kept)).__next__, kept), 0
                 begin = at
                 while at < len(texts) and (count < _TOKENS or at == begin):
                     parts = _segments(texts[at].as_py() or "")
