@@ -114,6 +114,25 @@ def test_keys_of_a_line_alone_are_never_written(spark, monkeypatch):
     assert {df.select("id").distinct().count() for df in written if "key" in df.columns} <= {0, 2}
 
 
+def test_documents_are_shuffled_for_their_lines_once(spark, monkeypatch):
+    calls, pick = [], line_parts._pick
+    monkeypatch.setattr(line_parts, "_pick", lambda: calls.append(1) or pick())
+    rows = [(i, f"a line that differs by its {c * 2} only, in the middle of it\n{c * 30}") for i, c in enumerate("abc")]
+    got = {r.doc_id: r.n_lines_removed for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 1, 2: 1} and len(calls) == 1
+
+
+def test_few_texts_are_held_as_python_objects_at_a_time():
+    texts = [f"one line {i}\nand two" for i in range(1000)]
+    batch = pa.record_batch([pa.array(range(1000), pa.int64()), pa.array(range(1000), pa.int64()), pa.array(texts)], ["doc_id", "text_hash", "text"])
+    out = list(line_parts._lines()([batch]))
+    assert sum(x.num_rows for x in out) == 2000 and max(x.num_rows for x in out) <= 500
+    assert [x for y in out for x in y.column("doc_id").to_pylist()] == [i for i in range(1000) for _ in range(2)]
+    wanted = pa.array([[{"line": 1, "id": i}] for i in range(1000)])
+    out = list(line_parts._pick()([batch.append_column("wanted", wanted)]))
+    assert max(x.num_rows for x in out) <= 250 and [x for y in out for x in y.column("id").to_pylist()] == list(range(1000))
+
+
 def test_many_pairs_are_compared_in_portions(spark, monkeypatch):
     rows = [(i, f"a line that differs by its {c * 2} only, in the middle of it") for i, c in enumerate("abcdefgh")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
