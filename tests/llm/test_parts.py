@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from datetime import date
 
 import numpy as np
+import pytest
 import pyarrow as pa
 
 from wattloom.llm import lines as line_parts
@@ -393,6 +394,50 @@ def test_lines_side_by_side_are_as_far_apart_as_one_by_one():
     assert got.tolist() == want and 0 < sum(want) < len(want)
 
 
+def test_long_lines_without_enough_grams_in_common_are_not_read(monkeypatch):
+    g = np.random.default_rng(8)
+    texts = ["".join(g.choice([*"abcdefghijklmnop "], size)).encode() for size in (70, 150, 300, 500, 800) for _ in range(12)]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    a, b = a[(a < b) & (a // 12 == b // 12)], b[(a < b) & (a // 12 == b // 12)]
+    compared, side_by_side = [], line_parts._abreast
+    monkeypatch.setattr(line_parts, "_abreast", lambda *x, **y: compared.append(len(x[3])) or side_by_side(*x, **y))
+    assert not line_parts.Texts(texts).alike(a, b, 80).any() and sum(compared) <= len(a) // 50
+
+
+@pytest.mark.parametrize("lone", [0, 24, 10 ** 6])
+def test_pairs_of_groups_held_together_need_not_be_compared(monkeypatch, lone):
+    monkeypatch.setattr(line_parts, "_LONE", lone)  # many side by side, a few of them, or each alone
+    g = np.random.default_rng(9)
+    texts, alone, together = [], edit_distance, []
+    for size in (30, 66, 150, 300, 900, 1500):
+        seed = g.choice([*"abcdefgh \u00e9"], size).tolist()
+        for share in (0, 0.03, 0.06, 0.08, 0.1, 0.12, 0.3):
+            other = list(seed)
+            for i in g.choice(size, int(size * share), replace=False).tolist():
+                other[i] = str(g.choice([*"xyz"])) * int(g.integers(3))
+            texts.append("".join(other).encode())
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    a, b = a[a < b], b[a < b]
+    want = np.array([alone(texts[i], texts[j], max(len(texts[i].decode()), len(texts[j].decode())) // 5) is not None for i, j in zip(a, b)])
+    lines = line_parts.Texts(texts)
+    assert (lines.alike(a, b, 80) == want).all()
+    start = np.arange(len(texts)) // 2 * 2  # some are in one group already
+    for group in (np.arange(len(texts)), start):
+        got = lines.alike(a, b, 80, group)
+        together = [line_parts._joined(group, group[a[x]], group[b[x]]) for x in (got, want)]
+        assert not (got & ~want).any() and got.sum() < want.sum()
+        assert len({*zip(*(x.tolist() for x in together))}) == len({*together[0].tolist()}) == len({*together[1].tolist()})
+
+
+def test_one_pair_ends_early_and_only_where_it_may():
+    g = np.random.default_rng(10)
+    for size in (100, 300, 700):
+        x = "".join(g.choice([*"abcd"], size))
+        for y in ("".join(g.choice([*"abcd"], size)), x[: size // 3] + x[size // 3 + 9:], x[5:] + "dcbad", "b" * 20 + x[:-20]):
+            d = edit_distance(x.encode(), y.encode(), 10 ** 6)
+            assert edit_distance(x.encode(), y.encode(), d) == d and edit_distance(x.encode(), y.encode(), d - 1) is None
+
+
 def test_a_crowd_that_does_not_link_makes_no_rows_of_pairs(spark, monkeypatch):
     g = np.random.default_rng(6)
     word = lambda n: "".join(g.choice([*"abcdefghijklmnopqrstuvwxyz"], n))
