@@ -5,8 +5,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
+from wattloom.llm import boosting, pii
 from wattloom.llm import ngram_join as joined
 from wattloom.llm import substrings
 from wattloom.llm.decontaminate import decontaminate
@@ -207,6 +209,39 @@ def test_pii_adds_what_base_patterns_miss(spark):
     assert not wrong, wrong[:5]
 
 
+def test_trees_of_all_rows_do_not_depend_on_their_order(spark):
+    g = np.random.default_rng(4)
+    x = np.round(g.random((1200, 3)) * [9, 300, 0.5], 2)
+    y = x[:, 0] / 9 + x[:, 1] / 300 > 1
+    rows = [(m, i % 3 == 2, bool(v if m == "a" else m == "c" or not v), x[i].tolist()) for i, v in enumerate(y) for m in "abc"]
+    rows = spark.createDataFrame(rows, "model string, held boolean, y boolean, x array<double>")
+    fit = lambda r: boosting.fit_all(r, 3, trees=6, depth=3, rate=0.4, precision=0.95)
+    got, again = fit(rows.repartition(3)), fit(rows.orderBy(F.desc("x")).repartition(7, "x"))
+    assert sorted(got) == sorted(again) == ["a", "b"]  # c has one class
+    for m in got:
+        (forest, at), (other, lowest) = got[m], again[m]
+        assert at == lowest is not None and all(np.array_equal(getattr(forest, k), getattr(other, k)) for k in ("feature", "threshold", "left", "right", "value"))
+        score, want = forest.raw(x[2::3]), y[2::3] if m == "a" else ~y[2::3]
+        assert ((score > 0) == want).mean() > 0.9 and want[score >= at].mean() >= 0.95
+        sql = spark.createDataFrame(x[:50].tolist(), "a double, b double, c double").selectExpr(forest.sql(["a", "b", "c"])).collect()
+        assert np.allclose([r[0] for r in sql], forest.raw(x[:50]), atol=1e-6)
+
+
+def test_pii_trees_are_fitted_on_all_labelled_candidates(spark, monkeypatch):
+    r = random.Random(11)
+    rows = [(i, " ".join(f"call +1 ({r.randrange(100, 999)}) 555-{r.randrange(1000, 9999)} order {r.randrange(10 ** 8, 10 ** 9)}" for _ in range(50))
+             + f" mail a{i} (at) b{i} (dot) com") for i in range(100)]
+    seen, fit_all = [], boosting.fit_all
+
+    def told(found, *a, **k):
+        seen.append({m.model: m["count"] for m in found.groupBy("model").count().collect()})
+        return fit_all(found, *a, **{**k, "trees": 2})
+    monkeypatch.setattr(boosting, "fit_all", told)
+    models = pii.train(frame(spark, rows))
+    assert seen[0]["phone"] >= 10000 and seen[0]["all"] >= 10100
+    assert {"phone", "email"} <= set(models)  # e-mails have one class: trees of all kinds
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
